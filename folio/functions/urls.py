@@ -125,13 +125,40 @@ def feed_post_id(entry_id) -> Column:
 
 
 def classify_link(href) -> Column:
-    """U16: link class, rules applied in the reference's order."""
+    """U16: link class, rules applied in the reference's order.
+
+    Self-contained Column form; on wide plans prefer ``with_link_class`` which
+    computes the URL parts once as columns (smaller generated code)."""
     h = _c(href)
-    host, path, scheme = url_host(h), url_path(h), url_scheme(h)
-    return (F.when(h.isNull() | ~h.rlike(URL_RX), F.lit("noise"))
+    return classify_parts(h.isNotNull() & h.rlike(URL_RX), url_host(h), url_path(h), url_scheme(h))
+
+
+def classify_parts(valid: Column, host: Column, path: Column, scheme: Column) -> Column:
+    """U16 over pre-computed URL parts."""
+    return (F.when(~F.coalesce(valid, F.lit(False)), F.lit("noise"))
             .when(path.rlike(NOISE_PATH_RX), F.lit("noise"))
             .when(host.rlike(NOISE_HOST_RX), F.lit("noise"))
             .when(path.rlike(ARTICLE_PATH_RX), F.lit("substack_article"))
             .when(host.rlike(PLATFORM_HOST_SUFFIX_RX), F.lit("noise"))
             .when(scheme.isin("http", "https"), F.lit("external"))
             .otherwise(F.lit("noise")))
+
+
+def with_url_parts(df, col: str, prefix: str = "_u_"):
+    """Adds ``{prefix}ok/host/path/scheme`` computed once per row, so later
+    expressions reference columns instead of repeating the regexes."""
+    u = F.col(col)
+    df = df.withColumn(prefix + "ok", u.isNotNull() & u.rlike(URL_RX))
+    ok = F.col(prefix + "ok")
+    return (df.withColumn(prefix + "host", F.when(ok, F.regexp_extract(u, URL_RX, 1)))
+              .withColumn(prefix + "path", F.when(ok, F.regexp_replace(F.regexp_extract(u, URL_RX, 2), r"\s+$", "")))
+              .withColumn(prefix + "scheme", F.when(ok, F.lower(F.regexp_extract(u, r"^\s*([A-Za-z]+):", 1)))))
+
+
+def with_link_class(df, col: str = "href", out: str = "link_class"):
+    """U16 as a DataFrame step (parts computed once)."""
+    p = "_lc_"
+    d = with_url_parts(df, col, p)
+    return d.withColumn(out, classify_parts(F.col(p + "ok"), F.col(p + "host"), F.col(p + "path"),
+                                            F.col(p + "scheme"))) \
+            .drop(p + "ok", p + "host", p + "path", p + "scheme")

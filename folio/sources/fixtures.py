@@ -108,28 +108,28 @@ SELECT concat('orphan-', CAST(doc_id AS {S}), '.html.meta.json') AS meta_file,
 FROM {fx_docs} WHERE doc_id % 37 = 0
 """)
 
-# Completion ledger: slugs of doc_id % 6 = 0, some twice, plus blank entries.
+# Completion ledger: slugs of doc_id % 5 = 0, some twice, plus blank entries.
 FIXTURES["fx_completed"] = (["fx_docs"], """
-SELECT slug AS post_id, CAST(doc_id * 2 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 6 = 0
-UNION ALL SELECT slug AS post_id, CAST(doc_id * 2 + 1 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 12 = 0
+SELECT slug AS post_id, CAST(doc_id * 2 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 5 = 0
+UNION ALL SELECT slug AS post_id, CAST(doc_id * 2 + 1 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 10 = 0
 UNION ALL SELECT '  ' AS post_id, CAST(doc_id * 2 + 1 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 60 = 30
 """)
 
 # Alias log: source and canonical URL of completed docs; a later conflicting
-# row for doc_id % 18 = 0 (last write wins).
+# row for doc_id % 15 = 0 (last write wins).
 FIXTURES["fx_aliases"] = (["fx_docs"], """
-SELECT """ + _SRC + """ AS url, slug AS post_id, CAST(doc_id * 4 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 6 = 0
+SELECT """ + _SRC + """ AS url, slug AS post_id, CAST(doc_id * 4 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 5 = 0
 UNION ALL
-SELECT """ + _CANON + """ AS url, slug AS post_id, CAST(doc_id * 4 + 1 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 6 = 0 AND doc_id % 11 <> 0
+SELECT """ + _CANON + """ AS url, slug AS post_id, CAST(doc_id * 4 + 1 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 5 = 0 AND doc_id % 11 <> 0
 UNION ALL
-SELECT """ + _SRC + """ AS url, concat('post-x-', CAST(doc_id AS {S})) AS post_id, CAST(doc_id * 4 + 2 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 18 = 0
+SELECT """ + _SRC + """ AS url, concat('post-x-', CAST(doc_id AS {S})) AS post_id, CAST(doc_id * 4 + 2 AS BIGINT) AS seq FROM {fx_docs} WHERE doc_id % 15 = 0
 """)
 
 # Ignore list lines: a few fixed entries plus hosts of generated pages, padded,
 # commented or blank.
 FIXTURES["fx_ignored"] = (["pages"], """
 SELECT line FROM (VALUES ('www.custom1.com'), ('author3'), ('# comment'), (''),
-                         ('  www.custom4.com  '), ('  # note'), ('en.wikipedia.org')) AS t(line)
+                         ('  www.custom4.com  '), ('  # note'), ('cdn')) AS t(line)
 UNION ALL
 SELECT CASE page_id % 4 WHEN 0 THEN h WHEN 1 THEN concat('  ', h, ' ') WHEN 2 THEN concat('# ', h) ELSE '' END AS line
 FROM (SELECT page_id, regexp_extract(url, '://([^/?#:]*)', 1) AS h FROM {pages}) p
@@ -296,3 +296,4 @@ class Fixtures:
         return self._view[name]
 
     __getitem__ = table
+    view = _view_of
