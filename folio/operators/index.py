@@ -59,20 +59,41 @@ def front_matter_block(md: Column) -> Column:
     return F.when((md != "") & _is_delim(F.element_at(ls, 1)), block)
 
 
+def _first_line(md: Column) -> Column:
+    return F.substring_index(md, "\n", 1)
+
+
+def _once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Materialise ``expr`` as column ``name`` exactly once per row.
+
+    Filters above a generator are not pushed below it, so the (whole-text)
+    expression is not re-evaluated inside pushed-down predicates."""
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
 def build_article_index(markdown: DataFrame, base_path: str = "work/processed") -> DataFrame:
     """K6: one index row per article with front matter; files without it, or
-    whose front matter is not flat YAML, are skipped (V13: empty files too)."""
-    m = markdown.select("slug", front_matter_block(F.col("md")).alias("fm"))
-    m = m.filter(F.col("fm").isNotNull()).select("slug", parse_flat_yaml(F.col("fm")).alias("kv"))
+    whose front matter is not flat YAML, are skipped (V13: empty files too).
+
+    A cheap first-line test drops files without front matter before any
+    whole-text work; the text is split into lines once."""
+    m = markdown.filter((F.col("md") != "") & _is_delim(_first_line(F.col("md")))).select("slug", "md")
+    m = _once(m, "_ls", _lines(F.col("md"))).drop("md")
+    m = m.withColumn("_rest", F.slice("_ls", 2, F.greatest(F.size("_ls") - 1, F.lit(0)))).drop("_ls")
+    m = m.withColumn("_end", F.array_position(F.transform("_rest", _is_delim), True))
+    m = m.select("slug", F.when(F.col("_end") > 0, F.slice("_rest", 1, (F.col("_end") - 1).cast("int")))
+                 .otherwise(F.col("_rest")).alias("fm"))
+    m = _once(m, "kv", parse_flat_yaml(F.col("fm"))).drop("fm")
     m = m.filter(F.forall("kv", lambda x: x["ok"]))
-    title, author, pub, src = (_get(F.col("kv"), k) for k in ("title", "author", "publication-date", "source-url"))
+    m = m.select("slug", *[F.try_element_at(_get(F.col("kv"), k), F.lit(1)).alias(a) for k, a in
+                           (("title", "_t"), ("author", "_a"), ("publication-date", "_p"), ("source-url", "_s"))])
     return m.select(
         "slug",
         F.concat(F.lit(base_path.rstrip("/") + "/"), F.col("slug"), F.lit(".md")).alias("path"),
-        F.when(F.size(title) > 0, title[0]["v"]).otherwise(F.lit(DEFAULT_TITLE)).alias("title"),
-        F.when(F.size(author) > 0, author[0]["v"]).otherwise(F.lit(INDEX_DEFAULT_AUTHOR)).alias("author"),
-        F.when(F.size(pub) > 0, pub[0]["v"]).alias("publication_date"),
-        F.when(F.size(src) > 0, url_domain(src[0]["v"])).alias("domain"))
+        F.when(F.col("_t").isNull(), F.lit(DEFAULT_TITLE)).otherwise(F.col("_t.v")).alias("title"),
+        F.when(F.col("_a").isNull(), F.lit(INDEX_DEFAULT_AUTHOR)).otherwise(F.col("_a.v")).alias("author"),
+        F.col("_p.v").alias("publication_date"),
+        url_domain(F.col("_s.v")).alias("domain"))
 
 
 def query_articles(index: DataFrame, author: str | None = None, domain: str | None = None,
@@ -103,8 +124,7 @@ def export_query_subset(markdown: DataFrame, selection: DataFrame, path: str) ->
 
 def corrupt_markdown(markdown: DataFrame) -> DataFrame:
     """files whose first line (trimmed) is not ``---``."""
-    first = F.element_at(_lines(F.col("md")), 1)
-    return markdown.filter(~_is_delim(first))
+    return markdown.filter(~_is_delim(_first_line(F.col("md"))))
 
 
 def repair_markdown(markdown: DataFrame) -> DataFrame:
@@ -112,7 +132,7 @@ def repair_markdown(markdown: DataFrame) -> DataFrame:
     the first two delimiters, keys are kebab-cased and the block is written
     back in front of the untouched body. Files without two delimiters or with
     non-flat YAML get ``repaired = null`` (skipped)."""
-    c = corrupt_markdown(markdown).select("slug", "md", _lines(F.col("md")).alias("ls"))
+    c = _once(corrupt_markdown(markdown).select("slug", "md"), "ls", _lines(F.col("md")))
     idx = F.filter(F.sequence(F.lit(1), F.greatest(F.size("ls"), F.lit(1))),
                    lambda i: _is_delim(F.element_at(F.col("ls"), i)))
     c = c.withColumn("d", idx)

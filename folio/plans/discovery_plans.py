@@ -25,8 +25,9 @@ def ignored_of(fx):
 
 _LINKS = W("fx_docs", "fx_links", "fx_ignored", "fx_aliases", "fx_queue") + f"""
 L AS (SELECT source_key, pos, href, link_text FROM fx_links
-      UNION ALL SELECT concat('post-', CAST(doc_id AS VARCHAR)), 0, concat('https://author', CAST(doc_id % 7 AS VARCHAR),
-        '.substack.com/p/post-', CAST(doc_id * 7 % 1500 AS VARCHAR), '?ref=x'), 'next' FROM fx_docs WHERE doc_id % 13 <> 0),
+      UNION ALL SELECT concat('post-', CAST(doc_id AS VARCHAR)) AS source_key, 0 AS pos, concat('https://author',
+        CAST(doc_id % 7 AS VARCHAR), '.substack.com/p/post-', CAST(doc_id * 7 % 1500 AS VARCHAR), '?ref=x') AS href,
+        'next' AS link_text FROM fx_docs WHERE doc_id % 13 <> 0),
 IG AS (SELECT DISTINCT {d_strip('line')} AS domain FROM fx_ignored
        WHERE {d_strip('line')} <> '' AND NOT starts_with({d_strip('line')}, '#')),
 H AS (SELECT *, coalesce({d_host('href')}, CASE WHEN regexp_matches(href, '{OTHER_SCHEME_RX}') THEN '' END) AS h FROM L),
