@@ -65,7 +65,8 @@ def main() -> None:
             scan_pages(fx["fx_pages"]), fx["fx_meta"], fx["fx_completed"])))),
     }
 
-    run(scan_pages(fx["pages"], url_col="url").select("page_key"))   # warm-up
+    from folio.operators.html_pass import html_pass
+    run(html_pass(scan_pages(fx["pages"], url_col="url"), ["page_key"], parts=("links",)))   # warm-up (JVM + Python workers)
     times = {}
     for name, fn in plans.items():
         best = None

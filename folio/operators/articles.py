@@ -16,6 +16,7 @@ from folio.functions import (article_key, clean_markdown, front_matter, strip_ws
                              url_slug)
 from folio.functions.text import DEFAULT_AUTHOR, DEFAULT_DATE, DEFAULT_SOURCE, DEFAULT_TITLE
 from folio.operators.html_pass import html_pass
+from folio.session import materialize
 from folio.sources.tables import completed_set, scan_fetch_meta
 
 
@@ -62,7 +63,8 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     ``pages``: S1 rows (page_key, source_url, html); ``meta``: S2 rows;
     ``completed``: the ledger (post_id, seq)."""
     parts = ("meta", "body", "images") if with_markdown else ("meta",)
-    p = extract_metadata(parsed_pages(pages, parts))
+    # the one Python pass, written once; all branches below read the result
+    p = extract_metadata(materialize(parsed_pages(pages, parts), "parsed-pages"))
     m = scan_fetch_meta(meta).withColumnRenamed("page_key", "m_key")
     # A page needs its metadata; left join keeps the orphans for quarantine.
     j = p.join(m, p.page_key == m.m_key, "left")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import (host_first_label, url_canonical, url_domain,
                              url_host)
-from folio.functions.urls import OTHER_SCHEME_RX, with_link_class
+from folio.functions.urls import OTHER_SCHEME_RX, classify_parts, with_url_parts
 from folio.operators.html_pass import html_pass
 from folio.operators.joins import sized_broadcast
 from folio.sources.tables import alias_map, scan_url_queue
@@ -37,21 +37,40 @@ def link_host(href) -> F.Column:
     return F.coalesce(url_host(h), F.when(h.rlike(OTHER_SCHEME_RX), F.lit("")))
 
 
+_P = "_lk_"          # prefix of the per-link URL-part columns
+_PARTS = [_P + s for s in ("ok", "host", "path", "scheme")]
+
+
+def with_link_parts(links: DataFrame) -> DataFrame:
+    """Parse each href once into columns (``_lk_ok/host/path/scheme``); every
+    later rule reads these columns instead of re-running the URL regexes."""
+    return links if _P + "ok" in links.columns else with_url_parts(links, "href", _P)
+
+
+def strip_link_parts(df: DataFrame) -> DataFrame:
+    return df.drop(*_PARTS)
+
+
 def drop_ignored(links: DataFrame, ignored: DataFrame) -> DataFrame:
     """drop links whose host or first host label is ignored, or whose URL is
-    malformed. Two ``left_anti`` joins on equality (an OR condition would
-    force a nested-loop join)."""
+    malformed (mailto/file URLs are valid with an empty host). Two ``left_anti``
+    joins on equality (an OR condition would force a nested-loop join); the
+    ignore list is a size-checked broadcast, so the skewed host column is never
+    shuffled."""
     ign = sized_broadcast(ignored.select(F.col("domain").alias("ign")))
-    l2 = links.withColumn("_host", link_host("href")).filter(F.col("_host").isNotNull()) \
-              .withColumn("_label", host_first_label(F.col("_host")))
+    l2 = with_link_parts(links)
+    l2 = l2.withColumn("_host", F.when(F.col(_P + "ok"), F.col(_P + "host"))
+                       .when(F.col("href").rlike(OTHER_SCHEME_RX), F.lit("")))
+    l2 = l2.filter(F.col("_host").isNotNull()).withColumn("_label", host_first_label(F.col("_host")))
     l2 = l2.join(ign, l2._host == ign.ign, "left_anti")
     l2 = l2.join(ign, l2._label == ign.ign, "left_anti")
     return l2.drop("_host", "_label")
 
 
 def classify(links: DataFrame) -> DataFrame:
-    """Adds ``link_class``."""
-    return with_link_class(links, "href", "link_class")
+    """Adds ``link_class`` (from the parsed URL parts)."""
+    l2 = with_link_parts(links)
+    return l2.withColumn("link_class", classify_parts(*[F.col(c) for c in _PARTS]))
 
 
 def known_domains(aliases: DataFrame) -> DataFrame:
@@ -74,7 +93,8 @@ def approved_articles(classified: DataFrame, domains: DataFrame | None) -> DataF
     arts = classified.filter(F.col("link_class") == "substack_article")
     if domains is None:
         return arts
-    a = arts.withColumn("_d", url_domain("href"))
+    d = F.col(_P + "host") if _P + "host" in arts.columns else url_domain("href")
+    a = arts.withColumn("_d", d)
     return a.join(domains.select(F.col("domain").alias("_d")), "_d", "left_semi").drop("_d")
 
 
@@ -85,8 +105,8 @@ def discover(links: DataFrame, ignored: DataFrame, aliases: DataFrame, queue: Da
     approved = approved_articles(kept, None if expand else known_domains(aliases))
     candidates = approved.select(url_canonical("href").alias("url")).distinct()
     new = candidates.join(known_urls(aliases, queue), "url", "left_anti")
-    return {"classified": kept, "approved": approved, "new_urls": new,
-            "external": kept.filter(F.col("link_class") == "external")}
+    return {"classified": strip_link_parts(kept), "approved": strip_link_parts(approved), "new_urls": new,
+            "external": strip_link_parts(kept.filter(F.col("link_class") == "external"))}
 
 
 def discover_new_articles(links, ignored, aliases, queue, expand=False) -> DataFrame:

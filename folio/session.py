@@ -72,3 +72,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
     return p
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint root and read it back.
+
+    Used where one expensive result feeds several branches (the HTML pass feeds
+    the metadata join, the ledger join and the first-per-post aggregate): it is
+    computed once, lineage is cut (a lost executor does not re-run the Python
+    pass), and each branch reads only the columns it needs."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
