@@ -34,6 +34,10 @@ SCOPE_TAGS = {"applet", "caption", "html", "table", "td", "th", "marquee", "obje
               "template", "button"}
 LIST_SCOPE_TAGS = SCOPE_TAGS | {"ul", "ol"}
 WS = " \t\n\x0b\x0c\r"
+# Interactive page furniture removed from the body by the ``clean`` option
+# (tag, class token): share popups, subscribe widgets, share buttons, post footer.
+CLEAN_SELECTORS = [("div", "share-dialog"), ("div", "subscribe-widget"), ("div", "subscribe-footer"),
+                   ("p", "button-wrapper"), ("div", "post-footer")]
 # ---------------------------------------------------------------------------
 
 _URL_RX = re.compile(r"^[ \t\n\x0b\x0c\r]*(?i:https?|ftp)://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)")
@@ -237,9 +241,27 @@ def _has_classes(node, *classes):
     return all(c in toks for c in classes)
 
 
+def remove_furniture(root: Node) -> None:
+    """Drop the CLEAN_SELECTORS elements (and their subtrees) in place."""
+    stack = [root]
+    while stack:
+        n = stack.pop()
+        keep = []
+        for c in n.children:
+            if isinstance(c, Node) and any(c.tag == t and _has_classes(c, k) for t, k in CLEAN_SELECTORS):
+                continue
+            keep.append(c)
+            if isinstance(c, Node):
+                stack.append(c)
+        n.children = keep
+
+
 def extract(html: str, parts: frozenset) -> dict:
-    """All requested raw fields of one page."""
+    """All requested raw fields of one page (``clean`` in ``parts`` removes
+    page furniture before the body is compiled)."""
     root = parse_html(html)
+    if "clean" in parts:
+        remove_furniture(root)
     out = {}
     canon = ld = title = author = published = None
     div_body = article = body = None
@@ -333,6 +355,7 @@ def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
     (+ ``parse_error``). Only ``keys`` and ``html`` cross into Python; ``html``
     is dropped from the output unless ``keep_html``."""
     parts = frozenset(parts)
+    data_parts = parts - {"clean"}
     spark = pages.sparkSession
     cur = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
     if cur > HTML_ARROW_BATCH_ROWS:
@@ -340,12 +363,12 @@ def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
     src = _spread(pages.select(*keys, html_col))
     in_schema = src.schema
     fields = [f for f in in_schema.fields if keep_html or f.name != html_col]
-    for p in sorted(parts):
+    for p in sorted(data_parts):
         fields += [T.StructField(n, t) for n, t in PART_FIELDS[p]]
     fields.append(T.StructField("parse_error", T.StringType()))
     out_schema = T.StructType(fields)
     out_names = [f.name for f in fields]
-    raw_names = [n for p in sorted(parts) for n, _ in PART_FIELDS[p]]
+    raw_names = [n for p in sorted(data_parts) for n, _ in PART_FIELDS[p]]
     passthrough = [f.name for f in in_schema.fields if keep_html or f.name != html_col]
 
     def run(batches):

@@ -41,3 +41,11 @@ def test_tree_recovery_unclosed_p_and_b():
 def test_short_page_body_text():
     html = "<html><head><script>var e='Too Many Requests'</script></head><body><pre>Too Many Requests</pre></body></html>"
     assert extract(html, frozenset({"body_text"}))["body_text"] == "Too Many Requests"
+
+
+def test_clean_option_removes_furniture():
+    html = ("<body><div class='body markup'><p>keep</p><div class='share-dialog'><p>share</p></div>"
+            "<p class='button-wrapper x'>btn</p><div class='subscribe-widget'>sub</div>"
+            "<div class='post-footer'>like</div></div></body>")
+    assert extract(html, frozenset({"body", "clean"}))["body_md"] == "\nkeep\n"
+    assert "share" in extract(html, frozenset({"body"}))["body_md"]
