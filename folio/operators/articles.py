@@ -61,10 +61,18 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     inside the batch: ledger-only), or ``error`` (K7 quarantine, with ``error``).
 
     ``pages``: S1 rows (page_key, source_url, html); ``meta``: S2 rows;
-    ``completed``: the ledger (post_id, seq)."""
+    ``completed``: the ledger (post_id, seq).
+
+    Plan: (1) the HTML pass runs once and is written (``materialize``);
+    (2) all decisions — J1 metadata join, defaults, keys, J5 ledger join, V5
+    first-per-post — run on a narrow projection of it (no Markdown in those
+    shuffles; the ledger/post-id shuffles carry ~100 bytes per page);
+    (3) the wide columns (Markdown, images) join back once on the unique page
+    key, so the only wide shuffle is evenly spread."""
     parts = ("meta", "body", "images") if with_markdown else ("meta",)
-    # the one Python pass, written once; all branches below read the result
-    p = extract_metadata(materialize(parsed_pages(pages, parts), "parsed-pages"))
+    parsed = materialize(parsed_pages(pages, parts), "parsed-pages")
+    p = extract_metadata(parsed.select("page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
+                                       "title_text", "meta_author", "meta_published", "canonical_href"))
     m = scan_fetch_meta(meta).withColumnRenamed("page_key", "m_key")
     # A page needs its metadata; left join keeps the orphans for quarantine.
     j = p.join(m, p.page_key == m.m_key, "left")
@@ -83,16 +91,14 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
          .otherwise(F.lit(DEFAULT_SOURCE)).alias("source_url"),
         F.col("canonical_url"),
         F.col("fetch_timestamp"),
-        F.col("has_fetch_ts"),
+        F.coalesce(F.col("has_fetch_ts"), F.lit(False)).alias("has_fetch_ts"),
         F.when(strip_ws(slug) != "", slug).alias("post_id"),    # V12: "" is no id
-        *([F.col("body_kind"), F.col("body_md"), F.col("images"), F.col("image_errors")]
-          if with_markdown else []),
         error.alias("error"),
     ).withColumn("article_key", article_key(F.col("post_id"), F.col("source_url")))
     ok = j.filter(F.col("error").isNull())
     bad = j.filter(F.col("error").isNotNull())
     # Post id already in the ledger -> ledger-only; AQE broadcasts the
-    # distinct ledger when it is small and shuffles otherwise.
+    # distinct ledger when it is small and shuffles the narrow side otherwise.
     done = completed_set(completed).select(F.col("post_id").alias("done_id"), F.lit(True).alias("in_ledger"))
     ok = ok.join(done, ok.post_id == done.done_id, "left").drop("done_id")
     ok = _first_per_post(ok)
@@ -101,24 +107,26 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     ok = ok.withColumn("status", status).drop("in_ledger", "is_first")
     bad = bad.withColumn("status", F.lit("error"))
     out = ok.unionByName(bad)
-    if with_markdown:
-        fm = front_matter({
-            "title": (F.lit(True), F.col("title")),
-            "author": (F.lit(True), F.col("author")),
-            "publication-date": (F.lit(True), F.col("publication_date")),
-            "source-url": (F.lit(True), F.col("source_url")),
-            "canonical-url": (F.lit(True), F.col("canonical_url")),
-            "fetch-timestamp": (F.col("has_fetch_ts"), F.col("fetch_timestamp")),
-            "post-id": (F.lit(True), F.col("post_id")),
-            "article-key": (F.lit(True), F.col("article_key")),
-        })
-        out = out.withColumn("front_matter", fm) \
-                 .withColumn("body_markdown", clean_markdown(F.col("body_md"))) \
-                 .withColumn("markdown", F.when(F.col("status") == "compiled",
-                                                F.concat(F.col("front_matter"), F.col("body_markdown")))) \
-                 .withColumn("n_images", F.size(F.coalesce(F.col("images"), F.array())).cast("int")) \
-                 .drop("body_md")
-    return out
+    if not with_markdown:
+        return out
+    wide = parsed.select("page_key", "body_kind", "body_md", "images", "image_errors")
+    out = out.join(wide, "page_key")
+    fm = front_matter({
+        "title": (F.lit(True), F.col("title")),
+        "author": (F.lit(True), F.col("author")),
+        "publication-date": (F.lit(True), F.col("publication_date")),
+        "source-url": (F.lit(True), F.col("source_url")),
+        "canonical-url": (F.lit(True), F.col("canonical_url")),
+        "fetch-timestamp": (F.col("has_fetch_ts"), F.col("fetch_timestamp")),
+        "post-id": (F.lit(True), F.col("post_id")),
+        "article-key": (F.lit(True), F.col("article_key")),
+    })
+    return out.withColumn("front_matter", fm) \
+              .withColumn("body_markdown", clean_markdown(F.col("body_md"))) \
+              .withColumn("markdown", F.when(F.col("status") == "compiled",
+                                             F.concat(F.col("front_matter"), F.col("body_markdown")))) \
+              .withColumn("n_images", F.size(F.coalesce(F.col("images"), F.array())).cast("int")) \
+              .drop("body_md")
 
 
 ARTICLE_COLUMNS = ["page_key", "article_key", "post_id", "title", "author", "publication_date",

@@ -58,20 +58,27 @@ def orphans(pages: DataFrame, meta: DataFrame) -> DataFrame:
 
 def verify_integrity(pages: DataFrame, meta: DataFrame) -> DataFrame:
     """M1: one finding row per problem (page_key, category, reason); a page may
-    have several. V10: the canonical-slug check is done as documented."""
+    have several. V10: the canonical-slug check is done as documented.
+
+    The page side is reduced to narrow facts first (byte size and corruption
+    reason natively, canonical slug from the HTML pass), so only those facts —
+    never the HTML — take part in the joins with the metadata."""
     orph = orphans(pages, meta)
     orphan_rows = orph.filter(F.col("category") != "matched") \
         .select("page_key", "category", F.lit(None).cast("string").alias("reason"))
-    m = scan_fetch_meta(meta)
-    matched = pages.join(m.select("page_key", "meta_valid", "has_source_url", "meta_source_url"), "page_key")
-    p = extract_metadata(html_pass(matched, ["page_key", "meta_valid", "has_source_url", "meta_source_url"],
-                                   parts=("meta",), keep_html=True))
+    facts = pages.select("page_key", "html",
+                         F.octet_length("html").alias("n_bytes"),
+                         content_corruption_reason("html").alias("corruption"))
+    facts = extract_metadata(html_pass(facts, ["page_key", "n_bytes", "corruption"], parts=("meta",))) \
+        .select("page_key", "n_bytes", "corruption", "canonical_slug")
+    m = scan_fetch_meta(meta).select("page_key", "meta_valid", "has_source_url", "meta_source_url")
+    p = facts.join(m, "page_key")
     expected = url_filename("meta_source_url")
     f = lambda cond, cat, reason: F.when(cond, F.struct(F.lit(cat).alias("category"),
                                                         reason.alias("reason")))
     findings = F.array_compact(F.array(
-        f(F.octet_length("html") < MIN_HTML_BYTES, "corrupt_html", F.lit(REASON_SMALL)),
-        f(content_corruption_reason("html").isNotNull(), "corrupt_html", content_corruption_reason("html")),
+        f(F.col("n_bytes") < MIN_HTML_BYTES, "corrupt_html", F.lit(REASON_SMALL)),
+        f(F.col("corruption").isNotNull(), "corrupt_html", F.col("corruption")),
         f(~F.col("meta_valid"), "corrupt_meta", F.lit(REASON_BAD_JSON)),
         f(F.col("meta_valid") & ~F.col("has_source_url"), "corrupt_meta", F.lit(REASON_NO_SOURCE)),
         f(F.col("has_source_url") & (expected != F.concat(F.col("page_key"), F.lit(".html"))), "mismatched",
