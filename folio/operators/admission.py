@@ -185,3 +185,23 @@ def ingest_pages(crawled: DataFrame, fetch_ts: str) -> DataFrame:
     return p.select("page_key", F.col("url").alias("source_url"), meta.alias("meta_json"),
                     F.when(is_short_error_page("html", "body_text"), F.lit("retry"))
                      .otherwise(F.lit("store")).alias("action"))
+
+
+FEED_TYPE_MISMATCH = "feed type does not match the document"
+
+
+def feed_job_candidates(feed_jobs: DataFrame, entries: DataFrame) -> DataFrame:
+    """x_feed_jobs: jobs naming a feed explicitly (``feed_type`` atom|rss and
+    ``feed_url``) -> the entries of that document; a declared type that does
+    not match the document's root, or a feed error, gives one error row."""
+    e = entries.withColumnRenamed("kind", "doc_kind")
+    j = feed_jobs.join(e, "feed_url")
+    ok = (F.col("error").isNull()) & (F.col("doc_kind") == F.col("feed_type"))
+    good = j.filter(ok).select("job_id", "feed_url", "pos", "link", "published_date", "post_id",
+                               F.lit(None).cast("string").alias("error"))
+    bad = j.filter(~ok).groupBy("job_id", "feed_url") \
+        .agg(F.max(F.coalesce("error", F.lit(FEED_TYPE_MISMATCH))).alias("error")) \
+        .select("job_id", "feed_url", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("link"),
+                F.lit(None).cast("string").alias("published_date"), F.lit(None).cast("string").alias("post_id"),
+                "error")
+    return good.unionByName(bad)

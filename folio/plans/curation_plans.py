@@ -74,3 +74,19 @@ def x_clean_body_q(fx):
     """Body Markdown with share/subscribe/footer furniture removed first."""
     p = html_pass(scan_pages(fx["fx_pages"]), ["page_key"], parts=("body", "clean"))
     return p.select("page_key", U.clean_markdown("body_md").alias("body_markdown"))
+
+
+@plan("x_feed_jobs", _ADM + """, FJ AS (
+SELECT concat('feedjob-', feed_url) AS job_id, feed_url,
+  CASE WHEN CAST(regexp_extract(feed_url, 'page=([0-9]+)', 1) AS BIGINT) % 3 = 0
+       THEN CASE WHEN kind = 'atom' THEN 'rss' ELSE 'atom' END ELSE kind END AS feed_type
+FROM (SELECT DISTINCT feed_url, kind FROM EN) f)
+SELECT FJ.job_id, EN.feed_url, EN.pos, EN.link, EN.published_date, EN.post_id, CAST(NULL AS VARCHAR) AS error
+FROM FJ JOIN EN ON FJ.feed_url = EN.feed_url WHERE FJ.feed_type = EN.kind
+UNION ALL SELECT DISTINCT FJ.job_id, FJ.feed_url, CAST(NULL AS INT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+  CAST(NULL AS VARCHAR), 'feed type does not match the document'
+FROM FJ JOIN EN ON FJ.feed_url = EN.feed_url WHERE FJ.feed_type <> EN.kind""")
+def x_feed_jobs_q(fx):
+    """Jobs of type atom:/rss: naming a feed URL directly."""
+    from folio.operators.admission import feed_job_candidates
+    return feed_job_candidates(fx["fx_feed_jobs"], feed_entries(fx["fx_feeds"]))

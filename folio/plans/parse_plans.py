@@ -235,3 +235,13 @@ UNION SELECT 'alias', canonical_url, post_id FROM r WHERE canonical_url IS NOT N
 def rebuild_ledger_q(fx):
     """M5: ledger and alias map are a pure function of pages + metadata."""
     return A.rebuild_ledger(scan_pages(fx["fx_pages"]), fx["fx_meta"])
+
+
+@plan("first_valid", _PARSE + """SELECT page_key, CASE WHEN doc_id % 13 = 0 THEN NULL ELSE concat('Doc ', CAST(doc_id AS VARCHAR)) END
+  AS first_title, canonical_url AS first_canonical, body_kind FROM e""")
+def first_valid_q(fx):
+    """O2: "first" selections of the pass: first <title> (trimmed), first
+    canonical link, first matching body container."""
+    p = A.parsed_pages(scan_pages(fx["fx_pages"]), parts=("meta", "body"))
+    return p.select("page_key", U.strip_ws("title_text").alias("first_title"),
+                    F.col("canonical_href").alias("first_canonical"), "body_kind")

@@ -213,6 +213,15 @@ FIXTURES["fx_feeds"] = (["fx_feed_entries"], {
     "duckdb": _sub(_FEEDS2, {"agg": "string_agg(entry, '' ORDER BY doc_id)"}),
 })
 
+# Explicit feed jobs (``atom:`` / ``rss:`` with a feed URL), one per feed
+# document; every third page declares the other type (a mismatch).
+FIXTURES["fx_feed_jobs"] = (["fx_feeds"], """
+SELECT concat('feedjob-', feed_url) AS job_id, feed_url,
+  CASE WHEN CAST(regexp_extract(feed_url, 'page=([0-9]+)', 1) AS BIGINT) % 3 = 0
+       THEN CASE WHEN kind = 'atom' THEN 'rss' ELSE 'atom' END ELSE kind END AS feed_type
+FROM {fx_feeds} WHERE kind IN ('atom', 'rss')
+""")
+
 # Stored Markdown articles (input of the index build and of repair): normal
 # files, files whose front matter was corrupted (a line moved above the first
 # delimiter, snake_case keys), one without delimiters per 97 docs, one empty.
