@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import (feed_date_atom, feed_date_rss, feed_post_id, feed_url, page_key,
-                             strip_ws, url_canonical, url_host, url_slug)
+                             url_canonical, url_host, url_slug)
 from folio.operators.html_pass import html_pass
 from folio.operators.joins import sized_broadcast
 from folio.sources.tables import alias_map, completed_set

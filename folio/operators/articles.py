@@ -55,13 +55,15 @@ def _first_per_post(df: DataFrame) -> DataFrame:
 
 
 def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
-                with_markdown: bool = True) -> DataFrame:
+                with_markdown: bool = True, work_dir: str | None = None) -> DataFrame:
     """Every page of the batch with its article fields and a ``status``:
     ``compiled`` (new article), ``duplicate`` (already complete, or a later copy
     inside the batch: ledger-only), or ``error`` (K7 quarantine, with ``error``).
 
     ``pages``: S1 rows (page_key, source_url, html); ``meta``: S2 rows;
-    ``completed``: the ledger (post_id, seq).
+    ``completed``: the ledger (post_id, seq); ``work_dir``: where the pass
+    output is written (default: a fresh folder under the checkpoint root; a
+    streaming batch passes its own folder so that a replay overwrites it).
 
     Plan: (1) the HTML pass runs once and is written (``materialize``);
     (2) all decisions — J1 metadata join, defaults, keys, J5 ledger join, V5
@@ -70,7 +72,7 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     (3) the wide columns (Markdown, images) join back once on the unique page
     key, so the only wide shuffle is evenly spread."""
     parts = ("meta", "body", "images") if with_markdown else ("meta",)
-    parsed = materialize(parsed_pages(pages, parts), "parsed-pages")
+    parsed = materialize(parsed_pages(pages, parts), "parsed-pages", path=work_dir)
     p = extract_metadata(parsed.select("page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
                                        "title_text", "meta_author", "meta_published", "canonical_href"))
     m = scan_fetch_meta(meta).withColumnRenamed("page_key", "m_key")

@@ -5,7 +5,6 @@ URL shapes from the generated pages)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from folio.functions.urls import OTHER_SCHEME_RX
 from folio.operators import discovery as D

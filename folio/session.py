@@ -74,7 +74,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return p
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, path: str | None = None):
     """Write ``df`` as Parquet under the shared checkpoint root and read it back.
 
     Used where one expensive result feeds several branches (the HTML pass feeds
@@ -82,6 +82,6 @@ def materialize(df, name: str):
     computed once, lineage is cut (a lost executor does not re-run the Python
     pass), and each branch reads only the columns it needs."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -57,7 +57,8 @@ def run_incremental_extract(spark: SparkSession, inbox: str, schema, meta: DataF
 
     def each(batch: DataFrame, batch_id: int) -> None:
         prior = _earlier(spark, ledger, batch_id).filter(F.col("kind") == "id").select("post_id")
-        st = parse_stage(batch, meta, base.unionByName(prior).withColumn("seq", F.lit(0).cast("bigint")))
+        st = parse_stage(batch, meta, base.unionByName(prior).withColumn("seq", F.lit(0).cast("bigint")),
+                         work_dir=_batch_dir(f"{out_root}/parsed", batch_id))
         # one HTML pass per batch: the stage is written once, then read back
         st.drop("images").write.mode("overwrite").parquet(_batch_dir(stage, batch_id))
         written = spark.read.parquet(_batch_dir(stage, batch_id))
