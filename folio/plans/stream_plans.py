@@ -19,7 +19,7 @@ from folio.session import scratch_path
 from folio.sources.tables import ignore_set, scan_pages
 from folio.streaming import incremental as INC
 
-N_FILES = 4
+N_FILES = 3
 
 
 def _extract(fx):
