@@ -3,7 +3,7 @@
 from folio.operators.html_pass import extract, parse_html, to_markdown
 
 DOC = ("<html><head><title> T </title></head><body><div class=\"body markup\">"
-       "<h2>A Subheading</h2><p>A paragraph with a <a href=\"https://clojure.org\">link</a> and "
+       "<h2>A Subheading</h2><p>A paragraph with a <a href=\"https://example.org/docs\">link</a> and "
        "<strong>bold text</strong>.</p><figure><div><img src=\"http://example.com/test.png\">"
        "<figcaption>A test image</figcaption></div></figure><blockquote><p>A quote.</p></blockquote>"
        "</div></body></html>")
@@ -13,14 +13,14 @@ def test_markdown_fragments():
     out = extract(DOC, frozenset({"body", "images", "links", "meta"}))
     md = out["body_md"]
     assert "\n## A Subheading\n" in md
-    assert "paragraph with a [link](https://clojure.org)" in md
+    assert "paragraph with a [link](https://example.org/docs)" in md
     assert "and **bold text**." in md
     assert "> A quote." in md
     assert '![A test image](example.com/test.png "")' in md
     assert out["body_kind"] == "div.body.markup"
     assert out["images"] == [{"pos": 0, "src": "http://example.com/test.png", "alt": "", "title": "",
                               "caption": "A test image", "local_path": "example.com/test.png"}]
-    assert out["links"] == [{"pos": 0, "href": "https://clojure.org", "text": "link"}]
+    assert out["links"] == [{"pos": 0, "href": "https://example.org/docs", "text": "link"}]
     assert out["title_text"] == " T "
 
 
