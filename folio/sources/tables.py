@@ -59,12 +59,14 @@ def scan_url_queue(queue: DataFrame, states=("pending", "done")) -> DataFrame:
 
 
 def read_url_lists(spark: SparkSession, path_glob: str, state: str) -> DataFrame:
-    """S3 over ``*.txt`` URL lists; ``pos`` is the line number within its file."""
-    df = spark.read.text(path_glob)
-    return scan_url_queue(df.select(
-        F.col("_metadata.file_name").alias("list_name"),
-        F.monotonically_increasing_id().alias("pos"),   # file order within a split
-        F.col("value").alias("url"), F.lit(state).alias("state")), states=(state,))
+    """S3 over ``*.txt`` URL lists; ``pos`` is the exact line number within its
+    file (each list is read whole and split, so the order never depends on how
+    the file was split into tasks)."""
+    df = spark.read.text(path_glob, wholetext=True)
+    lines = df.select(F.col("_metadata.file_name").alias("list_name"),
+                      F.posexplode(F.split(F.col("value"), "\r?\n", -1)).alias("pos", "url"))
+    return scan_url_queue(lines.select("list_name", F.col("pos").cast("bigint").alias("pos"), "url",
+                                       F.lit(state).alias("state")), states=(state,))
 
 
 def completed_set(completed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from folio.operators.articles import rebuild_ledger
 from folio.session import scratch_path
 from folio.sources.fixtures import Fixtures
 from folio.sources.tables import (read_fetch_meta_files, read_markdown_files, read_page_files,
-                                  scan_pages)
+                                  read_url_lists, scan_pages)
 from folio.streaming import incremental as INC
 from tests.conftest import SF_SMALL
 
@@ -65,3 +65,12 @@ def test_file_sources(spark):
     assert m == {"a-post": (True, "https://h.org/p/a-post"), "b_post": (False, None)}
     md = [(r.slug, r.md) for r in read_markdown_files(spark, f"{d}/md").collect()]
     assert md == [("a-post", "---\ntitle: T\n---\n\nbody")]
+
+
+def test_url_list_files(spark):
+    d = tempfile.mkdtemp(prefix="folio-lists-")
+    open(f"{d}/job-1.txt", "w").write("https://a.org/p/x\n\n   \nhttps://a.org/p/y\n")
+    open(f"{d}/job-2.txt", "w").write("https://b.org/p/z")
+    got = sorted((r.list_name, r.pos, r.url) for r in read_url_lists(spark, f"{d}/*.txt", "done").collect())
+    assert got == [("job-1.txt", 0, "https://a.org/p/x"), ("job-1.txt", 3, "https://a.org/p/y"),
+                   ("job-2.txt", 0, "https://b.org/p/z")]
