@@ -64,7 +64,7 @@ def read_url_lists(spark: SparkSession, path_glob: str, state: str) -> DataFrame
     the file was split into tasks)."""
     df = spark.read.text(path_glob, wholetext=True)
     lines = df.select(F.col("_metadata.file_name").alias("list_name"),
-                      F.posexplode(F.split(F.col("value"), "\r?\n", -1)).alias("pos", "url"))
+                      F.posexplode(F.split(F.col("value"), r"\r?\n", -1)).alias("pos", "url"))
     return scan_url_queue(lines.select("list_name", F.col("pos").cast("bigint").alias("pos"), "url",
                                        F.lit(state).alias("state")), states=(state,))
 
