@@ -245,3 +245,15 @@ def first_valid_q(fx):
     p = A.parsed_pages(scan_pages(fx["fx_pages"]), parts=("meta", "body"))
     return p.select("page_key", U.strip_ws("title_text").alias("first_title"),
                     F.col("canonical_href").alias("first_canonical"), "body_kind")
+
+
+ROWS_ONLY = {"html_to_markdown_pages"}
+
+
+@plan("html_to_markdown_pages")
+def html_to_markdown_pages_q(fx):
+    """E2 + E4 over the generated pages (sloppy HTML: unclosed tags, scripts
+    holding markup, navigation). Not expressible in SQL: rows-only here, and
+    checked against a direct run of the same parser in tests."""
+    p = A.parsed_pages(scan_pages(fx["pages"], url_col="url"), parts=("body",))
+    return p.select("page_key", "body_kind", U.clean_markdown("body_md").alias("body_markdown"), "parse_error")
