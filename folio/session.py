@@ -69,8 +69,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     p = f"{root}/folio/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
+    local = p[len("file:"):] if p.startswith("file:") and not p.startswith("file://") else p
+    if "://" not in local:       # shared file systems (hdfs://, s3a://, ...) create it on write
+        os.makedirs(local, exist_ok=True)
     return p
 
 
