@@ -48,20 +48,17 @@ def build_session(master: str | None = None, app: str = "folio",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (HDFS/S3/...). Only a local-mode session without
-    the setting gets a private temporary folder, as in tests.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    On a cluster this must be set (HDFS/S3/...). Only a local-mode session
+    without any checkpoint folder gets a private temporary one, as in tests
+    (``spark.checkpoint.dir`` is a static setting, so the fallback goes through
+    ``SparkContext.setCheckpointDir``)."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="folio-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="folio-ckpt-"))
+        d = sc.getCheckpointDir()
     return d.rstrip("/")
 
 

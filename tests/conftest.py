@@ -21,7 +21,7 @@ def spark():
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     # set a checkpoint folder only where the session has none (tests only)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="folio-test-"))
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="folio-test-"))
     yield spark
     spark.stop()
