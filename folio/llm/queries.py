@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import quality_rules, secret_scan, source_mix, token_output
+from folio.llm import block_repeats, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
 from folio.llm.common import table
 
 
@@ -29,7 +29,15 @@ def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op7_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_wavelet_tokens, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger)}
+    op1_wavelet_tokens, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op7_prefix_free_parsing, op8_block_anchors)}
 
 ORACLES: dict[str, str] = {}
