@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import block_repeats, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
+from folio.llm import block_repeats, minhash_dedup, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
 from folio.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_fast_similarity_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.components(table(spark, sf_dir, "documents"), words=minhash_dedup.WORDS)
+
+
 def op3_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,6 @@ def op8_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_wavelet_tokens, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op7_prefix_free_parsing, op8_block_anchors)}
+    op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op7_prefix_free_parsing, op8_block_anchors)}
 
 ORACLES: dict[str, str] = {}
