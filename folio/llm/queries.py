@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import block_repeats, minhash_dedup, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
+from folio.llm import block_repeats, language_id, minhash_dedup, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
 from folio.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_hierarchical_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,6 @@ def op8_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op7_prefix_free_parsing, op8_block_anchors)}
+    op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op6_hierarchical_language_id, op7_prefix_free_parsing, op8_block_anchors)}
 
 ORACLES: dict[str, str] = {}
