@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from folio.llm.wavelet import WaveletFile, build
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 #: Words that a worker keeps; beyond that it starts over (only a matter of speed).
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_000_000
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -72,13 +73,13 @@ class WordEncoder:
         pre = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         plain = all(not x["lstrip"] and not x["rstrip"] and not x["single_word"] for x in spec["added_tokens"])
         self.by_word = plain and set(steps) <= {"NFC", "Replace", "Lowercase"} and pre.get("type") == "Split" and pre.get("behavior") == "Removed" and pre.get("invert") is True
-        self._clear()
-
-    def _clear(self) -> None:
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_word = self.by_word and bool(suffix)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.index: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
+        self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, each followed by the end id, and their offsets."""
@@ -87,11 +88,11 @@ class WordEncoder:
             lens = np.array([len(x) for x in ids], dtype=np.int64)
             return np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(lens.sum())), np.concatenate([[0], np.cumsum(lens)])
         if len(self.index) > KEPT_WORDS:
-            self._clear()
+            self._forget(KEPT_WORDS // 2)
         words: list[bytes] = []
         ends = []
         for text in texts:
-            words += text.split()
+            words += (text if b"<|" in text else _apart(text.lower())).split()
             ends.append(len(words))
         get = self.index.get
         found = list(map(get, words))
@@ -101,62 +102,65 @@ class WordEncoder:
         at = np.array(found, dtype=np.int64)
         lens = self.length[at]
         before = np.concatenate([[0], np.cumsum(lens)])
-        ends = np.array(ends, dtype=np.int64)
         # room for an end id after each text
-        offsets = np.concatenate([[0], before[ends] + np.arange(1, len(ends) + 1)])
+        offsets = np.concatenate([[0], before[ends] + np.arange(1, len(ends) + 1)]).astype(np.int64)
         out = np.full(int(offsets[-1]), END_ID, dtype=np.uint32)
         keep = np.ones(len(out), dtype=bool)
         keep[offsets[1:] - 1] = False
-        source = np.arange(int(before[-1])) + np.repeat(self.start[at] - before[:-1], lens)
-        out[keep] = self.flat[source]
+        out[keep] = self.flat[np.arange(int(before[-1])) + np.repeat(self.start[at] - before[:-1], lens)]
         return out, offsets
 
+    def _forget(self, n: int) -> None:
+        """Keeps the ``n`` words that were met first, among them the frequent ones."""
+        self.index = dict(islice(self.index.items(), n))
+        self.start, self.length = self.start[:n], self.length[:n]
+        self.flat = self.flat[:int(self.start[-1] + self.length[-1]) if n else 0]
+
     def _learn(self, words: list[bytes]) -> None:
-        """Encodes new words. A word that ends in ASCII punctuation after a letter is two
-        pieces for the pre-tokenizer (apostrophes aside), and lower-casing comes first, so
-        few distinct pieces remain."""
-        split = []
-        for word in words:
-            text = word.decode("utf-8")
-            core = text.rstrip(".,;:!?*#$%&")
-            if core and len(core) < len(text) and core[-1].isalpha() and core.isascii():
-                split.append((core.lower(), text[len(core):]))
-            else:
-                split.append((text.lower() if text.isascii() and "<|" not in text else text,))
-        new = list(dict.fromkeys(p for parts in split for p in parts if p not in self.pieces))
-        if new:
-            for piece, x in zip(new, self._encode_pieces(new), strict=True):
-                self.pieces[piece] = x
-        for word, parts in zip(words, split, strict=True):
-            ids = self.pieces[parts[0]] if len(parts) == 1 else self.pieces[parts[0]] + self.pieces[parts[1]]
-            i = len(self.index)
-            if i >= len(self.start):
-                self.start, self.length = np.resize(self.start, 2 * i), np.resize(self.length, 2 * i)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.start[i], self.length[i] = self.used, len(ids)
-            self.used += len(ids)
-            self.index[word] = i
-
-    def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Pieces of ASCII only are encoded joined by spaces, where offsets say which ids
-        are whose; others alone, since the normalizer may change their length."""
-        out: dict[str, list[int]] = {}
-        plain = [p for p in pieces if p.isascii() and "<|" not in p and not any(c.isspace() or not c.isprintable() for c in p)]
-        for lo in range(0, len(plain), 2000):
-            group = plain[lo:lo + 2000]
-            enc = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
-            ids = enc.ids
-            starts = np.cumsum([0] + [len(p) + 1 for p in group[:-1]])
-            mine = np.searchsorted(starts, [a for a, _ in enc.offsets], "right") - 1
-            cut = np.searchsorted(mine, np.arange(len(group) + 1))
-            for k, p in enumerate(group):
-                out[p] = ids[int(cut[k]):int(cut[k + 1])]
-        rest = [p for p in pieces if p not in out]
+        """Encodes new words: those of letters alone joined by spaces, since each is one word
+        of the model and ends where a token with the word-end mark stands; others singly."""
+        letters = [w for w in words if w.isalpha() or _plain_letters(w)]
+        rest = set(words).difference(letters)
+        flat, lens = [self.flat], [self.length]
+        for lo in range(0, len(letters), 4000):
+            group = letters[lo:lo + 4000]
+            ids = np.array(self.tokenizer.encode(b" ".join(group).decode(), add_special_tokens=False).ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids])
+            if len(ends) != len(group):
+                raise ValueError("words of letters did not encode one by one")
+            flat.append(ids)
+            lens.append(np.diff(ends, prepend=-1))
         if rest:
-            out |= {p: x.ids for p, x in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True)}
-        return [out[p] for p in pieces]
+            rest = sorted(rest)
+            encoded = [x.ids for x in self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)]
+            flat.append(np.array([i for x in encoded for i in x], dtype=np.uint32))
+            lens.append(np.array([len(x) for x in encoded], dtype=np.int64))
+        learned = [*letters, *rest]
+        self.index.update(zip(learned, range(len(self.index), len(self.index) + len(learned)), strict=True))
+        self.flat, self.length = np.concatenate(flat), np.concatenate(lens)
+        self.start = np.cumsum(self.length) - self.length
+
+
+def _apart(text: bytes) -> bytes:
+    """A space between an ASCII letter and ASCII punctuation (no apostrophe) after it: the
+    pre-tokenizer cuts there and drops white space, so only fewer distinct words remain."""
+    data = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero(_LETTER[data[:-1]] & _PUNCTUATION[data[1:]]) + 1
+    return np.insert(data, at, 0x20).tobytes() if len(at) else text
+
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(ord("a"), ord("z") + 1)]] = True
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[list(b".,;:!?*#$%&|()")] = True
+
+
+def _plain_letters(word: bytes) -> bool:
+    """Letters up to the Latin extensions whose lower case is one letter each."""
+    if word.isascii():
+        return False
+    text = word.decode()
+    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
 
 
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
