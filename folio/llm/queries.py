@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import block_repeats, language_id, minhash_dedup, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
+from folio.llm import block_repeats, decontaminate, html_mincut, language_id, minhash_dedup, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
 from folio.llm.common import table
 
 
@@ -45,7 +45,20 @@ def op8_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op9_minimum_cut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mincut.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op6_hierarchical_language_id, op7_prefix_free_parsing, op8_block_anchors)}
+    op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op6_hierarchical_language_id, op7_prefix_free_parsing, op8_block_anchors, op9_minimum_cut_html, op10_template_decontamination, pipeline)}
 
 ORACLES: dict[str, str] = {}
