@@ -23,7 +23,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import fresh, partitions
+from folio.llm.common import partitions
 
 CHUNKS_PER_PARTITION = 2
 
@@ -147,11 +147,11 @@ def _bits(entries: Entries, replies: pa.Table, turn: int, n: int) -> np.ndarray:
 def by_chunk(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, text and ``chunk``: the range of ids (from sampled quantiles) it falls in."""
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], max(1e-5, 0.1 / n)))) if n > 1 else []
-    splits = [float("-inf"), *cuts, float("inf")]
-    (chunk,) = fresh(docs, "chunk")
-    at = Bucketizer(splits=splits, inputCol="at", outputCol=chunk)
-    cut = at.transform(docs.select("*", F.col("doc_id").cast("double").alias("at")))
-    return cut.select("doc_id", "text", F.col(chunk).cast("int").alias("chunk"))
+    if not cuts:
+        return docs.select("doc_id", "text", F.lit(0).alias("chunk"))
+    at = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="at", outputCol="range")
+    cut = at.transform(docs.select("doc_id", "text", F.col("doc_id").cast("double").alias("at")))
+    return cut.select("doc_id", "text", F.col("range").cast("int").alias("chunk"))
 
 
 def run(docs: DataFrame, finder: Finder, result: str) -> DataFrame:
