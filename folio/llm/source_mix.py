@@ -64,8 +64,7 @@ def targets(histogram: DataFrame) -> DataFrame:
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come to ``budget``
-    as nearly as possible without passing it."""
+    """How many documents of each length to take so that their words come near ``budget``."""
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
     take = np.zeros(len(lengths), dtype=np.int64)
@@ -83,7 +82,14 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         if more > 0:
             take[i] += more
             left -= more * int(lengths[i])
-    return take + knapsack(lengths, np.where(usable, counts - take, 0), left)
+    take += knapsack(lengths, np.where(usable, counts - take, 0), left)
+    # one document more where that comes nearer from above
+    left = budget - int((take * lengths).sum())
+    spare = np.flatnonzero(usable & (take < counts))
+    if left and len(spare):
+        best = spare[np.abs(lengths[spare] - left).argmin()]
+        take[best] += abs(int(lengths[best]) - left) < left
+    return take
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
