@@ -8,6 +8,7 @@ import pytest
 from tests.conftest import SF_SMALL
 
 import __spark_entry__ as E
+from folio.plans import registry
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
@@ -21,7 +22,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     from folio.plans.parse_plans import ROWS_ONLY
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(registry.PLANS) - set(ORACLES) == ROWS_ONLY
 
 
 def test_raw_pages_markdown_matches_direct_parse(spark):
@@ -44,7 +45,7 @@ def test_raw_pages_markdown_matches_direct_parse(spark):
     assert got == sorted(want)
 
 
-@pytest.mark.parametrize("key", sorted(ORACLES))
+@pytest.mark.parametrize("key", sorted(registry.ORACLES))
 def test_query_matches_oracle(spark, duck, key):
     from tools.compare import digest
     sdf = QUERIES[key](spark, SF_SMALL)
