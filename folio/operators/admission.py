@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from folio.functions import (feed_date_atom, feed_date_rss, feed_post_id, feed_url, page_key,
                              url_canonical, url_host, url_slug)
 from folio.operators.html_pass import html_pass
-from folio.operators.joins import sized_broadcast
+from folio.operators.joins import lookup
 from folio.sources.tables import alias_map, completed_set
 
 # --- fixed values -----------------------------------------------------------
@@ -156,7 +156,7 @@ def fetch_admission(queue: DataFrame, stored: DataFrame, aliases: DataFrame,
     done = resolve_url_to_id(q.select("url").distinct(), aliases, completed) \
         .select(F.col("url").alias("_cu"), F.lit(True).alias("_completed")).distinct()
     q = q.join(done, q.url == done._cu, "left").drop("_cu")
-    ign = sized_broadcast(ignored.select(F.col("domain").alias("_ig"), F.lit(True).alias("_ignored")))
+    ign = lookup(ignored.select(F.col("domain").alias("_ig"), F.lit(True).alias("_ignored")))
     q = q.join(ign, q._host == ign._ig, "left").drop("_ig")
     base = (F.when(F.col("page_key").isNull(), F.lit("malformed"))
             .when(F.coalesce("_stored", F.lit(False)), F.lit("exists"))
@@ -176,15 +176,23 @@ def fetch_admission(queue: DataFrame, stored: DataFrame, aliases: DataFrame,
 
 
 def ingest_pages(crawled: DataFrame, fetch_ts: str) -> DataFrame:
-    """K9: crawl results (url, html) -> page key, metadata JSON, and ``store`` or
-    ``retry`` (a short rate-limit page is not stored)."""
+    """K9: crawl results (url, html) -> the page itself, its key, metadata JSON, and an
+    action: ``malformed`` (no key), ``retry`` (a short rate-limit page is not stored),
+    ``store``, or ``exists`` for a further page under a key that is stored already (the
+    smallest URL, then content, is the one stored)."""
     from folio.functions import is_short_error_page
     p = crawled.select("url", "html").withColumn("page_key", page_key("url"))
-    p = html_pass(p, ["url", "page_key"], parts=("body_text",), keep_html=True)
+    p = html_pass(p, ["url", "page_key"], parts=("short_body_text",), keep_html=True)
+    action = (F.when(F.col("page_key").isNull(), F.lit("malformed"))
+              .when(is_short_error_page("html", "short_body_text"), F.lit("retry")).otherwise(F.lit("store")))
+    p = p.withColumn("action", action).withColumn("_hash", F.xxhash64("html")).drop("short_body_text", "parse_error")
+    owner = p.filter("action = 'store'").groupBy("page_key").agg(F.min(F.struct("url", "_hash")).alias("_owner")) \
+             .withColumnRenamed("page_key", "_key")
+    p = p.join(owner, p.page_key == F.col("_key"), "left")
+    first = (F.col("url") == F.col("_owner.url")) & (F.col("_hash") == F.col("_owner._hash"))
     meta = F.to_json(F.struct(F.col("url").alias("source-url"), F.lit(fetch_ts).alias("fetch-timestamp")))
-    return p.select("page_key", F.col("url").alias("source_url"), meta.alias("meta_json"),
-                    F.when(is_short_error_page("html", "body_text"), F.lit("retry"))
-                     .otherwise(F.lit("store")).alias("action"))
+    return p.select("page_key", F.col("url").alias("source_url"), meta.alias("meta_json"), "html",
+                    F.when((F.col("action") == "store") & ~first, F.lit("exists")).otherwise(F.col("action")).alias("action"))
 
 
 FEED_TYPE_MISMATCH = "feed type does not match the document"

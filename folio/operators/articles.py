@@ -20,9 +20,9 @@ from folio.session import materialize
 from folio.sources.tables import completed_set, scan_fetch_meta
 
 
-def parsed_pages(pages: DataFrame, parts=("meta", "body", "images")) -> DataFrame:
-    """HTML pass over S1 rows; keeps ``page_key`` and ``source_url``."""
-    return html_pass(pages, ["page_key", "source_url"], parts=parts)
+def parsed_pages(pages: DataFrame, parts=("meta", "body", "images"), keys=("page_key", "source_url")) -> DataFrame:
+    """HTML pass over S1 rows; keeps ``keys``."""
+    return html_pass(pages, list(keys), parts=parts)
 
 
 def extract_metadata(parsed: DataFrame) -> DataFrame:
@@ -43,48 +43,73 @@ def extract_metadata(parsed: DataFrame) -> DataFrame:
 def _first_per_post(df: DataFrame) -> DataFrame:
     """V5: among rows sharing a post id, the smallest (fetch_ts, source_url,
     page_key) is compiled. Aggregate-then-join (not a window) so a post id shared
-    by a third of all pages is combined map-side rather than sorted in one task."""
+    by a third of all pages is combined map-side rather than sorted in one task.
+    Rows without a post id, and rows in error, take no part (their join key is null)."""
     firsts = (df.filter(F.col("post_id").isNotNull())
               .groupBy("post_id")
               .agg(F.min(F.struct(F.coalesce("fetch_timestamp", F.lit("")).alias("t"),
                                   F.coalesce("source_url", F.lit("")).alias("u"),
-                                  F.col("page_key").alias("k"))).k.alias("first_key")))
-    return df.join(firsts, "post_id", "left") \
+                                  F.col("page_key").alias("k"))).k.alias("first_key"))
+              .withColumnRenamed("post_id", "first_post"))
+    return df.join(firsts, F.col("post_id") == F.col("first_post"), "left") \
         .withColumn("is_first", F.col("first_key").isNull() | (F.col("first_key") == F.col("page_key"))) \
-        .drop("first_key")
+        .drop("first_key", "first_post")
+
+
+def _mark_key_owner(p: DataFrame) -> DataFrame:
+    """A page key names one stored page: the first one fetched under it, here the smallest
+    (source_url, content hash, row id). ``owns_key`` is false for every other page of the
+    key, which is then quarantined. An aggregate joined back, since a key such as ``_``
+    (every home page) may be very frequent."""
+    rank = F.struct(F.coalesce("source_url", F.lit("")).alias("u"), F.col("html_hash").alias("h"), F.col("row_id").alias("r"))
+    owner = p.filter(F.col("page_key").isNotNull()).groupBy("page_key").agg(F.min(rank).r.alias("owner_id")) \
+             .withColumnRenamed("page_key", "owner_key")
+    return p.join(owner, p.page_key == F.col("owner_key"), "left") \
+            .withColumn("owns_key", F.col("owner_id") == F.col("row_id")).drop("owner_key", "owner_id")
 
 
 def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
-                with_markdown: bool = True, work_dir: str | None = None) -> DataFrame:
-    """Every page of the batch with its article fields and a ``status``:
+                parts: tuple = ("body", "images"), work_dir: str | None = None) -> DataFrame:
+    """Every page of the batch, exactly once, with its article fields and a ``status``:
     ``compiled`` (new article), ``duplicate`` (already complete, or a later copy
     inside the batch: ledger-only), or ``error`` (K7 quarantine, with ``error``).
 
     ``pages``: S1 rows (page_key, source_url, html); ``meta``: S2 rows;
-    ``completed``: the ledger (post_id, seq); ``work_dir``: where the pass
-    output is written (default: a fresh folder under the checkpoint root; a
-    streaming batch passes its own folder so that a replay overwrites it).
+    ``completed``: the ledger (post_id, seq); ``parts``: which wide results the caller
+    reads (``body``: Markdown, ``images``), none for decisions and front matter alone;
+    ``work_dir``: where the pass output is written (default: a fresh folder under the
+    checkpoint root; a streaming batch passes its own folder so that a replay overwrites it).
+
+    Rows carry a row id of their own: page keys can be null (malformed URL) or shared by
+    pages of several hosts, so nothing wide is ever matched by page key.
 
     Plan: (1) the HTML pass runs once and is written (``materialize``);
-    (2) all decisions — J1 metadata join, defaults, keys, J5 ledger join, V5
-    first-per-post — run on a narrow projection of it (no Markdown in those
-    shuffles; the ledger/post-id shuffles carry ~100 bytes per page);
-    (3) the wide columns (Markdown, images) join back once on the unique page
-    key, so the only wide shuffle is evenly spread."""
-    parts = ("meta", "body", "images") if with_markdown else ("meta",)
-    parsed = materialize(parsed_pages(pages, parts), "parsed-pages", path=work_dir)
-    p = extract_metadata(parsed.select("page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
+    (2) all decisions — page-key owner, J1 metadata join, defaults, keys, J5 ledger
+    join, V5 first-per-post — run on one narrow branch of it (~100 bytes per page; rows in
+    error keep a null post id, so they need no branch of their own);
+    (3) the wide columns join back once on the unique row id, so the only wide
+    shuffle is evenly spread."""
+    src = pages.select("page_key", "source_url", "html", F.monotonically_increasing_id().alias("row_id"),
+                       F.xxhash64("html").alias("html_hash"))
+    parsed = materialize(parsed_pages(src, ("meta", *parts), ("page_key", "source_url", "row_id", "html_hash")),
+                         "parsed-pages", path=work_dir)
+    p = extract_metadata(parsed.select("row_id", "html_hash", "page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
                                        "title_text", "meta_author", "meta_published", "canonical_href"))
+    p = _mark_key_owner(p)
     m = scan_fetch_meta(meta).withColumnRenamed("page_key", "m_key")
     # A page needs its metadata; left join keeps the orphans for quarantine.
     j = p.join(m, p.page_key == m.m_key, "left")
-    error = (F.when(F.col("parse_error").isNotNull(), F.concat(F.lit("parse error: "), F.col("parse_error")))
+    error = (F.when(F.col("page_key").isNull(), F.lit("malformed url"))
+             .when(~F.col("owns_key"), F.lit("duplicate page key"))
+             .when(F.col("parse_error").isNotNull(), F.concat(F.lit("parse error: "), F.col("parse_error")))
              .when(~F.col("ld_json_valid"), F.lit("invalid JSON-LD"))
              .when(F.col("m_key").isNull(), F.lit("missing metadata"))
              .when(~F.col("meta_valid"), F.lit("invalid metadata JSON")))
     slug = F.col("canonical_slug")
     j = j.select(
+        F.col("row_id"),
         F.col("page_key"),
+        F.col("source_url").alias("page_url"),                  # where the page was fetched
         F.coalesce(F.col("title"), F.lit(DEFAULT_TITLE)).alias("title"),
         F.col("author"),
         F.coalesce(F.col("publication_date"), F.lit(DEFAULT_DATE)).alias("publication_date"),
@@ -96,23 +121,19 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
         F.coalesce(F.col("has_fetch_ts"), F.lit(False)).alias("has_fetch_ts"),
         F.when(strip_ws(slug) != "", slug).alias("post_id"),    # V12: "" is no id
         error.alias("error"),
-    ).withColumn("article_key", article_key(F.col("post_id"), F.col("source_url")))
-    ok = j.filter(F.col("error").isNull())
-    bad = j.filter(F.col("error").isNotNull())
+        # without a real source URL the page's own key keeps synthetic keys apart
+        F.coalesce(F.when(F.col("has_source_url"), F.col("meta_source_url")), F.col("page_key"),
+                   F.col("row_id").cast("string")).alias("identity"),
+    ).withColumn("article_key", article_key(F.col("post_id"), F.col("identity"))).drop("identity")
     # Post id already in the ledger -> ledger-only; AQE broadcasts the
     # distinct ledger when it is small and shuffles the narrow side otherwise.
     done = completed_set(completed).select(F.col("post_id").alias("done_id"), F.lit(True).alias("in_ledger"))
-    ok = ok.join(done, ok.post_id == done.done_id, "left").drop("done_id")
-    ok = _first_per_post(ok)
-    status = F.when(F.coalesce(F.col("in_ledger"), F.lit(False)) | ~F.col("is_first"), F.lit("duplicate")) \
-              .otherwise(F.lit("compiled"))
-    ok = ok.withColumn("status", status).drop("in_ledger", "is_first")
-    bad = bad.withColumn("status", F.lit("error"))
-    out = ok.unionByName(bad)
-    if not with_markdown:
-        return out
-    wide = parsed.select("page_key", "body_kind", "body_md", "images", "image_errors")
-    out = out.join(wide, "page_key")
+    out = j.withColumnRenamed("post_id", "own_id").withColumn("post_id", F.when(F.col("error").isNull(), F.col("own_id")))
+    out = _first_per_post(out.join(done, out.post_id == done.done_id, "left").drop("done_id"))
+    status = (F.when(F.col("error").isNotNull(), F.lit("error"))
+              .when(F.coalesce(F.col("in_ledger"), F.lit(False)) | ~F.col("is_first"), F.lit("duplicate"))
+              .otherwise(F.lit("compiled")))
+    out = out.withColumn("status", status).drop("in_ledger", "is_first", "post_id").withColumnRenamed("own_id", "post_id")
     fm = front_matter({
         "title": (F.lit(True), F.col("title")),
         "author": (F.lit(True), F.col("author")),
@@ -123,12 +144,19 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
         "post-id": (F.lit(True), F.col("post_id")),
         "article-key": (F.lit(True), F.col("article_key")),
     })
-    return out.withColumn("front_matter", fm) \
-              .withColumn("body_markdown", clean_markdown(F.col("body_md"))) \
-              .withColumn("markdown", F.when(F.col("status") == "compiled",
-                                             F.concat(F.col("front_matter"), F.col("body_markdown")))) \
-              .withColumn("n_images", F.size(F.coalesce(F.col("images"), F.array())).cast("int")) \
-              .drop("body_md")
+    out = out.withColumn("front_matter", fm)
+    if not parts:
+        return out
+    wide = parsed.select(F.col("row_id").alias("wide_id"), *(["body_kind", "body_md", "image_errors"] if "body" in parts else []),
+                         *(["images"] if "images" in parts else []))
+    out = out.join(wide, F.col("row_id") == F.col("wide_id")).drop("wide_id")
+    if "images" in parts:
+        out = out.withColumn("n_images", F.size(F.coalesce(F.col("images"), F.array())).cast("int"))
+    if "body" in parts:
+        out = out.withColumn("body_markdown", clean_markdown(F.col("body_md"))) \
+                 .withColumn("markdown", F.when(F.col("status") == "compiled",
+                                                F.concat(F.col("front_matter"), F.col("body_markdown")))).drop("body_md")
+    return out
 
 
 ARTICLE_COLUMNS = ["page_key", "article_key", "post_id", "title", "author", "publication_date",
@@ -186,18 +214,25 @@ def record_completion(rows: DataFrame) -> DataFrame:
     return ids.unionByName(urls)
 
 
-def write_articles(articles: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1: compiled Markdown, one row per article key, partitioned by month of
-    publication (``unknown`` dates get their own partition). A re-run of the
-    same batch replaces, not duplicates, its partitions (dynamic overwrite)."""
+def write_articles(articles: DataFrame, path: str, batch_id: int = 0) -> None:
+    """K1: the compiled articles of one batch, partitioned by month of publication
+    (``unknown`` dates get their own partition) in the batch's own folder.
+
+    A re-run of a batch replaces its own files only; earlier batches stay, and
+    ``read_articles`` lets the last batch of an article key win. Rebalancing sizes the
+    files: small months share a task, a hot month is split over several."""
     out = articles.filter(F.col("status") == "compiled").withColumn(
         "pub_month", F.coalesce(F.nullif(F.regexp_extract("publication_date", r"^([0-9]{4}-[0-9]{2})", 1),
                                          F.lit("")), F.lit("unknown")))
-    # no repartition by month: a hot month would land in one task; every task
-    # writes its own files into each month it holds.
-    (out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("pub_month").parquet(path))
+    out.hint("rebalance", "pub_month").write.mode("overwrite").partitionBy("pub_month").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_articles(spark, path: str) -> DataFrame:
+    """K1 read side: per article key the row of the last batch that wrote it. The winner
+    is decided on (key, batch) alone; the wide rows are only filtered."""
+    rows = spark.read.option("basePath", path).parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    last = rows.groupBy("article_key").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, ["article_key", "batch_id"], "left_semi")
 
 
 def pages_with_meta(pages: DataFrame, meta: DataFrame) -> DataFrame:
@@ -214,5 +249,5 @@ def rebuild_ledger(pages: DataFrame, meta: DataFrame) -> DataFrame:
     """M5: completion ledger and alias map recomputed from the source of truth
     (pages + fetch metadata) alone, as distinct (kind, url, post_id) records."""
     empty = pages.sparkSession.createDataFrame([], "post_id string, seq bigint")
-    st = parse_stage(pages, meta, empty, with_markdown=False)
+    st = parse_stage(pages, meta, empty, parts=())
     return ledger_records(st).distinct()

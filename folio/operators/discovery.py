@@ -17,7 +17,7 @@ from folio.functions import (host_first_label, url_canonical, url_domain,
                              url_host)
 from folio.functions.urls import OTHER_SCHEME_RX, classify_parts, with_url_parts
 from folio.operators.html_pass import html_pass
-from folio.operators.joins import sized_broadcast
+from folio.operators.joins import lookup
 from folio.sources.tables import alias_map, scan_url_queue
 
 
@@ -57,7 +57,7 @@ def drop_ignored(links: DataFrame, ignored: DataFrame) -> DataFrame:
     joins on equality (an OR condition would force a nested-loop join); the
     ignore list is a size-checked broadcast, so the skewed host column is never
     shuffled."""
-    ign = sized_broadcast(ignored.select(F.col("domain").alias("ign")))
+    ign = lookup(ignored.select(F.col("domain").alias("ign")))
     l2 = with_link_parts(links)
     l2 = l2.withColumn("_host", F.when(F.col(_P + "ok"), F.col(_P + "host"))
                        .when(F.col("href").rlike(OTHER_SCHEME_RX), F.lit("")))

@@ -15,13 +15,15 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import unquote_plus
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from folio.session import HTML_ARROW_BATCH_ROWS
+from folio.functions.text import SHORT_PAGE_MAX_CHARS
+from folio.session import HTML_SLICE_BYTES
 
 # --- fixed values -----------------------------------------------------------
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen",
@@ -59,6 +61,7 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node(None, {})
         self.stack = [self.root]
+        self.open = Counter()    # open elements by tag: most lookups end here
 
     @staticmethod
     def _attrs(attrs):
@@ -68,12 +71,19 @@ class _TreeBuilder(HTMLParser):
                 d[k] = "" if v is None else v
         return d
 
+    def _pop_to(self, i):
+        for n in self.stack[i:]:
+            self.open[n.tag] -= 1
+        del self.stack[i:]
+
     def _close_in_scope(self, tag, scope):
+        if not self.open[tag]:
+            return
         st = self.stack
         for i in range(len(st) - 1, 0, -1):
             t = st[i].tag
             if t == tag:
-                del st[i:]
+                self._pop_to(i)
                 return
             if t in scope:
                 return
@@ -83,10 +93,13 @@ class _TreeBuilder(HTMLParser):
             self._close_in_scope("p", SCOPE_TAGS)
         elif tag == "li":
             self._close_in_scope("li", LIST_SCOPE_TAGS)
+        elif tag == "a":         # anchors never nest
+            self._close_in_scope("a", SCOPE_TAGS)
         node = Node(tag, self._attrs(attrs))
         self.stack[-1].children.append(node)
         if tag not in VOID_TAGS:
             self.stack.append(node)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         if tag in P_CLOSING_TAGS:
@@ -94,10 +107,12 @@ class _TreeBuilder(HTMLParser):
         self.stack[-1].children.append(Node(tag, self._attrs(attrs)))
 
     def handle_endtag(self, tag):
+        if not self.open[tag]:
+            return
         st = self.stack
         for i in range(len(st) - 1, 0, -1):
             if st[i].tag == tag:
-                del st[i:]
+                self._pop_to(i)
                 return
 
     def handle_data(self, data):
@@ -279,9 +294,9 @@ def extract(html: str, parts: frozenset) -> dict:
                 author = e
             if published is None and e.attrs.get("property") == "article:published_time":
                 published = e
-        elif t == "div" and div_body is None and _has_classes(e, "body", "markup"):
+        elif t == "div" and div_body is None and e.children and _has_classes(e, "body", "markup"):
             div_body = e
-        elif t == "article" and article is None:
+        elif t == "article" and article is None and e.children:
             article = e
         elif t == "body" and body is None:
             body = e
@@ -315,8 +330,15 @@ def extract(html: str, parts: frozenset) -> dict:
                               "local_path": lp} for i, (s, a, ti, c, lp) in enumerate(imgs)]
     if "links" in parts:
         out["links"] = links
-    if "body_text" in parts:
-        out["body_text"] = node_text(body) if (body is not None and len(html) < 5000) else None
+    if "short_body_text" in parts:
+        # U13 looks at short pages only; without a body tag the page's own text stands in
+        if len(html) >= SHORT_PAGE_MAX_CHARS:
+            out["short_body_text"] = None
+        elif body is not None:
+            out["short_body_text"] = node_text(body)
+        else:
+            root.children = [c for c in root.children if not (isinstance(c, Node) and c.tag == "head")]
+            out["short_body_text"] = node_text(root)
     return out
 
 
@@ -334,19 +356,24 @@ PART_FIELDS = {
              ("image_errors", T.IntegerType())],
     "images": [("images", T.ArrayType(IMAGE_T))],
     "links": [("links", T.ArrayType(LINK_T))],
-    "body_text": [("body_text", T.StringType())],
+    "short_body_text": [("short_body_text", T.StringType())],
 }
 ALL_PARTS = frozenset(PART_FIELDS)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Give the pass at least one task per core. A real crawl table already has
-    far more file splits than cores, so no shuffle is added there; only a scan
-    that yields fewer splits than cores (one small file) is rebalanced."""
-    sc = df.sparkSession.sparkContext
-    n = df.rdd.getNumPartitions()
-    want = sc.defaultParallelism
-    return df.repartition(want) if n < want else df
+def _by_bytes(batch, html_col: str, most: int = HTML_SLICE_BYTES):
+    """A batch in runs of rows of about ``most`` bytes of HTML, so that large pages
+    bound the worker's memory by bytes and not by rows."""
+    import pyarrow.compute as pc
+    sizes = pc.fill_null(pc.binary_length(batch.column(html_col)), 0).to_pylist()
+    lo = total = 0
+    for i, n in enumerate(sizes):
+        if i > lo and total + n > most:
+            yield batch.slice(lo, i - lo)
+            lo, total = i, 0
+        total += n
+    if lo < len(sizes):
+        yield batch.slice(lo)
 
 
 def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
@@ -356,11 +383,7 @@ def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
     is dropped from the output unless ``keep_html``."""
     parts = frozenset(parts)
     data_parts = parts - {"clean"}
-    spark = pages.sparkSession
-    cur = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
-    if cur > HTML_ARROW_BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HTML_ARROW_BATCH_ROWS))
-    src = _spread(pages.select(*keys, html_col))
+    src = pages.select(*keys, html_col)
     in_schema = src.schema
     fields = [f for f in in_schema.fields if keep_html or f.name != html_col]
     for p in sorted(data_parts):
@@ -375,26 +398,28 @@ def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow_schema = to_arrow_schema(out_schema)
-        for batch in batches:
-            cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            htmls = cols[html_col]
-            res = {n: [] for n in raw_names}
-            errs = []
-            for h in htmls:
-                if h is None:
-                    vals, err = {}, None
-                else:
-                    try:
-                        vals, err = extract(h, parts), None
-                    except Exception as e:  # K7: the page is quarantined, the batch goes on
-                        vals, err = {}, f"{type(e).__name__}: {e}"
-                for n in raw_names:
-                    res[n].append(vals.get(n))
-                errs.append(err)
-            arrays = []
-            for n in out_names:
-                data = cols[n] if n in passthrough else (errs if n == "parse_error" else res[n])
-                arrays.append(pa.array(data, type=arrow_schema.field(n).type))
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+        for whole in batches:
+            for batch in _by_bytes(whole, html_col):
+                res = {n: [] for n in raw_names}
+                errs = []
+                for h in batch.column(html_col).to_pylist():
+                    if h is None:
+                        vals, err = {}, None
+                    else:
+                        try:
+                            vals, err = extract(h, parts), None
+                        except Exception as e:  # K7: the page is quarantined, the batch goes on
+                            vals, err = {}, f"{type(e).__name__}: {e}"
+                    for n in raw_names:
+                        res[n].append(vals.get(n))
+                    errs.append(err)
+                arrays = []
+                for n in out_names:
+                    kind = arrow_schema.field(n).type
+                    if n in passthrough:   # the batch's own column, never copied through Python
+                        arrays.append(batch.column(n).cast(kind))
+                    else:
+                        arrays.append(pa.array(errs if n == "parse_error" else res[n], type=kind))
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
     return src.mapInArrow(run, out_schema)

@@ -1,22 +1,14 @@
-"""Join helpers: size-checked broadcast."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it has at most this many rows (short
-# keys: tens of MB at most). Beyond it the join is left to the planner (sort-
-# merge, with AQE converting to broadcast or splitting skewed partitions at run
-# time).
-MAX_BROADCAST_ROWS = 200_000
 
+def lookup(df: DataFrame) -> DataFrame:
+    """A lookup side of a join, its rows distinct.
 
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows of the (small, lookup) side."""
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    No hint: the planner broadcasts it by its size in bytes
+    (``spark.sql.autoBroadcastJoinThreshold``, at run time by AQE) and otherwise shuffles,
+    splitting skewed partitions. No job runs while the plan is built."""
+    return df.distinct()

@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import content_corruption_reason, is_short_error_page, page_key, url_domain, url_filename
-from folio.functions.text import MIN_HTML_BYTES
+from folio.functions.text import MIN_HTML_BYTES, SHORT_PAGE_MAX_CHARS
 from folio.operators.articles import extract_metadata
 from folio.operators.html_pass import html_pass
-from folio.operators.joins import sized_broadcast
+from folio.operators.joins import lookup
 from folio.sources.tables import alias_map, completed_set, scan_fetch_meta, scan_url_queue
 
 # --- fixed values -----------------------------------------------------------
 REASON_SMALL = "File size is less than 500 bytes"
 REASON_BAD_JSON = "JSON parse error"
 REASON_NO_SOURCE = "Missing mandatory :source-url key"
+REASON_BAD_URL = "Malformed :source-url"
 # ---------------------------------------------------------------------------
 
 
@@ -35,8 +36,8 @@ def url_by_page_key(queue: DataFrame) -> DataFrame:
 
 def short_pages(pages: DataFrame) -> DataFrame:
     """stored pages that are rate-limit error pages."""
-    p = html_pass(pages.filter(F.length("html") < 5000), ["page_key"], parts=("body_text",), keep_html=True)
-    return p.filter(is_short_error_page("html", "body_text")).select("page_key")
+    p = html_pass(pages.filter(F.length("html") < SHORT_PAGE_MAX_CHARS), ["page_key"], parts=("short_body_text",), keep_html=True)
+    return p.filter(is_short_error_page("html", "short_body_text")).select("page_key")
 
 
 def recover_short_pages(pages: DataFrame, queue: DataFrame) -> DataFrame:
@@ -74,14 +75,16 @@ def verify_integrity(pages: DataFrame, meta: DataFrame) -> DataFrame:
     m = scan_fetch_meta(meta).select("page_key", "meta_valid", "has_source_url", "meta_source_url")
     p = facts.join(m, "page_key")
     expected = url_filename("meta_source_url")
+    no_source = F.col("meta_valid") & F.col("meta_source_url").isNull()     # key absent, or its value null
     f = lambda cond, cat, reason: F.when(cond, F.struct(F.lit(cat).alias("category"),
                                                         reason.alias("reason")))
     findings = F.array_compact(F.array(
         f(F.col("n_bytes") < MIN_HTML_BYTES, "corrupt_html", F.lit(REASON_SMALL)),
         f(F.col("corruption").isNotNull(), "corrupt_html", F.col("corruption")),
         f(~F.col("meta_valid"), "corrupt_meta", F.lit(REASON_BAD_JSON)),
-        f(F.col("meta_valid") & ~F.col("has_source_url"), "corrupt_meta", F.lit(REASON_NO_SOURCE)),
-        f(F.col("has_source_url") & (expected != F.concat(F.col("page_key"), F.lit(".html"))), "mismatched",
+        f(no_source, "corrupt_meta", F.lit(REASON_NO_SOURCE)),
+        f(F.col("meta_source_url").isNotNull() & expected.isNull(), "mismatched", F.lit(REASON_BAD_URL)),
+        f(F.col("meta_source_url").isNotNull() & (expected != F.concat(F.col("page_key"), F.lit(".html"))), "mismatched",
           F.concat(F.lit(":source-url implies filename should be "), expected)),
         f(F.col("canonical_slug").isNotNull() & (F.col("canonical_slug") != F.col("page_key")), "mismatched",
           F.concat(F.lit("Filename is '"), F.col("page_key"), F.lit("' but canonical slug in HTML is '"),
@@ -108,7 +111,7 @@ def prune_candidates(meta: DataFrame, ignored: DataFrame, html_dir: str = "work/
     three artefact paths to remove."""
     m = scan_fetch_meta(meta).filter(F.col("has_source_url") & F.col("meta_source_url").isNotNull())
     m = m.withColumn("_host", url_domain("meta_source_url"))
-    ign = sized_broadcast(ignored.select(F.col("domain").alias("_host")))
+    ign = lookup(ignored.select(F.col("domain").alias("_host")))
     c = m.join(ign, "_host", "left_semi")
     return c.select(F.col("page_key").alias("slug"), F.col("meta_source_url").alias("source_url"),
                     F.array(F.concat(F.lit(meta_dir + "/"), F.col("meta_file")),

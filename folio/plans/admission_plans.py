@@ -149,7 +149,7 @@ FETCH_TS = "2025-06-20T00:00:00Z"
 
 @plan("ingest_pages", W("fx_pages") + f"x AS (SELECT 1) SELECT {d_page_key('source_url')} AS page_key, source_url, "
       f"CAST(json_object('source-url', source_url, 'fetch-timestamp', '{FETCH_TS}') AS VARCHAR) AS meta_json, "
-      "CASE WHEN doc_id % 13 = 0 THEN 'retry' ELSE 'store' END AS action FROM fx_pages")
+      "html, CASE WHEN doc_id % 13 = 0 THEN 'retry' ELSE 'store' END AS action FROM fx_pages")
 def ingest_pages_q(fx):
     """K9: crawl results -> stored page + metadata, short error pages -> retry."""
     crawled = fx["fx_pages"].select(F.col("source_url").alias("url"), "html")

@@ -18,7 +18,7 @@ from folio.sources.tables import scan_markdown, scan_pages
 
 
 def _stage(fx):
-    return A.parse_stage(scan_pages(fx["fx_pages"]), fx["fx_meta"], fx["fx_completed"], with_markdown=False)
+    return A.parse_stage(scan_pages(fx["fx_pages"]), fx["fx_meta"], fx["fx_completed"], parts=())
 
 
 @plan("x_recent_entries", _ADM + """, OJ AS (SELECT job_id FROM fx_jobs WHERE urls IS NULL AND author IS NOT NULL

@@ -57,7 +57,7 @@ s0 AS (SELECT *, CASE WHEN NOT has_meta THEN 'missing metadata' WHEN NOT ok THEN
          coalesce(title, 'Untitled') AS title_d, coalesce(publication_date, 'unknown') AS pub_d,
          CASE WHEN has_src THEN msrc ELSE 'unknown' END AS source_url, mts AS fetch_timestamp
        FROM j),
-s1 AS (SELECT *, coalesce(post_id, concat('unknown-article_', md5(coalesce(source_url, '')))) AS article_key,
+s1 AS (SELECT *, coalesce(post_id, concat('unknown-article_', md5(CASE WHEN has_src AND msrc IS NOT NULL THEN msrc ELSE page_key END))) AS article_key,
          EXISTS (SELECT 1 FROM fx_completed c WHERE c.post_id = s0.post_id) AS in_ledger,
          CASE WHEN error IS NULL AND post_id IS NOT NULL THEN row_number() OVER (
            PARTITION BY (error IS NULL), post_id ORDER BY coalesce(fetch_timestamp, ''), coalesce(source_url, ''), page_key) END AS rn
@@ -74,8 +74,9 @@ s AS (SELECT *, CASE WHEN error IS NOT NULL THEN 'error' WHEN in_ledger OR coale
 _PARSE = W("fx_docs", "fx_meta", "fx_completed") + _M + "," + _E + "," + _S
 
 
-def _stage(fx):
-    return A.parse_stage(scan_pages(fx["fx_pages"]), fx["fx_meta"], fx["fx_completed"])
+def _stage(fx, *parts):
+    """The parse stage with the wide parts that the caller reads (none: decisions only)."""
+    return A.parse_stage(scan_pages(fx["fx_pages"]), fx["fx_meta"], fx["fx_completed"], parts)
 
 
 # --- sources -------------------------------------------------------------------
@@ -135,7 +136,7 @@ FROM s WHERE status = 'compiled' AND doc_id % 13 <> 0"""
 @plan("image_refs", _IMG_ORACLE)
 def image_refs_q(fx):
     """E5: image records of compiled articles."""
-    return A.image_refs(_stage(fx))
+    return A.image_refs(_stage(fx, "images"))
 
 
 @plan("front_matter", _PARSE + "SELECT page_key, article_key, front_matter FROM s WHERE status <> 'error'")
@@ -148,7 +149,7 @@ def front_matter_q(fx):
       "FROM s WHERE status = 'compiled'")
 def compile_article_q(fx):
     """Front matter + cleaned Markdown of the compiled articles."""
-    return _stage(fx).filter(F.col("status") == "compiled").select("page_key", "markdown")
+    return _stage(fx, "body").filter(F.col("status") == "compiled").select("page_key", "markdown")
 
 
 @plan("extract_articles", _PARSE + """SELECT page_key, article_key, post_id, title_d AS title, author,
@@ -171,8 +172,8 @@ def article_defaults_q(fx):
 @plan("short_error_page", _PARSE + "SELECT page_key, doc_id % 13 = 0 AS is_short FROM e")
 def short_error_page_q(fx):
     """Short page whose whole body text is the rate-limit phrase."""
-    p = html_pass(scan_pages(fx["fx_pages"]), ["page_key"], parts=("body_text",), keep_html=True)
-    return p.select("page_key", U.is_short_error_page("html", "body_text").alias("is_short"))
+    p = html_pass(scan_pages(fx["fx_pages"]), ["page_key"], parts=("short_body_text",), keep_html=True)
+    return p.select("page_key", U.is_short_error_page("html", "short_body_text").alias("is_short"))
 
 
 # --- joins, ledger, sinks ----------------------------------------------------------
@@ -208,7 +209,7 @@ def record_completion_q(fx):
   min(article_key) AS first_article_key, min(image_source_url) AS first_source_url FROM refs GROUP BY image_path""")
 def image_manifest_q(fx):
     """K5: one record per stored image asset."""
-    return A.image_assets(A.image_refs(_stage(fx)))
+    return A.image_assets(A.image_refs(_stage(fx, "images")))
 
 
 @plan("quarantine", _PARSE + "SELECT 'parser' AS stage, page_key, error AS reason, error AS detail FROM s "
@@ -219,12 +220,36 @@ def quarantine_q(fx):
 
 
 @plan("write_articles", _PARSE + "SELECT article_key, coalesce(nullif(regexp_extract(pub_d, '^([0-9]{4}-[0-9]{2})', 1), ''), "
-      "'unknown') AS pub_month FROM s WHERE status = 'compiled'")
+      "'unknown') AS pub_month, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM s WHERE status = 'compiled'")
 def write_articles_q(fx):
-    """K1: write the compiled articles (partitioned by month) and read them back."""
+    """K1: two overlapping batches; the later one wins where both wrote an article."""
     path = scratch_path(fx.spark, "articles")
-    A.write_articles(_stage(fx), path)
-    return fx.spark.read.parquet(path).select("article_key", F.col("pub_month").cast("string"))
+    stage = _stage(fx, "body")
+    A.write_articles(stage, path, 0)
+    A.write_articles(stage.filter(F.regexp_extract("page_key", "([0-9]+)", 1).cast("bigint") % 3 == 0), path, 1)
+    return A.read_articles(fx.spark, path).select("article_key", F.col("pub_month").cast("string"), "batch_id")
+
+
+@plan("page_outcomes", W("fx_odd_pages", "fx_meta", "fx_completed") + _M + """,
+k AS (SELECT *, CASE WHEN kind IN ('malformed', 'none') THEN NULL WHEN kind = 'home' THEN '_'
+        ELSE concat('post-', CAST(doc_id AS VARCHAR)) END AS page_key FROM fx_odd_pages),
+o AS (SELECT *, page_key IS NOT NULL AND row_number() OVER (PARTITION BY page_key ORDER BY source_url) = 1 AS owner FROM k)
+SELECT o.source_url, o.page_key,
+  CASE WHEN o.page_key IS NULL THEN 'malformed url' WHEN NOT owner THEN 'duplicate page key'
+       WHEN m.page_key IS NULL THEN 'missing metadata' WHEN NOT m.ok THEN 'invalid metadata JSON' END AS error,
+  CASE WHEN o.page_key IS NULL OR NOT owner OR m.page_key IS NULL OR NOT m.ok THEN 'error'
+       WHEN c.post_id IS NOT NULL THEN 'duplicate' ELSE 'compiled' END AS status,
+  CASE WHEN owner AND coalesce(m.ok, false) AND c.post_id IS NULL THEN concat('Page of ', host) END AS body_markdown
+FROM o LEFT JOIN m ON m.page_key = o.page_key
+LEFT JOIN (SELECT DISTINCT post_id FROM fx_completed) c ON c.post_id = concat('post-', CAST(doc_id AS VARCHAR))""")
+def page_outcomes_q(fx):
+    """E8/K7 on awkward pages: one page key on two hosts, home pages, malformed and missing
+    URLs. Every input page comes out exactly once, with its own body."""
+    pages = fx["fx_odd_pages"].select("source_url", "html")
+    st = A.parse_stage(scan_pages(pages), fx["fx_meta"], fx["fx_completed"], ("body",))
+    return st.select(
+        F.col("page_url").alias("source_url"), "page_key", "error", "status",
+        F.when(F.col("status") == "compiled", F.col("body_markdown")).alias("body_markdown"))
 
 
 @plan("rebuild_ledger", _PARSE + """

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folio.operators.articles import image_refs
 from folio.operators.discovery import extract_links  # noqa: F401  (documented dependency)
 from folio.plans.parse_plans import _PARSE
 from folio.plans.registry import plan
@@ -27,7 +28,7 @@ def _extract(fx):
     pages = scan_pages(fx["fx_pages"])
     INC.stage_inbox(pages, f"{root}/inbox", N_FILES)
     INC.run_incremental_extract(fx.spark, f"{root}/inbox", pages.schema, fx["fx_meta"], fx["fx_completed"],
-                                f"{root}/out", f"{root}/ckpt")
+                                f"{root}/out", f"{root}/ckpt", batch_bytes="1")
     return fx.spark.read.parquet(f"{root}/out/stage")
 
 
@@ -56,6 +57,18 @@ def incremental_quarantine_q(fx):
     return st.filter(F.col("status") == "error").select("page_key", F.col("error").alias("reason"))
 
 
+@plan("incremental_image_manifest", _PARSE + """SELECT post_id, CAST(count(*) AS BIGINT) AS n_images FROM s
+WHERE status <> 'error' AND post_id IS NOT NULL AND NOT in_ledger AND doc_id % 13 <> 0
+AND doc_id % 10 <> 9 AND doc_id % 10 <> 8 GROUP BY post_id""")
+def incremental_image_manifest_q(fx):
+    """T1 + E5: image records of incrementally compiled articles (ids shared by two pages
+    left out: which of them is compiled depends on the order of arrival)."""
+    images = image_refs(_extract(fx).withColumn("article_key", F.col("post_id")))
+    shared = F.regexp_extract("article_key", "([0-9])$", 1).isin("8", "9")
+    return images.filter(F.col("article_key").isNotNull() & ~shared).groupBy(F.col("article_key").alias("post_id")) \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("n_images"))
+
+
 _T4 = _LINKS.replace("L AS (SELECT source_key, pos, href, link_text FROM fx_links\n      UNION ALL SELECT",
                      "L AS (SELECT")
 
@@ -67,7 +80,7 @@ def incremental_discovery_q(fx):
     pages = scan_pages(fx["fx_pages"])
     INC.stage_inbox(pages, f"{root}/inbox", N_FILES)
     INC.run_incremental_discovery(fx.spark, f"{root}/inbox", pages.schema, ignore_set(fx["fx_ignored"]),
-                                  fx["fx_aliases"], fx["fx_queue"], f"{root}/out", f"{root}/ckpt")
+                                  fx["fx_aliases"], fx["fx_queue"], f"{root}/out", f"{root}/ckpt", batch_bytes="1")
     return fx.spark.read.parquet(f"{root}/out/discovered").select("url")
 
 

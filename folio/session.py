@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 # Rows per Arrow batch for tables that carry raw HTML (pages average ~300 kB in a
 # real crawl); the Spark default of 10 000 rows would build multi-GB batches.
 HTML_ARROW_BATCH_ROWS = 256
+# Bytes of HTML that a Python worker parses and returns at a time, whatever the rows.
+HTML_SLICE_BYTES = 8 << 20
 
 
 def build_session(master: str | None = None, app: str = "folio",

@@ -71,6 +71,20 @@ SELECT doc_id, """ + _SRC + """ AS source_url,
 FROM {fx_docs}
 """)
 
+# Awkward pages: the same page key on two hosts, home pages (all share one key),
+# malformed and missing URLs. The body names the host, so a mixed-up body shows.
+FIXTURES["fx_odd_pages"] = (["fx_docs"], """
+SELECT doc_id, kind, host, source_url,
+  concat('<html><head><title>Odd ', CAST(doc_id AS {S}), '</title><link rel="canonical" href="https://x.example.org/p/post-', CAST(doc_id AS {S}),
+    '"></head><body><p>Page of ', host, '</p></body></html>') AS html
+FROM (
+  SELECT doc_id, 'a' AS kind, 'a.example.org' AS host, concat('https://a.example.org/p/post-', CAST(doc_id AS {S})) AS source_url FROM {fx_docs}
+  UNION ALL SELECT doc_id, 'b', 'b.example.net', concat('https://b.example.net/p/post-', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 4 = 0
+  UNION ALL SELECT doc_id, 'home', concat('h', CAST(doc_id AS {S}), '.example.org'), concat('https://h', CAST(doc_id AS {S}), '.example.org/') FROM {fx_docs} WHERE doc_id % 6 = 0
+  UNION ALL SELECT doc_id, 'malformed', 'nowhere', concat('not a url ', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 10 = 3
+  UNION ALL SELECT doc_id, 'none', 'nowhere', CAST(NULL AS {S}) FROM {fx_docs} WHERE doc_id % 25 = 7) u
+""")
+
 _LINKS_OUTER = """
 SELECT source_key, pos,
   CASE (page_id + pos) % 8 WHEN 0 THEN concat('https://', host, '/p/', w) WHEN 1 THEN concat('https://', host, '/p/', w, '?utm_source=feed#top')

@@ -23,6 +23,8 @@ from folio.operators.discovery import (approved_articles, classify, drop_ignored
                                        known_domains, known_urls)
 from folio.functions import url_canonical
 
+# Input of one micro-batch: large enough that its fixed work does not matter.
+BATCH_BYTES = "64g"
 LEDGER_SCHEMA = "kind string, url string, post_id string"
 
 
@@ -39,14 +41,15 @@ def stage_inbox(df: DataFrame, inbox: str, n_files: int) -> None:
     df.repartition(n_files).write.mode("append").parquet(inbox)
 
 
-def pages_stream(spark: SparkSession, inbox: str, schema, files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+def pages_stream(spark: SparkSession, inbox: str, schema, batch_bytes: str = BATCH_BYTES) -> DataFrame:
+    """Pending pages; a micro-batch takes files up to ``batch_bytes`` (one at least)."""
+    return (spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes)
             .parquet(inbox))
 
 
 def run_incremental_extract(spark: SparkSession, inbox: str, schema, meta: DataFrame,
                             base_ledger: DataFrame, out_root: str, ckpt: str,
-                            files_per_batch: int = 1) -> None:
+                            batch_bytes: str = BATCH_BYTES) -> None:
     """T1 + T2 + T3: consume all pending page files (availableNow), one parse
     stage per micro-batch. ``{out_root}/stage`` holds every page's outcome
     (compiled / duplicate / error = quarantine) and ``{out_root}/ledger`` the
@@ -60,12 +63,12 @@ def run_incremental_extract(spark: SparkSession, inbox: str, schema, meta: DataF
         st = parse_stage(batch, meta, base.unionByName(prior).withColumn("seq", F.lit(0).cast("bigint")),
                          work_dir=_batch_dir(f"{out_root}/parsed", batch_id))
         # one HTML pass per batch: the stage is written once, then read back
-        st.drop("images").write.mode("overwrite").parquet(_batch_dir(stage, batch_id))
+        st.write.mode("overwrite").parquet(_batch_dir(stage, batch_id))
         written = spark.read.parquet(_batch_dir(stage, batch_id))
         ledger_records(written.filter(F.col("status") != "error")) \
             .write.mode("overwrite").parquet(_batch_dir(ledger, batch_id))
 
-    q = (pages_stream(spark, inbox, schema, files_per_batch).writeStream
+    q = (pages_stream(spark, inbox, schema, batch_bytes).writeStream
          .foreachBatch(each).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -73,7 +76,7 @@ def run_incremental_extract(spark: SparkSession, inbox: str, schema, meta: DataF
 
 def run_incremental_discovery(spark: SparkSession, inbox: str, schema, ignored: DataFrame,
                               aliases: DataFrame, queue: DataFrame, out_root: str, ckpt: str,
-                              files_per_batch: int = 1) -> None:
+                              batch_bytes: str = BATCH_BYTES) -> None:
     """T4: each micro-batch of newly stored pages yields the article URLs not
     known yet and not discovered by an earlier batch; the union over batches
     equals one batch discovery run over all pages."""
@@ -89,7 +92,7 @@ def run_incremental_discovery(spark: SparkSession, inbox: str, schema, ignored:
         new = cand.join(known, "url", "left_anti").join(before, "url", "left_anti")
         new.write.mode("overwrite").parquet(_batch_dir(found, batch_id))
 
-    q = (pages_stream(spark, inbox, schema, files_per_batch).writeStream
+    q = (pages_stream(spark, inbox, schema, batch_bytes).writeStream
          .foreachBatch(each).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()

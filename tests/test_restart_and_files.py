@@ -33,7 +33,8 @@ def test_incremental_extract_restart(spark):
     first, second = pages.filter(F.col("page_key") < "post-5"), pages.filter(F.col("page_key") >= "post-5")
     INC.stage_inbox(first, f"{root}/inbox", 2)
     run = lambda: INC.run_incremental_extract(spark, f"{root}/inbox", pages.schema, fx["fx_meta"],
-                                              fx["fx_completed"], f"{root}/out", f"{root}/ckpt")
+                                              fx["fx_completed"], f"{root}/out", f"{root}/ckpt",
+                                              batch_bytes="1")
     run()
     n1 = spark.read.parquet(f"{root}/out/stage").count()
     run()                                     # restart, nothing new
@@ -74,3 +75,39 @@ def test_url_list_files(spark):
     got = sorted((r.list_name, r.pos, r.url) for r in read_url_lists(spark, f"{d}/*.txt", "done").collect())
     assert got == [("job-1.txt", 0, "https://a.org/p/x"), ("job-1.txt", 3, "https://a.org/p/y"),
                    ("job-2.txt", 0, "https://b.org/p/z")]
+
+
+def test_articles_of_an_earlier_batch_stay(spark):
+    from folio.operators.articles import read_articles, write_articles
+    path = scratch_path(spark, "two-batches")
+    row = lambda k, title: (k, title, "2024-05-01", "compiled")
+    schema = "article_key string, title string, publication_date string, status string"
+    write_articles(spark.createDataFrame([row("a", "1"), row("b", "1")], schema), path, 0)
+    write_articles(spark.createDataFrame([row("b", "2"), row("c", "2")], schema), path, 1)
+    write_articles(spark.createDataFrame([row("b", "2"), row("c", "2")], schema), path, 1)   # a replay
+    assert sorted((r.article_key, r.title) for r in read_articles(spark, path).collect()) == [("a", "1"), ("b", "2"), ("c", "2")]
+
+
+def test_every_page_comes_out_once(spark):
+    """Shared, null and synthetic keys: no page is multiplied, lost or given another's body."""
+    from folio.operators.articles import parse_stage
+    page = lambda t: f"<html><body><p>{t}</p></body></html>"
+    urls = ["https://a.org/", "https://b.org/", "https://c.org/", "not a url", None, "https://a.org/p/x", "https://b.org/p/y"]
+    pages = scan_pages(spark.createDataFrame([(u, page(f"body {i}")) for i, u in enumerate(urls)], "source_url string, html string"))
+    meta = spark.createDataFrame([(f"{k}.html.meta.json", "{}") for k in ("_", "x", "y")], "meta_file string, raw_json string")
+    done = spark.createDataFrame([], "post_id string, seq bigint")
+    rows = parse_stage(pages, meta, done, ("body",)).collect()
+    assert sorted((r.page_url or "", r.body_markdown) for r in rows) == sorted((u or "", f"body {i}") for i, u in enumerate(urls))
+    assert sorted(r.error for r in rows if r.error) == ["duplicate page key"] * 2 + ["malformed url"] * 2
+    keys = [r.article_key for r in rows if r.status == "compiled"]
+    assert len(keys) == len(set(keys)) == 3
+
+
+def test_null_and_malformed_source_urls_are_findings(spark):
+    from folio.operators.maintenance import verify_integrity
+    html = "<html><body>" + "x" * 600 + "</body></html>"
+    pages = spark.createDataFrame([(k, html) for k in "abc"], "page_key string, html string")
+    meta = spark.createDataFrame([("a.html.meta.json", '{"source-url": null}'), ("b.html.meta.json", '{"source-url": "nowhere"}'),
+                                  ("c.html.meta.json", '{"source-url": "https://h.org/p/c"}')], "meta_file string, raw_json string")
+    got = {r.page_key: r.category for r in verify_integrity(pages, meta).collect()}
+    assert got == {"a": "corrupt_meta", "b": "mismatched"}

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from folio.operators.curation import top_k_per_group
-from folio.operators.joins import sized_broadcast
+from folio.operators.joins import lookup
 
 
 def _rows(n=3000, seed=7):
@@ -50,9 +50,10 @@ def test_first_per_post_with_hot_id(spark):
     assert got == {v[2] for v in best.values()}
 
 
-def test_sized_broadcast_respects_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    # beyond the bound the frame comes back untouched (left to the planner / AQE)
-    assert sized_broadcast(big, 100) is big
-    assert sized_broadcast(small, 100) is not small
+def test_lookup_leaves_the_broadcast_to_the_planner(spark):
+    """No job while the plan is built, and no hint beyond the planner's byte bound."""
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    side = lookup(spark.range(1000).withColumnRenamed("id", "k"))
+    plan = spark.range(10).join(side, F.col("id") == F.col("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan and len(tracker.getJobIdsForGroup()) == before
