@@ -10,9 +10,9 @@ the probability of the Jaccard similarity, with concentration as for independent
 Equal sets are one class, and only the class's smallest document goes on. Bands of ``ROWS``
 coordinates give candidates; a pair at similarity 0.8 is missed with (1 - 0.8**4)**32,
 under 1e-7. Candidates are verified on full shingle sets. In a bucket of many classes each
-is first compared with a few hubs; then only classes that are not yet connected are
-compared with each other, so a group of near copies needs no pair of all its members and
-still loses no link between components.
+is first compared with a few hubs, the classes with the fewest shingles of their own; then only
+classes are compared that are not yet connected and, by their own shingles, could still be
+similar. So a group of near copies needs few of its pairs, and no component is missed.
 
 Results for odd input: null, empty and word-less texts have 0 shingles, are linked with
 nothing and kept; a row with a null id is kept and linked with nothing (component null);
@@ -117,24 +117,35 @@ def _sketch_batches(words: int):
 def _verify_batches(words: int, percent: int):
     """Pairs whose full sets are similar enough."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in H.pieces(whole, ["text_a", "text_b"]):
+                n, sets = batch.num_rows, []
+                for name in ("text_a", "text_b"):
+                    pairs, shingles = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+                    for texts in H.slices(batch, name):
+                        doc, found = shingle_sets(texts, words)
+                        pairs.append(doc + texts.first)
+                        shingles.append(found)
+                    sets.append((np.concatenate(pairs), np.concatenate(shingles)))
+                pair = np.concatenate([s[0] for s in sets])
+                shingle = np.concatenate([s[1] for s in sets])
+                order = np.lexsort((shingle, pair))
+                pair, shingle = pair[order], shingle[order]
+                both = np.bincount(pair[1:][(pair[1:] == pair[:-1]) & (shingle[1:] == shingle[:-1])], minlength=n)
+                union = np.bincount(pair, minlength=n) - both
+                yield batch.select(["a", "b"]).filter(pa.array((100 * both >= percent * union) & (both > 0)))
+
+    return run
+
+
+def _shingle_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            sets = []
-            for name in ("text_a", "text_b"):
-                pairs, shingles = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
-                for texts in H.slices(batch, name):
-                    doc, found = shingle_sets(texts, words)
-                    pairs.append(doc + texts.first)
-                    shingles.append(found)
-                sets.append((np.concatenate(pairs), np.concatenate(shingles)))
-            pair = np.concatenate([s[0] for s in sets])
-            shingle = np.concatenate([s[1] for s in sets])
-            order = np.lexsort((shingle, pair))
-            pair, shingle = pair[order], shingle[order]
-            both = np.bincount(pair[1:][(pair[1:] == pair[:-1]) & (shingle[1:] == shingle[:-1])], minlength=n)
-            union = np.bincount(pair, minlength=n) - both
-            yield batch.select(["a", "b"]).filter(pa.array((100 * both >= percent * union) & (both > 0)))
+            ids = H.ids(batch, "rep")
+            for texts in H.slices(batch):
+                doc, shingles = shingle_sets(texts, words)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[texts.first + doc]), pa.array(shingles.view(np.int64))], names=["rep", "shingle"])
 
     return run
 
@@ -156,21 +167,25 @@ def components(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataF
     classes = materialize(classes, "classes")
 
     # members of buckets that hold two classes or more
-    rows = classes.select("rep", F.explode("bands").alias("bucket")).repartition("bucket")
+    rows = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).repartition("bucket")
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = materialize(rows.join(sizes, "bucket"), "members")
     involved = members.select("rep").distinct()
     texts = materialize(docs.join(involved, docs["doc_id"] == involved["rep"]).select("rep", "text").dropDuplicates(["rep"]), "texts")
 
-    x, y = members.alias("x"), members.alias("y")
-    small = x.filter(f"size <= {SMALL}").join(y.filter(f"size <= {SMALL}"), F.expr("x.bucket = y.bucket and x.rep < y.rep")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-    large = members.filter(f"size > {SMALL}")
-    hubs = _hubs(large)
-    to_hub = large.join(hubs, "bucket").filter("hub != rep").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
-    links = materialize(_verified(small.unionByName(to_hub).distinct(), texts, words, percent), "links")
+    x, y = (members.filter(f"size <= {SMALL}").alias(k) for k in "xy")
+    pairs = x.join(y, F.expr("x.bucket = y.bucket and x.rep < y.rep")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    large = members.filter(f"size > {SMALL}").select("bucket", "rep", "n")
+    crowded = bool(large.take(1))
+    if crowded:
+        large = materialize(large.join(_own_shingles(large, texts, words), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0))), "large")
+        hubs = materialize(_hubs(large), "hubs")
+        to_hub = large.alias("x").join(hubs.alias("y"), (F.expr("x.bucket = y.bucket and x.rep != y.rep")) & _possible("x", "y", percent))
+        pairs = pairs.unionByName(to_hub.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")))
+    links = materialize(_verified(pairs.distinct(), texts, words, percent), "links")
     joined = connected(links)
-    if large.take(1):
-        links = links.unionByName(_verified(_open_pairs(large, hubs, joined), texts, words, percent))
+    if crowded:
+        links = materialize(links.unionByName(_verified(_open_pairs(large, hubs, joined, percent), texts, words, percent)), "links")
         joined = connected(links)
 
     class_of = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
@@ -182,29 +197,44 @@ def components(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataF
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _own_shingles(large: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(rep, own): the shingles that no other class of a large bucket has."""
+    rows = texts.join(large.select("rep").distinct(), "rep", "left_semi").mapInArrow(_shingle_rows(words), "rep long, shingle long")
+    alone = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes"), F.min("rep").alias("rep")).filter("classes = 1")
+    return alone.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _possible(x: str, y: str, percent: int):
+    """Can two classes still be similar enough, given the shingles that each has alone?
+
+    They share at most what is not own to either, so their similarity has a bound that
+    needs no texts; it rules out most pairs of heavily edited copies."""
+    shared = F.least(F.col(f"{x}.n") - F.col(f"{x}.own"), F.col(f"{y}.n") - F.col(f"{y}.own"))
+    return shared * 100 >= (F.col(f"{x}.n") + F.col(f"{y}.n") - shared) * percent
+
+
 def _hubs(large: DataFrame) -> DataFrame:
-    """The few smallest classes of each large bucket: minima by rounds, so that no bucket
-    is sorted or gathered. Small classes lead in most buckets of a group, so the pairs
-    with them are few and often the same."""
-    hubs = None
-    left = large.select("bucket", "rep")
+    """A few classes of each large bucket with the fewest own shingles, the most central
+    ones: minima by rounds, so that no bucket is sorted or gathered. The order is the same
+    everywhere, so the buckets of a group have mostly the same hubs."""
+    hubs, left = None, large
+    order = F.struct("own", "rep", "n")
     for _ in range(HUBS):
-        least = left.groupBy("bucket").agg(F.min("rep").alias("hub"))
+        least = left.groupBy("bucket").agg(F.min(order).alias("hub"))
         hubs = least if hubs is None else hubs.unionByName(least)
-        left = left.join(least, "bucket").filter("rep > hub").select("bucket", "rep")
-    return hubs
+        left = left.join(least, "bucket").filter(order > F.col("hub")).select("bucket", "rep", "n", "own")
+    return hubs.select("bucket", "hub.*")
 
 
-def _open_pairs(large: DataFrame, hubs: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs of large buckets whose classes are in different components so far and were not
-    compared: none of the two is a hub of that bucket."""
-    open_ = large.select("bucket", "rep").join(hubs, (large["bucket"] == hubs["bucket"]) & (F.col("rep") == F.col("hub")), "left_anti")
-    open_ = open_.join(joined, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+def _open_pairs(large: DataFrame, hubs: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a large bucket in different components so far that were not compared (none
+    of the two is a hub there) and can still be similar."""
+    open_ = large.join(hubs.select("bucket", "rep"), ["bucket", "rep"], "left_anti").filter(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100)
+    open_ = open_.join(joined, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", "own", F.coalesce("component", "rep").alias("component"))
     several = open_.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
     open_ = materialize(open_.join(several, "bucket"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    return x.join(y, F.expr("x.bucket = y.bucket and x.component < y.component")).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    pairs = open_.alias("x").join(open_.alias("y"), F.expr("x.bucket = y.bucket and x.component < y.component") & _possible("x", "y", percent))
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
 
 
 def dedupe(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:

@@ -189,6 +189,16 @@ def slices(batch: pa.RecordBatch, name: str = "text", most: int = SLICE_BYTES) -
         lo = hi
 
 
+def pieces(batch: pa.RecordBatch, names: list[str], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose texts in the named columns come to about ``most`` bytes."""
+    total = sum(column(batch, name)[1] for name in names)
+    lo, n = 0, batch.num_rows
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + most, "right")) - 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def ids(batch: pa.RecordBatch, name: str = "doc_id") -> np.ndarray:
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
 
