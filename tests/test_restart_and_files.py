@@ -111,3 +111,16 @@ def test_null_and_malformed_source_urls_are_findings(spark):
                                   ("c.html.meta.json", '{"source-url": "https://h.org/p/c"}')], "meta_file string, raw_json string")
     got = {r.page_key: r.category for r in verify_integrity(pages, meta).collect()}
     assert got == {"a": "corrupt_meta", "b": "mismatched"}
+
+
+def test_queries_run_from_another_folder():
+    """The Python workers find the package wherever the driver was started."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r)\nfrom pyspark.sql import SparkSession\n"
+            "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "import __spark_entry__ as e\nprint('rows', e.queries()['select_body'](spark, %r).count())" % (root, SF_SMALL))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 200" in out.stdout, out.stderr[-2000:]
