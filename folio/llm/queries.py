@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import block_repeats, decontaminate, html_mincut, language_id, minhash_dedup, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
+from folio.llm import block_repeats, decontaminate, html_mincut, language_id, minhash_dedup, oracles, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
 from folio.llm.common import table
 
 
@@ -61,4 +61,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op6_hierarchical_language_id, op7_prefix_free_parsing, op8_block_anchors, op9_minimum_cut_html, op10_template_decontamination, pipeline)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES

@@ -115,3 +115,12 @@ def test_pipeline_stages(spark):
 def test_every_operator_has_its_query():
     names = [n for n in queries.QUERIES if n.startswith("op")]
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in queries.QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    from tools.compare import digest, duck
+    got = queries.QUERIES[name](spark, SF_SMALL)
+    want = duck(SF_SMALL).sql(queries.ORACLES[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert digest(got.columns, [tuple(r) for r in got.collect()])[0] == digest(list(want.columns), want.fetchall())[0]
