@@ -1,6 +1,6 @@
 """Benchmark decontamination by template canonicalisation.
 
-Texts become templates: words lose outer punctuation and case, and numbers, names (inner
+Texts become templates: words lose outer punctuation and case (A-Z and Latin-1), and numbers, names (inner
 capitalised words) and units after numbers become typed placeholders. Windows of ``WIDTH``
 template words of the documents are hash-joined with those of the benchmark items. An item
 counts as leaked when at least ``COVERAGE`` of its windows stand in the document and its
@@ -88,12 +88,16 @@ def canonical(texts: H.Texts) -> Template:
         hi[ragged] = np.where(before >= 0, places[np.maximum(before, 0)] + 1 if len(places) else 0, 0)
     real = lo < hi
     hi = np.maximum(hi, lo)
-    value = H.mix(H.ranges(texts.byte_sums(lower=True), lo, hi))
-    digits, small, breaks = _sum_before(_DIGIT[data]), _sum_before(_SMALL[data]), _sum_before(data == 0x0A)
+    capitals = H.latin_capitals(data)
+    folded, is_small = data.copy(), _SMALL[data]
+    folded[capitals] += 0x20
+    is_small[capitals] = 0
+    is_small[np.flatnonzero(capitals) - 1] = 0
+    value = H.mix(H.ranges(H.Texts(folded, texts.offsets, 0).byte_sums(lower=True), lo, hi))
+    digits, small, breaks = _sum_before(_DIGIT[data]), _sum_before(is_small), _sum_before(data == 0x0A)
     number = digits[hi] > digits[lo]
     at = np.minimum(lo, len(data) - 1)
-    after = np.minimum(at + 1, len(data) - 1)
-    capital = (data[at] >= 0x41) & (data[at] <= 0x5A) | (data[at] == 0xC3) & (data[after] >= 0x80) & (data[after] <= 0x9E)
+    capital = (data[at] >= 0x41) & (data[at] <= 0x5A) | capitals[np.minimum(at + 1, len(data) - 1)] & (data[at] == 0xC3)
     opens = np.ones(n, dtype=bool)
     opens[1:] = _STOP[data[ends[:-1] - 1]] | (breaks[starts[1:]] > breaks[ends[:-1]])
     opens[first[:-1][first[:-1] < first[1:]]] = True

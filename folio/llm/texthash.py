@@ -51,6 +51,14 @@ IS_SEP = np.zeros(256, dtype=bool)
 IS_SEP[list(SEPARATORS)] = True
 
 
+def latin_capitals(data: np.ndarray) -> np.ndarray:
+    """Marks the second byte of every Latin-1 capital beyond ASCII in UTF-8 (U+00C0 to
+    U+00DE without the multiplication sign); adding 0x20 there makes it lower case."""
+    out = np.zeros(len(data), dtype=bool)
+    out[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return out
+
+
 class Powers:
     """Powers of an odd base and of its inverse modulo 2**64, grown when needed."""
 

@@ -59,14 +59,15 @@ def test_pages(spark):
 
 
 ITEMS = [(0, "If Alice buys 12 apples at 3 dollars and Bob buys 12 pears, how much did Alice spend in total today?"), (1, "too short"), (2, None), (3, ""),
-         (4, "seven plain words without any slot here"), (5, "the long road winds slowly over hills and rivers until at last it meets the grey old town"), (5, "the long road winds slowly over hills and rivers until at last it meets the grey old town")]
+         (4, "seven plain words without any slot here"), (5, "the long road winds slowly over hills and rivers until at last it meets the grey old town"), (5, "the long road winds slowly over hills and rivers until at last it meets the grey old town"),
+         (6, "él vivió años en la montaña, allí más allá del río ñandú; después volvió a pié.")]
 
 
 def test_decontamination(spark):
     bench = spark.createDataFrame([(*x, "y") for x in ITEMS], "item_id long, text string, doc_id string")
     filler = " ".join(brute.vocabulary(3, 60))
     leaked = {1: filler + " " + ITEMS[0][1], 2: "So if Carol buys 45 apples at 9 euros and Dave buys 45 pears, how much did Carol spend in total today? " + filler,
-              3: ITEMS[4][1].upper() + "!!", 4: filler + "\n" + ITEMS[5][1] + ".\n" + filler}
+              3: ITEMS[4][1].upper() + "!!", 5: "LA VIDA!! " + ITEMS[-1][1].upper().replace(" ", "!! ", 3), 4: filler + "\n" + ITEMS[5][1] + ".\n" + filler}
     clean = {10: filler, 11: None, 12: "", 13: "too short", 14: "12 apples at 3 dollars " * 30,
              15: "If Carol buys 45 apples at 9 euros and Dave buys 46 pears, how much did Erin spend in total today?"}
     rows = [(d, t, None, None) for d, t in (leaked | clean).items()] + [(4, leaked[4], None, None), (None, leaked[1], None, None)]
