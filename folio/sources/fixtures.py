@@ -47,7 +47,7 @@ SELECT doc_id,
        ELSE concat('author', CAST(doc_id % 7 AS {S}), '.substack.com') END AS host,
   concat('post-', CAST(CASE WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END AS {S})) AS slug,
   substr(CAST(CAST('2024-01-01' AS DATE) + CAST(doc_id % 400 AS INT) AS {S}), 1, 10) AS pub,
-  regexp_replace(text, '[^A-Za-z0-9 .,]', ''{G}) AS body
+  text AS body
 FROM {documents}
 """)
 
@@ -63,7 +63,7 @@ SELECT doc_id, """ + _SRC + """ AS source_url,
       '","author":[{{"name":"Author ', CAST(doc_id % 9 AS {S}), '"}}],"datePublished":"', pub, 'T08:00:00Z"}}</script>') ELSE '' END,
     CASE WHEN doc_id % 17 = 0 THEN '<script>var e="Too Many Requests";</script>' ELSE '' END,
     '</head><body>', CASE WHEN doc_id % 5 = 0 THEN '<article>' ELSE '<div class="body markup">' END,
-    '<h2>Part ', CAST(doc_id AS {S}), '</h2><p>', body, '</p>',
+    '<h2>Part ', CAST(doc_id AS {S}), '</h2><p>', replace(replace(replace(body, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '</p>',
     '<p>See <a href="https://author', CAST(doc_id % 7 AS {S}), '.substack.com/p/post-', CAST(doc_id * 7 % 1500 AS {S}), '?ref=x">next</a> and <strong>more</strong>.</p>',
     '<figure><img src="https://img.example.org/a/', CAST(doc_id % 50 AS {S}), '.png?w=10" alt="Alt ', CAST(doc_id % 50 AS {S}), '"><figcaption>Cap ', CAST(doc_id AS {S}), '</figcaption></figure>',
     '<blockquote><p>Quote</p></blockquote><ul><li>one</li><li>two</li></ul>',
