@@ -131,10 +131,11 @@ def link_class_counts(links, ignored, aliases, expand=False) -> DataFrame:
     return by_class.unionByName(n_approved)
 
 
-def next_crawl_job(new_urls: DataFrame, reason: str = "discovery") -> DataFrame:
-    """K4: the new URLs as one crawl job, unique and in ascending order (a range-
-    partitioned global sort, no single-partition step). Empty input -> no rows."""
-    return new_urls.select("url").distinct().withColumn("reason", F.lit(reason)).orderBy("url")
+def next_crawl_job(new_urls: DataFrame, job_ts: str, reason: str = "discovery") -> DataFrame:
+    """K4: the new URLs as one crawl job of the given time, unique and in ascending order
+    (a range-partitioned global sort, no single-partition step). Empty input -> no rows."""
+    return new_urls.select("url").distinct().withColumn("reason", F.lit(reason)) \
+        .withColumn("job_ts", F.lit(job_ts)).orderBy("url")
 
 
 def write_external_links(ext: DataFrame, path: str) -> None:

@@ -119,11 +119,14 @@ def write_external_links_q(fx):
         "source_article_key string, link_text string, external_url string").csv(path)
 
 
-@plan("next_crawl_job", _LINKS + "SELECT url, 'discovery' AS reason FROM NEWX")
+JOB_TS = "2025-06-14T15:00:00Z"
+
+
+@plan("next_crawl_job", _LINKS + f"SELECT url, 'discovery' AS reason, '{JOB_TS}' AS job_ts FROM NEWX")
 def next_crawl_job_q(fx):
     """K4: the expand-mode discoveries as one sorted, de-duplicated crawl job."""
     new = D.discover_new_articles(links_of(fx), ignored_of(fx), fx["fx_aliases"], fx["fx_queue"], expand=True)
-    return D.next_crawl_job(new)
+    return D.next_crawl_job(new, JOB_TS)
 
 
 @plan("sorted_urls", _LINKS + "SELECT url FROM KU")
