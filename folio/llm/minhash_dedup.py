@@ -11,8 +11,8 @@ Equal sets are one class, and only the class's smallest document goes on. Bands
 coordinates give candidates; a pair at similarity 0.8 is missed with (1 - 0.8**4)**32,
 under 1e-7. Candidates are verified on full shingle sets. In a bucket of many classes each
 is first compared with a few hubs, the classes with the fewest shingles of their own; then only
-classes are compared that are not yet connected and, by their own shingles, could still be
-similar. So a group of near copies needs few of its pairs, and no component is missed.
+classes are compared that are not yet connected and share one of their rarest shingles, as
+every similar pair must. So a group of near copies needs few of its pairs, and no component is missed.
 
 Results for odd input: null, empty and word-less texts have 0 shingles, are linked with
 nothing and kept; a row with a null id is kept and linked with nothing (component null);
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import texthash as H
@@ -178,14 +178,15 @@ def components(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataF
     large = members.filter(f"size > {SMALL}").select("bucket", "rep", "n")
     crowded = bool(large.take(1))
     if crowded:
-        large = materialize(large.join(_own_shingles(large, texts, words), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0))), "large")
+        prefixes = materialize(_prefixes(large, texts, words, percent), "prefixes")
+        large = materialize(large.join(prefixes.filter("rank = 1").select("rep", "own"), "rep"), "large")
         hubs = materialize(_hubs(large), "hubs")
         to_hub = large.alias("x").join(hubs.alias("y"), (F.expr("x.bucket = y.bucket and x.rep != y.rep")) & _possible("x", "y", percent))
         pairs = pairs.unionByName(to_hub.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")))
     links = materialize(_verified(pairs.distinct(), texts, words, percent), "links")
     joined = connected(links)
     if crowded:
-        links = materialize(links.unionByName(_verified(_open_pairs(large, hubs, joined, percent), texts, words, percent)), "links")
+        links = materialize(links.unionByName(_verified(_open_pairs(prefixes, joined, percent), texts, words, percent)), "links")
         joined = connected(links)
 
     class_of = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
@@ -197,11 +198,16 @@ def components(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataF
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _own_shingles(large: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(rep, own): the shingles that no other class of a large bucket has."""
-    rows = texts.join(large.select("rep").distinct(), "rep", "left_semi").mapInArrow(_shingle_rows(words), "rep long, shingle long")
-    alone = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes"), F.min("rep").alias("rep")).filter("classes = 1")
-    return alone.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+def _prefixes(large: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(rep, n, token, rank, own): each class's rarest shingles first, as far as a similar
+    class must share one of them, and how many of its shingles no other class has."""
+    sizes = large.select("rep", "n").distinct()
+    rows = texts.join(sizes, "rep", "left_semi").mapInArrow(_shingle_rows(words), "rep long, shingle long").repartition("shingle")
+    ranked = rows.join(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")), "shingle")
+    mine = Window.partitionBy("rep")
+    ranked = ranked.select("rep", F.col("shingle").alias("token"), F.row_number().over(mine.orderBy("classes", "shingle")).alias("rank"),
+                           F.sum((F.col("classes") == 1).cast("int")).over(mine).alias("own"), F.count(F.lit(1)).over(mine).alias("n"))
+    return ranked.filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
 
 
 def _possible(x: str, y: str, percent: int):
@@ -226,14 +232,23 @@ def _hubs(large: DataFrame) -> DataFrame:
     return hubs.select("bucket", "hub.*")
 
 
-def _open_pairs(large: DataFrame, hubs: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a large bucket in different components so far that were not compared (none
-    of the two is a hub there) and can still be similar."""
-    open_ = large.join(hubs.select("bucket", "rep"), ["bucket", "rep"], "left_anti").filter(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100)
-    open_ = open_.join(joined, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", "own", F.coalesce("component", "rep").alias("component"))
-    several = open_.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
-    open_ = materialize(open_.join(several, "bucket"), "open")
-    pairs = open_.alias("x").join(open_.alias("y"), F.expr("x.bucket = y.bucket and x.component < y.component") & _possible("x", "y", percent))
+def _open_pairs(prefixes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes in different components so far that can still be similar.
+
+    Exact, by prefixes: two sets that share at least o shingles share one of the first
+    n - o + 1 in any common order. In the order of rarity, heavily edited copies lead with
+    their edits, so they meet only classes with the same edits. A token's main component is
+    not paired with itself."""
+    rows = prefixes.join(joined, F.col("rep") == F.col("node"), "left").select("rep", "n", "own", "token", "rank", F.coalesce("component", "rep").alias("component"))
+    holders = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"))
+    tokens = holders.groupBy("token").agg(F.max_by("component", "held").alias("main"), F.count(F.lit(1)).alias("components")).filter("components > 1")
+    rows = materialize(rows.join(tokens.select("token", "main"), "token"), "open")
+    x, y = rows.filter("component != main").alias("x"), rows.alias("y")
+    # sets with J >= p share at least p / (1 + p) of the sum of their sizes
+    shared = F.ceil((F.col("x.n") + F.col("y.n")) * F.lit(percent) / F.lit(100 + percent))
+    near = (F.col("x.rank") <= F.col("x.n") - shared + 1) & (F.col("y.rank") <= F.col("y.n") - shared + 1)
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
+    pairs = x.join(y, F.expr("x.token = y.token and x.component != y.component") & near & once & _possible("x", "y", percent))
     return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
 
 
