@@ -59,9 +59,7 @@ def features(texts: H.Texts) -> tuple[np.ndarray, np.ndarray]:
     """(feature of each trigram, trigram offsets of the documents)."""
     data, off = texts.data, texts.offsets
     folded = _FOLD[data]
-    upper = np.zeros(len(data), dtype=bool)
-    upper[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    folded[upper] += 0x20
+    folded[H.latin_capitals(data)] += 0x20
     n = max(0, len(data) - 2)
     grams = ((_GRAM[0][folded[:n]] ^ _GRAM[1][folded[1:n + 1]]) + _GRAM[2][folded[2:n + 2]]) >> np.uint32(32 - DIM.bit_length() + 1)
     inside = H.inside(off, 3, len(data))
@@ -154,19 +152,20 @@ def _largest(x: np.ndarray) -> float:
     return 1.1 * float(np.linalg.norm(v))
 
 
-def _svm(x: np.ndarray, sign: np.ndarray, steps: int = 300, cost: float = 100.0) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, sign: np.ndarray, steps: int = 150, cost: float = 100.0) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss, balanced classes, by accelerated gradient steps."""
     scale = 1.0 / max(1e-12, float(np.sqrt((x * x).sum(axis=1).mean())))
     x = np.hstack([x * scale, np.ones((len(x), 1), np.float32)]).astype(np.float32)
     weight = np.where(sign > 0, 0.5 / max(1, (sign > 0).sum()), 0.5 / max(1, (sign < 0).sum()))
     norm = _largest(x * np.sqrt(weight).astype(np.float32)[:, None])
     rate = 1.0 / (1.0 + 2 * cost * norm)
-    w = v = np.zeros(x.shape[1])
+    w = v = np.zeros(x.shape[1], np.float32)
+    sign, weight = sign.astype(np.float32), weight.astype(np.float32)
     for k in range(steps):
         slack = np.maximum(0.0, 1.0 - sign * (x @ v))
-        grad = v - 2 * cost * (x.T @ (weight * slack * sign))
-        new = v - rate * grad
-        v = new + k / (k + 3) * (new - w)
+        grad = v - np.float32(2 * cost) * ((weight * slack * sign) @ x)
+        new = v - np.float32(rate) * grad
+        v = new + np.float32(k / (k + 3)) * (new - w)
         w = new
     return (w[:-1] * scale).astype(np.float32), float(w[-1])
 
