@@ -221,15 +221,11 @@ def _possible(x: str, y: str, percent: int):
 
 def _hubs(large: DataFrame) -> DataFrame:
     """A few classes of each large bucket with the fewest own shingles, the most central
-    ones: minima by rounds, so that no bucket is sorted or gathered. The order is the same
-    everywhere, so the buckets of a group have mostly the same hubs."""
-    hubs, left = None, large
-    order = F.struct("own", "rep", "n")
-    for _ in range(HUBS):
-        least = left.groupBy("bucket").agg(F.min(order).alias("hub"))
-        hubs = least if hubs is None else hubs.unionByName(least)
-        left = left.join(least, "bucket").filter(order > F.col("hub")).select("bucket", "rep", "n", "own")
-    return hubs.select("bucket", "hub.*")
+    ones. Spark keeps that many rows of a bucket in each task before the shuffle (window
+    group limit), so no bucket is gathered. The order is the same everywhere, so the
+    buckets of a group have mostly the same hubs."""
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("own", "rep"))
+    return large.select("bucket", "own", "rep", "n", place.alias("place")).filter(F.col("place") <= HUBS).drop("place")
 
 
 def _open_pairs(prefixes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
