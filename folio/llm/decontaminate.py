@@ -6,7 +6,9 @@ template words of the documents are hash-joined with those of the benchmark item
 counts as leaked when at least ``COVERAGE`` of its windows stand in the document and its
 slots are filled consistently: one value of the item always against one value of the
 document and the other way round, so a question with exchanged numbers or names is caught
-and a chance mixture of placeholders is not.
+and a chance mixture of placeholders is not. Every place of a document where enough windows
+stand at about the same distance from their places in the item is judged by itself, and so
+are the first occurrences of all windows together (a copy in pieces); the best one counts.
 
 The benchmark is the stated query set: it is read in blocks of bounded size (``BLOCK_BYTES``
 of text), each broadcast to one pass over the documents, so no side grows with the corpus
@@ -36,6 +38,7 @@ WIDTH = 8
 SHORTEST = 4
 COVERAGE = 0.5
 AGREE = 0.8
+BAND = 8  # words put in or left out that an alignment may hold
 BLOCK_BYTES = 16 << 20
 U64 = np.uint64
 
@@ -175,19 +178,45 @@ def matches(texts: H.Texts, block: Block) -> list[tuple]:
         pair, where, spot = pair[order], where[order], place[at][order]
         new = np.ones(len(pair), dtype=bool)
         new[1:] = (pair[1:] != pair[:-1]) | (spot[1:] != spot[:-1])
-        pairs, first, counts = np.unique(pair[new], return_index=True, return_counts=True)
-        distinct = np.flatnonzero(new)
-        for p, i, c in zip(pairs.tolist(), first.tolist(), counts.tolist(), strict=True):
+        pairs, counts = np.unique(pair[new], return_counts=True)
+        pairs = pairs[counts >= COVERAGE * block.totals[pairs % len(block.totals)]]
+        for p, a, b in zip(pairs.tolist(), np.searchsorted(pair, pairs).tolist(), np.searchsorted(pair, pairs, "right").tolist(), strict=True):
             d, it = divmod(p, len(block.totals))
-            if c < COVERAGE * block.totals[it]:
-                continue
-            rows = distinct[i:i + c]
-            slots, changed, agree = _slots(words, block.words, where[rows], spot[rows] + block.words.first[it], width)
-            if agree:
-                found.append((d, it, c, int(block.totals[it]), slots, changed))
+            total, best = int(block.totals[it]), None
+            for rows in _alignments(where[a:b], spot[a:b], COVERAGE * total):
+                slots, changed, agree = _slots(words, block.words, where[a:b][rows], spot[a:b][rows] + block.words.first[it], width)
+                if agree and (best is None or (len(rows), -changed) > (best[0], -best[2])):
+                    best = len(rows), slots, changed
+                    if len(rows) == total and not changed:
+                        break
+            if best:
+                found.append((d, it, best[0], total, *best[1:]))
     return found
 
 
+def _alignments(where: np.ndarray, spot: np.ndarray, least: float) -> Iterator[np.ndarray]:
+    """Rows of the hits of a document and item (sorted by spot, then where) that are judged
+    together, one for each spot and at least ``least``: the first of every spot, then those
+    on each diagonal, with and without what is near it."""
+    yield np.flatnonzero(np.append(True, spot[1:] != spot[:-1]))
+    diagonal = where - spot
+    order = np.argsort(diagonal, kind="stable")
+    ranked = diagonal[order]
+    every = np.unique(ranked)
+    if len(every) == 1:
+        return
+    lo, hi = np.searchsorted(ranked, every - BAND), np.searchsorted(ranked, every + BAND, "right")
+    for k in np.flatnonzero(hi - lo >= least).tolist():
+        near = order[lo[k]:hi[k]]
+        off = np.abs(diagonal[near] - every[k])
+        by = np.lexsort((off, spot[near]))
+        near, off = near[by], off[by]
+        nearest = np.append(True, spot[near[1:]] != spot[near[:-1]])
+        for rows in (near[nearest], near[off == 0]):
+            if len(rows) >= least:
+                yield rows
+
+
 def _slots(words: Template, items: Template, where: np.ndarray, spot: np.ndarray, width: int) -> tuple[int, int, bool]:
     """Slots of the matched windows, how many differ from the item's, and whether the
     values go with each other one to one (``AGREE`` of them)."""

@@ -81,6 +81,16 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0 and decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_judges_every_occurrence(spark):
+    bench = spark.createDataFrame([ITEMS[0]], "item_id long, text string")
+    piece, filler = "If Carol buys 45 apples at 9 euros then leave.", " ".join(brute.vocabulary(3, 60))
+    other = "If Carol buys 45 apples at 9 euros and Dave buys 45 pears, how much did Erin spend in total today?"
+    rows = [(1, f"{piece} {ITEMS[0][1]}", None, None), (2, f"{piece} {filler} {piece} {ITEMS[0][1]} {piece}", None, None), (3, f"{other} {ITEMS[0][1]}", None, None), (4, f"{piece} {filler}", None, None)]
+    got = {r.doc_id: r for r in decontaminate.leaks(brute.frame(spark, rows), bench).collect()}
+    assert set(got) == {1, 2, 3}
+    assert all(r.matched == r.total and r.n_changed == 0 for r in got.values())
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     bench, docs = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("benchmark", "documents"))
     whole = {tuple(r) for r in decontaminate.leaks(docs, bench).collect()}
