@@ -14,9 +14,13 @@ The benchmark is the stated query set: it is read in blocks of bounded size (``B
 of text), each broadcast to one pass over the documents, so no side grows with the corpus
 and any size of benchmark works.
 
-Results for odd input: null and empty texts match nothing; an item of fewer than
-``SHORTEST`` words, or without a window that is half literal, is too general to be searched
-and matches nothing; items of fewer than ``WIDTH`` words are one window; repeated rows and
+An item of fewer than ``SHORTEST`` words, or without a window that is half literal, is too
+general for placeholders: its windows are joined as literal words. Characters of scripts
+that do not part words by spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) are words of
+their own.
+
+Results for odd input: null and empty texts match nothing; an item of fewer than ``LEAST``
+words matches nothing; items of fewer than ``WIDTH`` words are one window; repeated rows and
 equal ids are judged each; an empty table on either side gives no row; other columns are
 ignored (``drop_contaminated`` carries them).
 """
@@ -35,7 +39,8 @@ from folio.llm import texthash as H
 from folio.llm.common import narrow
 
 WIDTH = 8
-SHORTEST = 4
+SHORTEST = 4  # words of an item that is searched with placeholders
+LEAST = 3  # and of one that is searched literally
 COVERAGE = 0.5
 AGREE = 0.8
 BAND = 8  # words put in or left out that an alignment may hold
@@ -72,7 +77,35 @@ def _sum_before(mask: np.ndarray) -> np.ndarray:
     return out
 
 
+def spaced(texts: H.Texts) -> H.Texts:
+    """The texts with spaces around each character of a script that parts no words, and
+    in place of punctuation beyond ASCII (quotes, dashes, East Asian marks)."""
+    data = texts.data
+    lead = np.flatnonzero((data >= 0xE0) | (data == 0xC2))
+    if not len(lead):
+        return texts
+    a, b, c = data[lead], data[lead + 1], data[np.minimum(lead + 2, len(data) - 1)]
+    marks = (a == 0xC2) & ((b == 0xA1) | (b == 0xAB) | (b == 0xBB) | (b == 0xBF))
+    marks |= (a == 0xE2) & (b == 0x80) & ((c >= 0x93) & (c <= 0x9F) | (c == 0xA6) | (c == 0xB9) | (c == 0xBA))
+    marks |= (a == 0xE3) & (b == 0x80) & ((c < 0x85) | (c > 0x87))
+    marks |= (a == 0xEF) & ((b == 0xBC) & ((c < 0x90) | (c >= 0x9A) & (c <= 0xA0) | (c >= 0xBB)) | (b == 0xBD) & ((c == 0x80) | (c >= 0x9B) & (c <= 0xA5)))
+    own = (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB) | (a == 0xE1) & ((b >= 0x80) & (b <= 0x82) | (b == 0x9E) | (b == 0x9F))
+    own |= (a == 0xE3) & ~marks | (a >= 0xE4) & (a <= 0xE9) | (a == 0xF0) & (b >= 0xA0) & (b <= 0xB3)
+    own |= (a == 0xEF) & ((b >= 0xA4) & (b <= 0xAB) | (b == 0xBD) & (c >= 0xA6) | (b == 0xBE) & (c <= 0x9F))
+    if not (own.any() or marks.any()):
+        return texts
+    data, at = data.copy(), lead[marks]
+    data[at] = data[at + 1] = 0x20
+    data[at[a[marks] >= 0xE0] + 2] = 0x20
+    at = np.unique(np.concatenate([lead[own], lead[own] + np.where(a[own] == 0xF0, 4, 3)]))
+    offsets = texts.offsets + np.searchsorted(at, texts.offsets)
+    data = np.insert(data, at, 0x20)
+    offsets[-1] = len(data)
+    return H.Texts(data, offsets, texts.first)
+
+
 def canonical(texts: H.Texts) -> Template:
+    texts = spaced(texts)
     data = texts.data
     starts, ends, first = texts.words()
     n = len(starts)
@@ -126,42 +159,59 @@ def _word_values(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = np.sort(_word_values(UNITS))
 
 
-class Block(NamedTuple):
-    """Windows of a block of items, by width: sorted keys, and for each key the span of
-    ``item`` and ``place`` that holds where it stands."""
+class Table(NamedTuple):
+    """Windows of a block of items of one kind (a column of ``Template``) and width: sorted
+    keys, and for each key the span of ``item`` and ``place`` that holds where it stands;
+    ``totals`` are the windows of each item."""
+
+    kind: str
+    width: int
+    keys: np.ndarray
+    begin: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    maybe: np.ndarray
+    totals: np.ndarray
+
 
+class Block(NamedTuple):
     item_ids: list[int | None]
     words: Template
-    totals: np.ndarray
-    widths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    tables: list[Table]
 
 
 def block_of(item_ids: list[int | None], values: list[str | None]) -> Block:
     words = canonical(_texts([(v or "").encode() for v in values]))
     counts = np.diff(words.first)
-    totals, widths = np.zeros(len(counts), np.int64), {}
-    literal = np.concatenate([[0], np.cumsum(~words.slot)])
-    for width in sorted({min(WIDTH, int(c)) for c in counts if c >= SHORTEST}):
-        where, keys = H.window_hashes(words.template, words.first, width)
+    tables = _tables("template", words, words.slot, counts >= SHORTEST)
+    searched = sum((t.totals for t in tables), np.zeros(len(counts), np.int64)) > 0
+    return Block(item_ids, words, tables + _tables("value", words, np.zeros(len(words.slot), bool), (counts >= LEAST) & ~searched))
+
+
+def _tables(kind: str, words: Template, slot: np.ndarray, wanted: np.ndarray) -> list[Table]:
+    """The tables of the wanted items, with their windows that are half literal."""
+    counts, tables = np.diff(words.first), []
+    literal = np.concatenate([[0], np.cumsum(~slot)])
+    for width in sorted({min(WIDTH, int(c)) for c in counts[wanted]}):
+        where, keys = H.window_hashes(getattr(words, kind), words.first, width)
         item = np.searchsorted(words.first, where, "right") - 1
-        ok = (np.minimum(WIDTH, counts[item]) == width) & (2 * (literal[where + width] - literal[where]) >= width)
+        ok = wanted[item] & (np.minimum(WIDTH, counts[item]) == width) & (2 * (literal[where + width] - literal[where]) >= width)
         where, keys, item = where[ok], keys[ok], item[ok]
         if not len(keys):
             continue
-        totals += np.bincount(item, minlength=len(counts))
         order = np.argsort(keys, kind="stable")
         unique, begin = np.unique(keys[order], return_index=True)
         maybe = np.zeros(1 << 20, dtype=bool)
         maybe[(unique >> U64(44)).astype(np.int64)] = True
-        widths[width] = (unique, np.append(begin, len(keys)), item[order], where[order] - words.first[item[order]], maybe)
-    return Block(item_ids, words, totals, widths)
+        tables.append(Table(kind, width, unique, np.append(begin, len(keys)), item[order], where[order] - words.first[item[order]], maybe, np.bincount(item, minlength=len(counts))))
+    return tables
 
 
 def matches(texts: H.Texts, block: Block) -> list[tuple]:
     """(document, item, matched, total, slots, changed) of the leaked items of a slice."""
     found, words = [], canonical(texts)
-    for width, (keys, begin, item, place, maybe) in block.widths.items():
-        where, hashes = H.window_hashes(words.template, words.first, width)
+    for kind, width, keys, begin, item, place, maybe, totals in block.tables:
+        where, hashes = H.window_hashes(getattr(words, kind), words.first, width)
         near = maybe[(hashes >> U64(44)).astype(np.int64)]
         where, hashes = where[near], hashes[near]
         if not len(where):
@@ -173,16 +223,16 @@ def matches(texts: H.Texts, block: Block) -> list[tuple]:
         at = np.repeat(begin[k] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
         where = np.repeat(where, many)
         doc = np.searchsorted(words.first, where, "right") - 1
-        pair = doc * len(block.totals) + item[at]
+        pair = doc * len(totals) + item[at]
         order = np.lexsort((where, place[at], pair))
         pair, where, spot = pair[order], where[order], place[at][order]
         new = np.ones(len(pair), dtype=bool)
         new[1:] = (pair[1:] != pair[:-1]) | (spot[1:] != spot[:-1])
         pairs, counts = np.unique(pair[new], return_counts=True)
-        pairs = pairs[counts >= COVERAGE * block.totals[pairs % len(block.totals)]]
+        pairs = pairs[counts >= COVERAGE * totals[pairs % len(totals)]]
         for p, a, b in zip(pairs.tolist(), np.searchsorted(pair, pairs).tolist(), np.searchsorted(pair, pairs, "right").tolist(), strict=True):
-            d, it = divmod(p, len(block.totals))
-            total, best = int(block.totals[it]), None
+            d, it = divmod(p, len(totals))
+            total, best = int(totals[it]), None
             for rows in _alignments(where[a:b], spot[a:b], COVERAGE * total):
                 slots, changed, agree = _slots(words, block.words, where[a:b][rows], spot[a:b][rows] + block.words.first[it], width)
                 if agree and (best is None or (len(rows), -changed) > (best[0], -best[2])):

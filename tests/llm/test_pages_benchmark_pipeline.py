@@ -91,6 +91,17 @@ def test_decontamination_judges_every_occurrence(spark):
     assert all(r.matched == r.total and r.n_changed == 0 for r in got.values())
 
 
+def test_decontamination_finds_short_and_unspaced_items(spark):
+    items = ["Solve 3x + 5 y = 20", "Who wrote Hamlet?", "小明有五个苹果,又买了三个,现在一共有几个?", "りんごはいくつありますか。", "เขามีแอปเปิ้ลห้าลูก", "7 11 13 17 19 23 29 31 37 41"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    filler = " ".join(brute.vocabulary(3, 60))
+    around = ["{} " + filler, filler + " «{}» " + filler, "他说。{}这是一个问题。", "問題:{}答えなさい。", "คำถาม{}คำตอบ", filler + "\n{}\n"]
+    rows = [(i, a.format(x), None, None) for i, (a, x) in enumerate(zip(around, items, strict=True))]
+    rows += [(10, "Solve 3x + 6 y = 20", None, None), (11, "Who wrote it? Hamlet", None, None), (12, "小明有五个苹果", None, None), (13, "苹果小明", None, None), (14, "11 7 13 19 17", None, None)]
+    got = [tuple(r)[:2] for r in decontaminate.leaks(brute.frame(spark, rows), bench).collect()]
+    assert sorted(got) == [(i, i) for i in range(len(items))]
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     bench, docs = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("benchmark", "documents"))
     whole = {tuple(r) for r in decontaminate.leaks(docs, bench).collect()}
