@@ -14,8 +14,11 @@ The benchmark is the stated query set: it is read in blocks of bounded size (``B
 of text), each broadcast to one pass over the documents, so no side grows with the corpus
 and any size of benchmark works.
 
-An item of fewer than ``SHORTEST`` words, or without a window that is half literal, is too
-general for placeholders: its windows are joined as literal words. Characters of scripts
+Beside these templates, windows are joined with every capitalised word as a name, whatever
+its place (a renamed question whose names open sentences or lines; there an exchanged word
+of ``OPENERS`` counts against the item), and as literal words, which depend on neither case
+nor layout and need no window that is half literal. Each of the three is judged by itself.
+An item of fewer than ``SHORTEST`` words is searched only literally. Characters of scripts
 that do not part words by spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) are words of
 their own.
 
@@ -51,6 +54,15 @@ UNITS = """mm cm m km inch inches foot feet yard yards mile miles mg g kg gram g
 second seconds minute minutes hour hours day days week weeks month months year years ml l liter liters litre litres gallon gallons
 degree degrees percent dollar dollars euro euros cent cents usd eur gbp mph kmh watt watts volt volts""".split()
 
+#: Words that open sentences with a capital and are no names.
+OPENERS = """a all also although an and another any are as at because before both but by can could did do does each every find for from
+give given had has have he her here his how i if in is it its let many may more most my no not now of on once one only or our she since
+so some that the their then there these they this those to two was we were what when where which while who whose why will with would you your
+au aux avec ce ces cette combien comme dans de des du elle en est et il ils je la le les leur mais nous on où par pour quand que quel quelle
+qui quoi sa se ses si son sur un une vous aber als am auf aus bei das dem den der die dies diese ein eine er es für hat ich im ist mit nach
+nicht oder sie sind so und von wann warum was wenn wer wie wir wo zu al como con cuando cuándo cuánto cuántos cómo del dónde el ella ellos
+esta este está hay las lo los más no para pero por porque qué quién se ser su sus también una y ya""".split()
+
 _CORE = np.zeros(256, dtype=bool)
 _CORE[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
 _DIGIT = np.zeros(256, dtype=np.int32)
@@ -63,12 +75,15 @@ _KIND = H.random_values(4, 51)  # placeholders: number, name, unit
 
 
 class Template(NamedTuple):
-    """Template words of some documents: template and value hash, slot mark, offsets."""
+    """Template words of some documents: template and value hash, slot mark, offsets;
+    ``loose`` and ``loose_slot`` with every capitalised word as a name."""
 
     template: np.ndarray
     value: np.ndarray
     slot: np.ndarray
     first: np.ndarray
+    loose: np.ndarray
+    loose_slot: np.ndarray
 
 
 def _sum_before(mask: np.ndarray) -> np.ndarray:
@@ -111,7 +126,7 @@ def canonical(texts: H.Texts) -> Template:
     n = len(starts)
     if not n:
         none = np.zeros(0, U64)
-        return Template(none, none, np.zeros(0, bool), first)
+        return Template(none, none, np.zeros(0, bool), first, none, np.zeros(0, bool))
     core = _CORE[data]
     lo, hi = starts.copy(), ends.copy()
     places = None
@@ -137,14 +152,16 @@ def canonical(texts: H.Texts) -> Template:
     opens = np.ones(n, dtype=bool)
     opens[1:] = _STOP[data[ends[:-1] - 1]] | (breaks[starts[1:]] > breaks[ends[:-1]])
     opens[first[:-1][first[:-1] < first[1:]]] = True
-    name = capital & ~opens & ~number & (hi - lo > 1) & (small[hi] > small[lo])
+    proper = capital & ~number & (hi - lo > 1) & (small[hi] > small[lo])
+    name = proper & ~opens
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    value, number, name, doc = value[real], number[real], name[real], doc[real]
+    value, number, name, proper, doc = value[real], number[real], name[real], proper[real], doc[real]
     unit = np.zeros(len(value), dtype=bool)
     unit[1:] = number[:-1] & (doc[1:] == doc[:-1])
     unit &= ~number & np.isin(value, _UNIT_HASHES)
     template = np.where(number, _KIND[0], np.where(name, _KIND[1], np.where(unit, _KIND[2], value)))
-    return Template(template, value, number | name | unit, np.searchsorted(doc, np.arange(len(first))))
+    slot = number | name | unit
+    return Template(template, value, slot, np.searchsorted(doc, np.arange(len(first))), np.where(proper, _KIND[1], template), slot | proper)
 
 
 def _texts(values: list[bytes]) -> H.Texts:
@@ -157,6 +174,7 @@ def _word_values(words: list[str]) -> np.ndarray:
 
 
 _UNIT_HASHES = np.sort(_word_values(UNITS))
+_OPENER_HASHES = frozenset(_word_values(OPENERS).tolist())
 
 
 class Table(NamedTuple):
@@ -183,9 +201,9 @@ class Block(NamedTuple):
 def block_of(item_ids: list[int | None], values: list[str | None]) -> Block:
     words = canonical(_texts([(v or "").encode() for v in values]))
     counts = np.diff(words.first)
-    tables = _tables("template", words, words.slot, counts >= SHORTEST)
-    searched = sum((t.totals for t in tables), np.zeros(len(counts), np.int64)) > 0
-    return Block(item_ids, words, tables + _tables("value", words, np.zeros(len(words.slot), bool), (counts >= LEAST) & ~searched))
+    return Block(item_ids, words, [
+        *_tables("template", words, words.slot, counts >= SHORTEST), *_tables("loose", words, words.loose_slot, counts >= SHORTEST),
+        *_tables("value", words, np.zeros(len(words.slot), bool), counts >= LEAST)])
 
 
 def _tables(kind: str, words: Template, slot: np.ndarray, wanted: np.ndarray) -> list[Table]:
@@ -209,7 +227,7 @@ def _tables(kind: str, words: Template, slot: np.ndarray, wanted: np.ndarray) ->
 
 def matches(texts: H.Texts, block: Block) -> list[tuple]:
     """(document, item, matched, total, slots, changed) of the leaked items of a slice."""
-    found, words = [], canonical(texts)
+    found, words = {}, canonical(texts)
     for kind, width, keys, begin, item, place, maybe, totals in block.tables:
         where, hashes = H.window_hashes(getattr(words, kind), words.first, width)
         near = maybe[(hashes >> U64(44)).astype(np.int64)]
@@ -239,9 +257,10 @@ def matches(texts: H.Texts, block: Block) -> list[tuple]:
                     best = len(rows), slots, changed
                     if len(rows) == total and not changed:
                         break
-            if best:
-                found.append((d, it, best[0], total, *best[1:]))
-    return found
+            # the best kind of windows: the most of them, then the fewest changes
+            if best and ((d, it) not in found or (best[0] / total, -best[2]) > (found[d, it][0] / found[d, it][1], -found[d, it][3])):
+                found[d, it] = best[0], total, *best[1:]
+    return [(*pair, *said) for pair, said in found.items()]
 
 
 def _alignments(where: np.ndarray, spot: np.ndarray, least: float) -> Iterator[np.ndarray]:
@@ -272,14 +291,16 @@ def _slots(words: Template, items: Template, where: np.ndarray, spot: np.ndarray
     values go with each other one to one (``AGREE`` of them)."""
     step = np.arange(width)
     a, b = (spot[:, None] + step).reshape(-1), (where[:, None] + step).reshape(-1)
-    slot = items.slot[a]
-    a, b = a[slot], b[slot]
     _, once = np.unique(a, return_index=True)
-    x, y = items.value[a[once]], words.value[b[once]]
+    a, b = a[once], b[once]
+    slot = items.slot[a] | (items.loose_slot[a] & (items.value[a] != words.value[b]))
+    a, b = a[slot], b[slot]
+    x, y, sure = items.value[a], words.value[b], items.slot[a] & words.slot[b]
     if not len(x):
         return 0, 0, True
     forth, back = {}, {}
-    good = sum(forth.setdefault(p, q) == q and back.setdefault(q, p) == p for p, q in zip(x.tolist(), y.tolist(), strict=True))
+    good = sum((s or p == q or not (p in _OPENER_HASHES or q in _OPENER_HASHES)) and forth.setdefault(p, q) == q and back.setdefault(q, p) == p
+               for p, q, s in zip(x.tolist(), y.tolist(), sure.tolist(), strict=True))
     return len(x), int((x != y).sum()), good >= AGREE * len(x)
 
 

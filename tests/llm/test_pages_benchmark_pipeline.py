@@ -102,6 +102,19 @@ def test_decontamination_finds_short_and_unspaced_items(spark):
     assert sorted(got) == [(i, i) for i in range(len(items))]
 
 
+def test_decontamination_takes_names_at_any_place(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more. Tom eats 2 of his apples. Tom gives 1 away. How many are left?"
+    alice = "In town Alice and Bob met Carol, then Alice told Bob that Carol and Alice like Bob."
+    bench = spark.createDataFrame([(0, tom), (1, alice), (2, "What is the longest river of Africa?")], "item_id long, text string")
+    filler = " ".join(brute.vocabulary(3, 60))
+    rows = [(1, f"{filler}. {tom.replace('Tom', 'Anna').replace('5', '7')} {filler}", 0, None), (2, alice.lower(), 1, None),
+            (3, alice.replace(" Alice", "\nAlice").replace(" Bob", "\nBob").replace(" Carol", "\nCarol"), 1, None),
+            (10, "Where is the longest river of Europe?", None, None), (11, filler, None, None)]
+    got = {r.doc_id: r for r in decontaminate.leaks(brute.frame(spark, [(d, t, None, None) for d, t, *_ in rows]), bench).collect()}
+    assert {d: r.item_id for d, r in got.items()} == {1: 0, 2: 1, 3: 1}
+    assert (got[1].n_changed, got[2].n_changed, got[3].n_changed) == (5, 0, 0)
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     bench, docs = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("benchmark", "documents"))
     whole = {tuple(r) for r in decontaminate.leaks(docs, bench).collect()}
