@@ -18,8 +18,8 @@ from folio.llm.common import scratch_path, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents that the base rules or the production policy reject go."""
-    return quality_rules.keep_good(docs)
+    """Operator 5: documents that the base rules or the pipeline's policy reject go."""
+    return quality_rules.keep_good(docs, quality_rules.PIPELINE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,13 +100,9 @@ def spaced(texts: H.Texts) -> H.Texts:
     if not len(lead):
         return texts
     a, b, c = data[lead], data[lead + 1], data[np.minimum(lead + 2, len(data) - 1)]
-    marks = (a == 0xC2) & ((b == 0xA1) | (b == 0xAB) | (b == 0xBB) | (b == 0xBF))
+    own, marks = H.unspaced(a, b, c)
+    marks |= (a == 0xC2) & ((b == 0xA1) | (b == 0xAB) | (b == 0xBB) | (b == 0xBF))
     marks |= (a == 0xE2) & (b == 0x80) & ((c >= 0x93) & (c <= 0x9F) | (c == 0xA6) | (c == 0xB9) | (c == 0xBA))
-    marks |= (a == 0xE3) & (b == 0x80) & ((c < 0x85) | (c > 0x87))
-    marks |= (a == 0xEF) & ((b == 0xBC) & ((c < 0x90) | (c >= 0x9A) & (c <= 0xA0) | (c >= 0xBB)) | (b == 0xBD) & ((c == 0x80) | (c >= 0x9B) & (c <= 0xA5)))
-    own = (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB) | (a == 0xE1) & ((b >= 0x80) & (b <= 0x82) | (b == 0x9E) | (b == 0x9F))
-    own |= (a == 0xE3) & ~marks | (a >= 0xE4) & (a <= 0xE9) | (a == 0xF0) & (b >= 0xA0) & (b <= 0xB3)
-    own |= (a == 0xEF) & ((b >= 0xA4) & (b <= 0xAB) | (b == 0xBD) & (c >= 0xA6) | (b == 0xBE) & (c <= 0x9F))
     if not (own.any() or marks.any()):
         return texts
     data, at = data.copy(), lead[marks]

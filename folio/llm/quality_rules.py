@@ -6,6 +6,10 @@ rules; applying one is ``bits & mask``, so a policy change never reads the texts
 again, and ablations (what would rule k alone decide?) are bitwise aggregations over
 the ledger.
 
+The query and its SQL hold the rules of ``RULES``; ``LATER_RULES`` continue their bits in the
+ledger. Policy ``v3``, which the pipeline applies, has two of them in place of rules that
+reject clean documents for their length or script.
+
 Results for odd input: a null or empty text has measurements 0 and fails
 ``too_few_words``; repeated rows and equal ids are judged each on its own; an empty
 table gives an empty ledger; other columns are ignored or carried unchanged.
@@ -28,6 +32,9 @@ WINDOW = 5
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct_words", "n_letters", "n_upper")
 
+#: Measurements of the rules that came after the query's SQL.
+LATER_MEASURES = ("n_spaced_chars", "n_spaced_words")
+
 #: Rule k fails when its condition holds; k is the bit, so names are only appended.
 RULES: dict[str, str] = {
     "too_few_words": "n_words < 10",
@@ -41,13 +48,24 @@ RULES: dict[str, str] = {
     "few_letters": "n_words >= 10 and 100 * n_letters < 40 * word_chars",
 }
 
+#: Distinct words grow about with the square root of a text: 10 % holds up to 10,000 words,
+#: then ten times the root. Word length counts only what stands outside of scripts that
+#: part no words by spaces.
+LATER_RULES: dict[str, str] = {
+    "few_distinct_words_for_length": "n_words >= 50 and 100 * n_distinct_words < 10 * n_words and n_distinct_words * n_distinct_words < 100 * n_words",
+    "long_spaced_words": "n_spaced_chars > 25 * n_spaced_words",
+}
+ALL_RULES = RULES | LATER_RULES
+
 BASE = ("too_few_words", "repeated_windows")
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": BASE,
     "v1": (*BASE, "symbol_words", "duplicate_lines"),
     "v2": (*BASE, "symbol_words", "duplicate_lines", "few_distinct_words", "long_words", "short_words", "shouting", "few_letters"),
+    "v3": (*BASE, "symbol_words", "duplicate_lines", "few_distinct_words_for_length", "long_spaced_words", "short_words", "shouting", "few_letters"),
 }
 PRODUCTION = "v2"
+PIPELINE = "v3"
 
 _SYMBOL = np.zeros(256, dtype=np.int64)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
@@ -77,6 +95,20 @@ def measure(texts: H.Texts) -> dict[str, np.ndarray]:
     out["n_upper"] = H.per_doc(_UPPER[data], offsets)
     out["n_distinct_words"] = np.bincount(doc[first_of_each(doc, words)], minlength=n)
 
+    # what is left without the characters of scripts that part no words
+    wide = np.flatnonzero(data >= 0xE0)
+    own, marks = H.unspaced(data[wide], data[wide + 1], data[wide + 2])
+    wide = wide[own | marks]
+    out["n_spaced_chars"], out["n_spaced_words"] = out["word_chars"], out["n_words"]
+    if len(wide):
+        apart = sep.copy()
+        for k in range(3):
+            apart[wide + k] = True
+        wide = wide[data[wide] >= 0xF0]
+        apart[wide + 3] = True
+        out["n_spaced_chars"] = H.per_doc(lead * ~apart, offsets)
+        out["n_spaced_words"] = np.diff(H.split_at(data, offsets, apart)[2])
+
     # lines: only those that hold a word count
     line_start, line_end, line_first = H.split_at(data, offsets, data == 0x0A)
     line_doc = np.repeat(np.arange(n), np.diff(line_first))
@@ -116,12 +148,13 @@ def first_of_each(doc: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _measure_batches(text: str, into: str):
-    kind = pa.struct([(m, pa.int64()) for m in MEASURES])
+    measures = MEASURES + LATER_MEASURES
+    kind = pa.struct([(m, pa.int64()) for m in measures])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [measure(t) for t in H.slices(batch, text)]
-            cols = [pa.array(np.concatenate([p[m] for p in parts]) if parts else [], type=pa.int64()) for m in MEASURES]
+            cols = [pa.array(np.concatenate([p[m] for p in parts]) if parts else [], type=pa.int64()) for m in measures]
             struct = pa.StructArray.from_arrays(cols, fields=list(kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, into])
 
@@ -133,23 +166,23 @@ def ledger(docs: DataFrame, text: str = "text", into: str = "ledger") -> DataFra
 
     One pass over the texts, no shuffle."""
     (tmp,) = fresh(docs, "measures")
-    schema = with_column(docs, tmp, "struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">")
+    schema = with_column(docs, tmp, "struct<" + ",".join(f"{m}:bigint" for m in MEASURES + LATER_MEASURES) + ">")
     out = docs.mapInArrow(_measure_batches(text, tmp), schema)
-    m = {name: F.col(tmp)[name] for name in MEASURES}
+    m = {name: F.col(tmp)[name] for name in MEASURES + LATER_MEASURES}
     return out.withColumn(into, F.struct(*[c.alias(k) for k, c in m.items()], failed_bits(tmp).alias("bits"))).drop(tmp)
 
 
 def failed_bits(struct: str) -> Column:
     """Bits of the failed rules, from a struct of measurements."""
     bits = F.lit(0).cast("long")
-    for k, rule in enumerate(RULES.values()):
+    for k, rule in enumerate(ALL_RULES.values()):
         condition = F.expr(re.sub(r"\b(n_\w+|word_chars)\b", rf"`{struct}`.\1", rule))
         bits = bits.bitwiseOR(F.when(condition, F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
     return bits
 
 
 def mask(rules) -> int:
-    names = list(RULES)
+    names = list(ALL_RULES)
     return sum(1 << names.index(r) for r in rules)
 
 
@@ -160,7 +193,7 @@ def passes(bits: Column, policy: str = PRODUCTION) -> Column:
 def ablations(led: DataFrame, policy: str = PRODUCTION, bits: str = "ledger.bits") -> DataFrame:
     """Per rule of a policy: documents that fail it, that only it rejects, and that the
     policy would keep without it. One aggregation over the stored bits."""
-    rules, names, all_bits = POLICIES[policy], list(RULES), mask(POLICIES[policy])
+    rules, names, all_bits = POLICIES[policy], list(ALL_RULES), mask(POLICIES[policy])
     b = F.col(bits).bitwiseAND(F.lit(all_bits).cast("long"))
     count = lambda cond: F.count(F.when(cond, 1))
     row = led.agg(F.count(F.lit(1)).alias("docs"), *[x for r in rules for x in (
@@ -172,11 +205,12 @@ def ablations(led: DataFrame, policy: str = PRODUCTION, bits: str = "ledger.bits
 
 
 def verdicts(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
-    """Per document its measurements, failed bits and the verdicts of base and policy."""
+    """Per document its measurements, failed bits of ``RULES`` and the verdicts of base and
+    policy."""
     led = ledger(narrow(docs))
     base = ~passes(F.col("ledger.bits"), "base")
     return led.select("doc_id", *[F.col(f"ledger.{m}").alias(m) for m in MEASURES], base.alias("base_failed"),
-                      (~base & passes(F.col("ledger.bits"), policy)).alias("kept"), F.col("ledger.bits").alias("bits"))
+                      (~base & passes(F.col("ledger.bits"), policy)).alias("kept"), F.col("ledger.bits").bitwiseAND(F.lit(mask(RULES)).cast("long")).alias("bits"))
 
 
 def keep_good(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:

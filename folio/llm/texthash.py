@@ -59,6 +59,18 @@ def latin_capitals(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def unspaced(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which characters, given their first three UTF-8 bytes, belong to scripts that part no
+    words by spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese), and which are marks of
+    those scripts or full-width ones."""
+    marks = (a == 0xE3) & (b == 0x80) & ((c < 0x85) | (c > 0x87))
+    marks |= (a == 0xEF) & ((b == 0xBC) & ((c < 0x90) | (c >= 0x9A) & (c <= 0xA0) | (c >= 0xBB)) | (b == 0xBD) & ((c == 0x80) | (c >= 0x9B) & (c <= 0xA5)))
+    own = (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB) | (a == 0xE1) & ((b >= 0x80) & (b <= 0x82) | (b == 0x9E) | (b == 0x9F))
+    own |= (a == 0xE3) & ~marks | (a >= 0xE4) & (a <= 0xE9) | (a == 0xF0) & (b >= 0xA0) & (b <= 0xB3)
+    own |= (a == 0xEF) & ((b >= 0xA4) & (b <= 0xAB) | (b == 0xBD) & (c >= 0xA6) | (b == 0xBE) & (c <= 0x9F))
+    return own, marks
+
+
 class Powers:
     """Powers of an odd base and of its inverse modulo 2**64, grown when needed."""
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from folio.llm import block_repeats, components, language_id, minhash_dedup, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
 from folio.llm.wavelet import WaveletFile, build
 from tests.llm import brute
@@ -144,6 +145,22 @@ def test_quality_policies_and_ablations(docs, none):
     assert words and all(r.bits & 1 for r in words)
 
 
+def test_quality_keeps_clean_books_and_unspaced_scripts(spark):
+    r = random.Random(8)
+    book = " ".join(r.choices([f"form{i:x}" for i in range(5000)], k=60_000))
+    few = " ".join(r.choices([f"word{i:x}" for i in range(2000)], k=60_000))
+    sentence = lambda: "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(40))
+    thai = lambda: "".join(chr(0x0E01 + r.randrange(40)) for _ in range(40))
+    texts = {1: "\n".join(f"{sentence()},{sentence()}2024年。" for _ in range(30)), 2: " ".join(thai() for _ in range(30)), 3: " ".join("x" * 40 + str(i) for i in range(30)), 4: few, 5: book}
+    rows = brute.frame(spark, [(d, t, None, None) for d, t in texts.items()])
+    bits = {x.doc_id: x.bits for x in quality_rules.ledger(rows).select("doc_id", "ledger.bits").collect()}
+    fails = lambda d, rule: bool(bits[d] & quality_rules.mask([rule]))
+    assert fails(1, "long_words") and fails(2, "long_words") and fails(3, "long_spaced_words")
+    assert fails(5, "few_distinct_words") and fails(4, "few_distinct_words") and fails(4, "few_distinct_words_for_length")
+    assert not any(fails(d, "long_spaced_words") or fails(d, "few_distinct_words_for_length") for d in (1, 2, 5))
+    assert {x.doc_id for x in corpus_pipeline.quality(spark, rows, "").collect()} == {1, 2, 5}
+
+
 SECRETS = [
     "nothing here", None, "", "password = 'abcdefghijkl'", "PassWd:abcdefghijk", "api_key=abcdefghijkl apikey: \"ABCDEFGHIJKLM\"",
     "token=secret=abcdefghijklmnop", "token: secret: abcdefghijklmnop", "ſecret=abcdefghijklmnop toKen=abcdefghijklmnop",
