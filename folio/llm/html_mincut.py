@@ -32,7 +32,9 @@ _TOKEN = re.compile(
     r"|<(/?)([a-z][a-z0-9:-]*)([^>]*)>"
     r"|([^<]+|<)", re.DOTALL | re.IGNORECASE)
 _NAMED = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_MAY_HIDE = re.compile(r"hidden|display", re.IGNORECASE)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 _NAMES = re.compile(r"[a-z]+", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -53,26 +55,59 @@ FOR = frozenset("content article articlebody post entry story main body text pag
 BIAS, LENGTH, LINKS, SENTENCE, INSIDE, OUTSIDE, MIXED, HEADING = -0.8, 2.4, -4.0, 0.8, 4.0, -7.0, -5.0, 0.6
 NEXT, NEXT_SIBLING, SIBLING = 0.25, 0.9, 0.5
 
+#: Parts of names that say which other parts a page has (``page-with-sidebar``), and parts
+#: that a wrapper's name may list beside the content's (``content-sidebar-wrap``).
+_HAS = re.compile(r"(?:^|[-_])(?:has|no|with|without)[-_].*", re.IGNORECASE)
+_LAYOUT = re.compile(r"[-_](?:layout|wrap|wrapper|container|page|site)$", re.IGNORECASE)
+PARTS = frozenset("sidebar sidenav side nav navbar navigation menu header footer masthead topbar toolbar".split())
+HARD, NAMED, WEAK = 4, 2, 1  # votes against: of tags and hidden elements, of names, of layout wrappers
+
 
 class _Open:
-    __slots__ = ("tag", "says", "inside", "outside", "node")
+    __slots__ = ("tag", "says", "inside", "outside", "node", "content")
+
+    def __init__(self, tag, says, inside, outside, node, content):
+        self.tag, self.says, self.inside, self.outside, self.node, self.content = tag, says, inside, outside, node, content
+
+
+def _hidden(attributes: str) -> bool:
+    """Does an element have the attribute hidden, aria-hidden=true or display:none?"""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip()
+        if name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true":
+            return True
+        if name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
+
 
-    def __init__(self, tag, says, inside, outside, node):
-        self.tag, self.says, self.inside, self.outside, self.node = tag, says, inside, outside, node
+def _words(token: str) -> set[str]:
+    return set(_NAMES.findall(_CAMEL.sub(" ", token).lower()))
 
 
-def _says(tag: str, attributes: str, inside: bool) -> int:
-    """1 if an element names itself content, -1 boilerplate, 0 neither."""
-    if tag in AGAINST_TAGS or (tag == "header" and not inside) or (attributes and _HIDDEN.search(attributes)):
-        return -1
+def _says(tag: str, attributes: str, inside: bool) -> tuple[int, int]:
+    """1 if an element names itself content, -1 boilerplate, 0 neither; and the kind of a
+    vote against. The page itself (html, body) says neither."""
+    if tag == "html" or tag == "body":
+        return 0, 0
+    if tag in AGAINST_TAGS or (tag == "header" and not inside) or (attributes and _hidden(attributes)):
+        return -1, HARD
     names: set[str] = set()
+    kind = 0
     if attributes:
         for found in _NAMED.finditer(attributes):
-            names.update(_CAMEL.sub(" ", found[1] or found[2] or found[3] or "").lower().replace("-", " ").replace("_", " ").split())
-        names = {m for n in names for m in _NAMES.findall(n)}
-    if names & AGAINST or ("header" in names and not inside and tag not in FOR_TAGS):
-        return -1
-    return 1 if tag in FOR_TAGS or (names & FOR and tag != "html" and tag != "body") else 0
+            for token in (found[1] or found[2] or found[3] or "").split():
+                words = _words(_HAS.sub("", token))
+                names |= words
+                against = words & AGAINST or ("header" in words and not inside and tag not in FOR_TAGS and words)
+                if against:
+                    layout = _LAYOUT.search(token) and (words & FOR or token.lower().endswith("layout")) and words & AGAINST <= PARTS
+                    kind |= WEAK if layout else NAMED
+    if kind and not (kind == WEAK and tag in FOR_TAGS):
+        return -1, NAMED if kind & NAMED else WEAK
+    return (1 if tag in FOR_TAGS or names & FOR else 0), 0
 
 
 class Block:
@@ -86,7 +121,7 @@ def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order, priced."""
     out: list[Block] = []
     nodes = 1
-    stack = [_Open("", 0, False, False, 0)]
+    stack = [_Open("", 0, False, 0, 0, False)]
     depth: dict[str, int] = {}
     pieces: list[str] = []
     links: list[str] = []
@@ -99,7 +134,8 @@ def blocks(html: str) -> list[Block]:
             if text:
                 top = stack[-1]
                 linked = len(" ".join(unescape("".join(links)).split())) if links else 0
-                price = BIAS + LENGTH * min(1.0, len(text) / 120.0) + LINKS * min(1.0, linked / len(text))
+                listed = top.content and not top.outside and (top.tag == "li" or stack[-2].tag == "li")
+                price = BIAS + LENGTH * min(1.0, len(text) / 120.0) + (0.0 if listed else LINKS * min(1.0, linked / len(text)))
                 price += SENTENCE * (text[-1] in ".!?…\"'”»:") + HEADING * (top.tag in ("h1", "h2", "h3", "blockquote", "pre"))
                 price += OUTSIDE if top.says < 0 else MIXED if top.outside else INSIDE if top.inside else 0.0
                 parent = stack[-2].node if len(stack) > 1 and top.tag in ("p", "li", "td", "th", "dd", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "pre") else top.node
@@ -140,8 +176,12 @@ def blocks(html: str) -> list[Block]:
         while len(stack) > 1 and (stack[-1].tag == "p" or (stack[-1].tag == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th"))):
             depth[stack.pop().tag] -= 1
         top = stack[-1]
-        says = _says(tag, attributes, top.inside)
-        stack.append(_Open(tag, says or (-1 if top.says < 0 and tag not in FOR_TAGS else 0 if not top.inside else top.says), top.inside or says > 0, top.outside or says < 0, nodes))
+        says, kind = _says(tag, attributes, top.inside)
+        outside = top.outside
+        if says > 0 and tag in FOR_TAGS:  # what wraps the main part of a page only names its layout
+            outside &= HARD if tag == "main" else ~WEAK
+        stack.append(_Open(tag, says or (-1 if top.says < 0 and tag not in FOR_TAGS else 0 if not top.inside else top.says), top.inside or says > 0, outside | kind, nodes,
+                           top.content or (says > 0 and tag in FOR_TAGS)))
         nodes += 1
         depth[tag] = depth.get(tag, 0) + 1
     flush()

@@ -46,6 +46,23 @@ def test_main_text():
     assert html_mincut.main_text("<article>" + deep) == ("word " * 100).strip()
 
 
+def test_main_text_in_layout_wrappers():
+    para = "A long paragraph of the text that says a lot of things, and goes on for more than a hundred characters to be sure of that."
+    article = f"<article><h1>Title</h1><p>{para}</p></article>"
+    aside = "<div class='sidebar'><p>Buy now our great product, which is a long sentence that goes on and on and on for a while.</p></div>"
+    for before in ("<body style='overflow:hidden'>", "<body class='overflow-hidden'>", "<div class=\"overflow-hidden\">", "<body class='has-sidebar single'>", "<html class=no-sidebar>", "<div class='content-sidebar-wrap'>",
+                   "<div class='sidebar-layout'>", "<div class='page-with-sidebar'>", "<div style='overflow-x: hidden; display: block'>", "<div data-state='hidden'>", "<body class='right-sidebar'>"):
+        assert html_mincut.main_text(before + article + aside) == f"Title\n\n{para}", before
+    assert html_mincut.main_text(article.replace("<article>", "<article class='overflow-hidden no-sidebar'>")) == f"Title\n\n{para}"
+    assert html_mincut.main_text(f"<div class='right-sidebar'><main><p>{para}</p></main></div>") == para
+    for hidden in ("<div hidden>", "<div hidden=''>", "<div class=x aria-hidden='true'>", "<div style='color:red; display : none'>", "<div class='sidebar'>", "<div class='comments'>", "<div class='sidebar-wrapper'>"):
+        assert html_mincut.main_text(f"{article}{hidden}<p>{para} Not this.</p></div>") == f"Title\n\n{para}", hidden
+    items = ["First linked item", "Second item is here", "A third"]
+    links = "<ul>" + "".join(f"<li><a href=x>{x}</a></li>" for x in items) + "</ul>"
+    assert html_mincut.main_text(f"<article><p>{para}</p>{links}<p>{para}</p></article>") == "\n\n".join([para, *items, para])
+    assert html_mincut.main_text(f"<div><ul><li><a href=x>Home</a></li></ul></div><article><p>{para}</p><nav>{links}</nav></article>{links}") == para
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r.page_id: r for r in queries.op9_minimum_cut_html(spark, SF_SMALL).collect()}
