@@ -2,10 +2,11 @@
 
 One pass over the texts finds the parts: the strong ones of three base kinds, and weak
 candidates (account names, short or unlabelled secrets, endpoints). A weak candidate
-is reported only when complementary parts stand in its scope, the ``SCOPE`` code points
-around it: an account name needs a secret, a weak secret needs an access identifier or
+is reported only when complementary parts stand in its scope, at most ``SCOPE`` code points
+between the nearer ends: an account name needs a secret, a weak secret needs an access identifier or
 account name, an endpoint needs both. The linking is an interval join of the parts of a
-document, written as sliding range windows, so no pair is ever built.
+document: in order of starts, the farthest end before a part and the first start after it
+decide, so no pair is ever built.
 
 Results for odd input: a null or empty text has no parts (counts 0, the hash of the
 empty string); a null id is kept; repeated rows and equal ids stay separate rows; an
@@ -54,12 +55,11 @@ def parts_of(raw: bytes) -> list[tuple[int, int, int]]:
     if b"AKIA" in raw:
         found += [(1, *m.span()) for m in ACCESS.finditer(raw)]
     found += [(2, *m.span()) for m in HEX.finditer(raw)]
-    if b"=" in raw or b":" in raw:
-        strong = sorted(x[1:] for x in found if x[0] < 3)
-        weak = [(3, *m.span()) for m in ACCOUNT.finditer(raw)] + [(6, *m.span()) for m in ENDPOINT.finditer(raw)]
-        if found or weak:
-            weak += [(5, *m.span()) for m in LONGKEY.finditer(raw)]
-        found = [x for x in found if x[0] < 3] + [x for x in weak + [x for x in found if x[0] == 4] if not _inside(x, strong)]
+    strong = sorted(x[1:] for x in found if x[0] < 3)
+    weak = [(3, *m.span()) for m in ACCOUNT.finditer(raw)] + [(6, *m.span()) for m in ENDPOINT.finditer(raw)] if b"=" in raw or b":" in raw else []
+    if found or weak:  # a long key alone links to nothing
+        weak += [(5, *m.span()) for m in LONGKEY.finditer(raw)]
+    found = [x for x in found if x[0] < 3] + [x for x in weak + [x for x in found if x[0] == 4] if not _inside(x, strong)]
     return sorted(found, key=lambda x: (x[1], x[0]))
 
 
@@ -99,9 +99,14 @@ def scan(docs: DataFrame) -> DataFrame:
     parts = found.select("rid", "doc_id", F.explode_outer("parts").alias("p")).select("rid", "doc_id", "p.*").withColumn("role", role)
 
     def near(what: str):
-        """Does a part of a role end or start within the scope of this part's start?"""
-        scope = Window.partitionBy("rid").orderBy("start").rangeBetween(-SCOPE, SCOPE)
-        return F.coalesce(F.max(F.col("role") == what).over(scope), F.lit(False))
+        """Is the gap between a part of a role and this part within the scope?"""
+        # of the parts that start no later the one that ends last is the nearest, of the
+        # others the one that starts first
+        before = Window.partitionBy("rid").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+        after = Window.partitionBy("rid").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+        is_it = F.col("role") == what
+        return F.coalesce(F.max(F.when(is_it, F.col("end"))).over(before) >= F.col("start") - SCOPE, F.lit(False)) \
+            | F.coalesce(F.min(F.when(is_it, F.col("start"))).over(after) <= F.col("end") + SCOPE, F.lit(False))
 
     parts = parts.select("*", near("id").alias("has_id"), near("secret").alias("has_secret"))
     needs_id = F.col("role").isin("secret", "place")
