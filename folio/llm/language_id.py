@@ -101,7 +101,7 @@ def held_out(doc_id):
 def train(docs: DataFrame) -> Model:
     """Fits families and machines on the bounded sample; the result is a few arrays."""
     rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(F.col("doc_id")), F.lit(True)))
-    sizes = docs.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter("lang is not null")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     known = sizes.count()
     if not known:
         return Model([], [], [], np.zeros((0, DIM), np.float32), np.zeros(0, np.float32))

@@ -320,3 +320,12 @@ def test_language(spark, docs, none):
     assert {x.lang_pred for x in nothing} == {"und"}
     one = language_id.identify(brute.frame(spark, [(i, "some text", "en", "s") for i in range(8)])).collect()
     assert {x.lang_pred for x in one} == {"en"}
+
+
+def test_language_training_ignores_held_out_labels(spark):
+    r = random.Random(9)
+    held = lambda d: zlib.crc32(str(d).encode()) % 4 == 2
+    rows = [(d, " ".join(r.choices(["the", "ing", "and"] if d % 2 else ["sch", "ung", "der"], k=12)), "en" if d % 2 else "de", "s") for d in range(200)]
+    other = [(d, t, f"x{d}" if held(d) else lang, s) for d, t, lang, s in rows + [(d, "la vie", None, "s") for d in range(1000, 3000) if held(d)]]
+    a, b = language_id.train(brute.frame(spark, rows)), language_id.train(brute.frame(spark, other))
+    assert a.languages == b.languages == ["de", "en"] and np.array_equal(a.weights, b.weights) and np.array_equal(a.bias, b.bias)
