@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folio.llm import block_repeats, decontaminate, html_mincut, language_id, minhash_dedup, oracles, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
+from folio.llm import block_repeats, conversation_trie, decontaminate, html_mincut, language_id, minhash_dedup, multi_index, oracles, permutation_index, phrase_repeats, quality_rules, secret_scan, source_mix, token_output
 from folio.llm.common import table
 
 
@@ -53,12 +54,25 @@ def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multi_index.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op13_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(conversation_trie.regrafted(conversation_trie.turns_of(table(spark, sf_dir, "conversations"))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op6_hierarchical_language_id, op7_prefix_free_parsing, op8_block_anchors, op9_minimum_cut_html, op10_template_decontamination, pipeline)}
+    op1_wavelet_tokens, op2_fast_similarity_dedup, op3_subset_sum_mix, op4_multipart_secrets, op5_rule_ledger, op6_hierarchical_language_id, op7_prefix_free_parsing, op8_block_anchors, op9_minimum_cut_html, op10_template_decontamination, op11_permutation_index, op12_inverted_multi_index, op13_zfast_trie, pipeline)}
 
 ORACLES: dict[str, str] = oracles.ORACLES

@@ -166,7 +166,7 @@ def test_pipeline_stages(spark):
 
 def test_every_operator_has_its_query():
     names = [n for n in queries.QUERIES if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in queries.QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
