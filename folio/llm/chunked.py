@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from folio.llm.common import partitions
 
 CHUNKS_PER_PARTITION = 2
+#: Ranges of the hash space that one task answers one after the other: it holds the packed
+#: entries of all of them, but unpacks and sorts those of one.
+BUCKETS_PER_PARTITION = 8
 
 
 class Entries(NamedTuple):
@@ -106,25 +109,30 @@ def _send(entries: Entries, chunk: int, n: int, bits: int) -> pa.Table:
 
 
 def _answers(answer, turn: int):
-    """One partition is one bucket: all its entries, then bits back to each chunk."""
+    """Bits back to each chunk. A partition holds a few neighbouring buckets, packed; one
+    bucket's entries are unpacked, answered and let go before the next one's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[int, list] = {}
-        chunks, arrays = [], []
         for batch in batches:
             for b, c, p in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                by.setdefault(b, []).append(len(chunks))
-                chunks.append(c)
-                arrays.append(unpack(p))
-        for b, rows in by.items():
-            sizes = [len(arrays[r][0]) for r in rows]
-            key, *ship = [np.concatenate([arrays[r][i] for r in rows]) for i in range(len(arrays[rows[0]]))]
-            bits = answer(key, ship, np.repeat(np.array([chunks[r] for r in rows], np.int32), sizes)).astype(np.uint8)
-            for r in rows:
-                arrays[r] = None
-            parts = np.split(bits, np.cumsum(sizes)[:-1])
+                by.setdefault(b, []).append((c, p))
+        for b in sorted(by):
+            rows = by.pop(b)
+            chunks = [c for c, _ in rows]
+            parts = [unpack(p) for _, p in rows]
+            rows.clear()
+            sizes = [len(x[0]) for x in parts]
+            joined = []
+            for i in range(len(parts[0])):
+                joined.append(np.concatenate([x[i] for x in parts]))
+                for x in parts:
+                    x[i] = None
+            bits = answer(joined[0], joined[1:], np.repeat(np.array(chunks, np.int32), sizes)).astype(np.uint8)
+            del joined, parts
             squeeze = zstandard.ZstdCompressor(level=1)
-            made = [(chunks[r], squeeze.compress(part.tobytes())) for r, part in zip(rows, parts, strict=True) if part.any()]
+            made = [(c, squeeze.compress(part.tobytes())) for c, part in zip(chunks, np.split(bits, np.cumsum(sizes)[:-1]), strict=True) if part.any()]
+            del bits
             for lo in range(0, len(made), 1000):
                 some = made[lo:lo + 1000]
                 yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in some], pa.int32()), pa.array([turn] * len(some), pa.int32()),
@@ -158,28 +166,30 @@ def run(docs: DataFrame, finder: Finder, result: str) -> DataFrame:
     """Rows of ``finder.finish`` for all documents with an id (columns doc_id, text)."""
     spark = docs.sparkSession
     n = partitions(spark)
+    m = BUCKETS_PER_PARTITION * n
     dealt = by_chunk(docs.filter("doc_id is not null"), CHUNKS_PER_PARTITION * n).repartition(n, "chunk")
 
     def send_first(table: pa.Table) -> pa.Table:
-        return _send(finder.first(finder.load(table)), table["chunk"][0].as_py(), n, finder.key_bits)
+        return _send(finder.first(finder.load(table)), table["chunk"][0].as_py(), m, finder.key_bits)
 
     def send_second(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table):
             return _SENT.empty_table()
         state = finder.load(table)
-        return _send(finder.second(state, _bits(finder.first(state), replies, 1, n)), table["chunk"][0].as_py(), n, 64)
+        return _send(finder.second(state, _bits(finder.first(state), replies, 1, m)), table["chunk"][0].as_py(), m, 64)
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table):
             return finder.finish(None, np.zeros(0, np.uint8))
         state = finder.load(table)
-        second = finder.second(state, _bits(finder.first(state), replies, 1, n))
-        return finder.finish(state, _bits(second, replies, 2, n))
+        second = finder.second(state, _bits(finder.first(state), replies, 1, m))
+        return finder.finish(state, _bits(second, replies, 2, m))
 
     first = dealt.groupBy("chunk").applyInArrow(send_first, _SENT_DDL)
-    first = first.repartitionById(n, "bucket").mapInArrow(_answers(finder.answer_first, 1), _REPLY_DDL).repartition(n, "chunk")
+    answered_in = (F.col("bucket") / BUCKETS_PER_PARTITION).cast("int")
+    first = first.repartitionById(n, answered_in).mapInArrow(_answers(finder.answer_first, 1), _REPLY_DDL).repartition(n, "chunk")
     second = dealt.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(send_second, _SENT_DDL)
-    second = second.repartitionById(n, "bucket").mapInArrow(_answers(finder.answer_second, 2), _REPLY_DDL)
+    second = second.repartitionById(n, answered_in).mapInArrow(_answers(finder.answer_second, 2), _REPLY_DDL)
     return dealt.groupBy("chunk").cogroup(first.unionByName(second).groupBy("chunk")).applyInArrow(finish, result)
 
 
