@@ -94,7 +94,8 @@ class PhraseRepeats:
             lo = np.maximum(at - REACH, texts.offsets[doc])
             hi = np.minimum(at + LENGTH, texts.offsets[doc + 1])
             phrase = H.mix(H.ranges(sums, lo, hi) + (at - lo).astype(U64) * U64(0x9E3779B97F4A7C15) + (hi - at).astype(U64))
-            found.append((at, doc + base, trigger, phrase >> U64(8)))
+            # triggers are the least hashes around, so mixed once more to fill the buckets evenly
+            found.append((at, doc + base, H.mix(trigger), phrase >> U64(8)))
             base += len(texts)
         s.at = [f[0] for f in found]
         s.ends = np.cumsum([0] + [len(a) for a in s.at])
