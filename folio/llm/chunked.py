@@ -28,7 +28,7 @@ from folio.llm.common import partitions
 CHUNKS_PER_PARTITION = 2
 #: Ranges of the hash space that one task answers one after the other: it holds the packed
 #: entries of all of them, but unpacks and sorts those of one.
-BUCKETS_PER_PARTITION = 2
+BUCKETS_PER_PARTITION = 1
 
 
 class Entries(NamedTuple):
