@@ -18,6 +18,11 @@ from folio.functions.text import DEFAULT_AUTHOR, DEFAULT_DATE, DEFAULT_SOURCE, D
 from folio.operators.html_pass import html_pass
 from folio.session import materialize
 from folio.sources.tables import completed_set, scan_fetch_meta
+from folio.sources.versioned import VersionedTable
+
+#: Columns of the article store; what a stage lacks (its parts are chosen) is null.
+ARTICLES = ("article_key string, page_key string, post_id string, title string, author string, publication_date string, source_url string, "
+            "canonical_url string, fetch_timestamp string, body_kind string, n_images int, markdown string, pub_month string, batch_id bigint")
 
 
 def parsed_pages(pages: DataFrame, parts=("meta", "body", "images"), keys=("page_key", "source_url")) -> DataFrame:
@@ -56,20 +61,28 @@ def _first_per_post(df: DataFrame) -> DataFrame:
         .drop("first_key", "first_post")
 
 
-def _mark_key_owner(p: DataFrame) -> DataFrame:
-    """A page key names one stored page: the first one fetched under it, here the smallest
-    (source_url, content hash, row id). ``owns_key`` is false for every other page of the
-    key, which is then quarantined. An aggregate joined back, since a key such as ``_``
-    (every home page) may be very frequent."""
+def _mark_key_owner(p: DataFrame, owners: DataFrame | None = None) -> DataFrame:
+    """A page key names one stored page: the first one fetched under it. That is the page
+    whose URL ``owners`` (page_key, owner_url: earlier batches) has for the key, else the
+    smallest (source_url, content hash, row id) here. ``owns_key`` is false for every other
+    page of the key, which is then quarantined. An aggregate joined back, since a key such as
+    ``_`` (every home page) may be very frequent."""
+    if owners is None:
+        p = p.withColumn("may_own", F.lit(True))
+    else:
+        held = owners.select(F.col("page_key").alias("held_key"), F.coalesce("owner_url", F.lit("")).alias("held_url"))
+        p = p.join(held, p.page_key == F.col("held_key"), "left").withColumn(
+            "may_own", F.col("held_key").isNull() | (F.col("held_url") == F.coalesce("source_url", F.lit("")))).drop("held_key", "held_url")
     rank = F.struct(F.coalesce("source_url", F.lit("")).alias("u"), F.col("html_hash").alias("h"), F.col("row_id").alias("r"))
-    owner = p.filter(F.col("page_key").isNotNull()).groupBy("page_key").agg(F.min(rank).r.alias("owner_id")) \
+    owner = p.filter(F.col("page_key").isNotNull() & F.col("may_own")).groupBy("page_key").agg(F.min(rank).r.alias("owner_id")) \
              .withColumnRenamed("page_key", "owner_key")
     return p.join(owner, p.page_key == F.col("owner_key"), "left") \
-            .withColumn("owns_key", F.col("owner_id") == F.col("row_id")).drop("owner_key", "owner_id")
+            .withColumn("owns_key", F.coalesce(F.col("owner_id") == F.col("row_id"), F.lit(False))).drop("owner_key", "owner_id", "may_own")
 
 
 def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
-                parts: tuple = ("body", "images"), work_dir: str | None = None) -> DataFrame:
+                parts: tuple = ("body", "images"), work_dir: str | None = None,
+                owners: DataFrame | None = None) -> DataFrame:
     """Every page of the batch, exactly once, with its article fields and a ``status``:
     ``compiled`` (new article), ``duplicate`` (already complete, or a later copy
     inside the batch: ledger-only), or ``error`` (K7 quarantine, with ``error``).
@@ -78,7 +91,8 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     ``completed``: the ledger (post_id, seq); ``parts``: which wide results the caller
     reads (``body``: Markdown, ``images``), none for decisions and front matter alone;
     ``work_dir``: where the pass output is written (default: a fresh folder under the
-    checkpoint root; a streaming batch passes its own folder so that a replay overwrites it).
+    checkpoint root; a streaming batch passes its own folder so that a replay overwrites it);
+    ``owners``: (page_key, owner_url) of pages that own their keys since earlier batches.
 
     Rows carry a row id of their own: page keys can be null (malformed URL) or shared by
     pages of several hosts, so nothing wide is ever matched by page key.
@@ -95,7 +109,7 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
                          "parsed-pages", path=work_dir)
     p = extract_metadata(parsed.select("row_id", "html_hash", "page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
                                        "title_text", "meta_author", "meta_published", "canonical_href"))
-    p = _mark_key_owner(p)
+    p = _mark_key_owner(p, owners)
     m = scan_fetch_meta(meta).withColumnRenamed("page_key", "m_key")
     # A page needs its metadata; left join keeps the orphans for quarantine.
     j = p.join(m, p.page_key == m.m_key, "left")
@@ -214,25 +228,37 @@ def record_completion(rows: DataFrame) -> DataFrame:
     return ids.unionByName(urls)
 
 
-def write_articles(articles: DataFrame, path: str, batch_id: int = 0) -> None:
-    """K1: the compiled articles of one batch, partitioned by month of publication
-    (``unknown`` dates get their own partition) in the batch's own folder.
+def articles_table(spark, path: str, buckets: int = 16) -> VersionedTable:
+    """K1/M4: the article store, by article key; every write and prune is a new version."""
+    return VersionedTable(spark, path, ARTICLES, ["article_key"], buckets)
+
 
-    A re-run of a batch replaces its own files only; earlier batches stay, and
-    ``read_articles`` lets the last batch of an article key win. Rebalancing sizes the
-    files: small months share a task, a hot month is split over several."""
+def write_articles(articles: DataFrame, path: str, batch_id: int = 0, buckets: int = 16) -> None:
+    """K1: the compiled articles of one batch, as a new version of the store at ``path``. An
+    article key that was written before is replaced; only the buckets of the batch's keys are
+    copied. A batch that is in already (a replay) changes nothing."""
+    store = articles_table(articles.sparkSession, path, buckets)
+    if store.applied(batch_id):
+        return
     out = articles.filter(F.col("status") == "compiled").withColumn(
         "pub_month", F.coalesce(F.nullif(F.regexp_extract("publication_date", r"^([0-9]{4}-[0-9]{2})", 1),
-                                         F.lit("")), F.lit("unknown")))
-    out.hint("rebalance", "pub_month").write.mode("overwrite").partitionBy("pub_month").parquet(f"{path}/batch_id={batch_id}")
+                                         F.lit("")), F.lit("unknown"))).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    have = {c.lower() for c in out.columns}
+    store.upsert(out.select(*(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in store.schema)), batch_id)
+
+
+def read_articles(spark, path: str, version: int | None = None) -> DataFrame:
+    """K1 read side: the articles of a version (default: the last), one row a key; opens the
+    files of that version only."""
+    return articles_table(spark, path).read(version)
 
 
-def read_articles(spark, path: str) -> DataFrame:
-    """K1 read side: per article key the row of the last batch that wrote it. The winner
-    is decided on (key, batch) alone; the wide rows are only filtered."""
-    rows = spark.read.option("basePath", path).parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    last = rows.groupBy("article_key").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(last, ["article_key", "batch_id"], "left_semi")
+def prune_articles(spark, path: str, condemned: DataFrame, batch_id: int, buckets: int = 16) -> None:
+    """M4 on the store: a new version without the articles of condemned keys (column
+    ``article_key``); earlier versions stay readable."""
+    store = articles_table(spark, path, buckets)
+    if not store.applied(batch_id):
+        store.delete(condemned.select("article_key").filter("article_key is not null"), batch_id)
 
 
 def pages_with_meta(pages: DataFrame, meta: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ from folio.operators import articles as A
 from folio.operators.html_pass import html_pass
 from folio.plans.registry import W, plan
 from folio.plans.sqlbits import d_clean_md, d_page_key
-from folio.session import scratch_path
-from folio.sources.tables import scan_fetch_meta, scan_pages
+from folio.session import materialize, scratch_path
+from folio.sources.tables import ignore_set, scan_fetch_meta, scan_pages
 
 # --- oracle building blocks --------------------------------------------------
 _M = """
@@ -224,13 +224,32 @@ def quarantine_q(fx):
 def write_articles_q(fx):
     """K1: two overlapping batches; the later one wins where both wrote an article."""
     path = scratch_path(fx.spark, "articles")
-    stage = _stage(fx, "body")
+    stage = materialize(_stage(fx, "body"), "articles-stage")
     A.write_articles(stage, path, 0)
     A.write_articles(stage.filter(F.regexp_extract("page_key", "([0-9]+)", 1).cast("bigint") % 3 == 0), path, 1)
-    return A.read_articles(fx.spark, path).select("article_key", F.col("pub_month").cast("string"), "batch_id")
+    return A.read_articles(fx.spark, path).select("article_key", "pub_month", "batch_id")
+
+
+@plan("article_versions", _PARSE + """, a AS (SELECT article_key, doc_id, source_url, md5(concat(front_matter, body_markdown)) AS digest FROM s WHERE status = 'compiled'),
+v1 AS (SELECT *, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS batch_id FROM a)
+SELECT CAST(0 AS BIGINT) AS version, article_key, CAST(0 AS BIGINT) AS batch_id, digest FROM a
+UNION ALL SELECT 1, article_key, batch_id, digest FROM v1
+UNION ALL SELECT 2, article_key, batch_id, digest FROM v1 WHERE split_part(split_part(source_url, '://', 2), '/', 1) NOT IN ('www.custom1.com', 'www.custom4.com')""")
+def article_versions_q(fx):
+    """K1 + M4: the store's versions after a first batch, an overlapping second one and a
+    prune of the ignored hosts; all three stay readable."""
+    path = scratch_path(fx.spark, "article-versions")
+    stage = materialize(_stage(fx, "body"), "articles-stage")
+    A.write_articles(stage, path, 0)
+    A.write_articles(stage.filter(F.regexp_extract("page_key", "([0-9]+)", 1).cast("bigint") % 3 == 0), path, 1)
+    stored = A.read_articles(fx.spark, path).withColumn("host", U.url_domain("source_url"))
+    condemned = stored.join(ignore_set(fx["fx_ignored"]), F.col("host") == F.col("domain"), "left_semi")
+    A.prune_articles(fx.spark, path, condemned, 2)
+    versions = [A.read_articles(fx.spark, path, v).select(F.lit(v).cast("bigint").alias("version"), "article_key", "batch_id", F.md5("markdown").alias("digest")) for v in range(3)]
+    return versions[0].unionByName(versions[1]).unionByName(versions[2])
 
 
-@plan("page_outcomes", W("fx_odd_pages", "fx_meta", "fx_completed") + _M + """,
+PAGE_OUTCOMES = W("fx_odd_pages", "fx_meta", "fx_completed") + _M + """,
 k AS (SELECT *, CASE WHEN kind IN ('malformed', 'none') THEN NULL WHEN kind = 'home' THEN '_'
         ELSE concat('post-', CAST(doc_id AS VARCHAR)) END AS page_key FROM fx_odd_pages),
 o AS (SELECT *, page_key IS NOT NULL AND row_number() OVER (PARTITION BY page_key ORDER BY source_url) = 1 AS owner FROM k)
@@ -241,7 +260,10 @@ SELECT o.source_url, o.page_key,
        WHEN c.post_id IS NOT NULL THEN 'duplicate' ELSE 'compiled' END AS status,
   CASE WHEN owner AND coalesce(m.ok, false) AND c.post_id IS NULL THEN concat('Page of ', host) END AS body_markdown
 FROM o LEFT JOIN m ON m.page_key = o.page_key
-LEFT JOIN (SELECT DISTINCT post_id FROM fx_completed) c ON c.post_id = concat('post-', CAST(doc_id AS VARCHAR))""")
+LEFT JOIN (SELECT DISTINCT post_id FROM fx_completed) c ON c.post_id = concat('post-', CAST(doc_id AS VARCHAR))"""
+
+
+@plan("page_outcomes", PAGE_OUTCOMES)
 def page_outcomes_q(fx):
     """E8/K7 on awkward pages: one page key on two hosts, home pages, malformed and missing
     URLs. Every input page comes out exactly once, with its own body."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,13 +63,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop resolves them: the same place that Spark reads and
+    writes, on any store, also for a path without a scheme."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller made."""
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     p = f"{root}/folio/{name}-{uuid.uuid4().hex[:12]}"
-    local = p[len("file:"):] if p.startswith("file:") and not p.startswith("file://") else p
-    if "://" not in local:       # shared file systems (hdfs://, s3a://, ...) create it on write
-        os.makedirs(local, exist_ok=True)
+    fs, folder = hadoop_path(spark, p)
+    fs.mkdirs(folder)
     return p
 
 

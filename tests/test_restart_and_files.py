@@ -34,7 +34,7 @@ def test_incremental_extract_restart(spark):
     INC.stage_inbox(first, f"{root}/inbox", 2)
     run = lambda: INC.run_incremental_extract(spark, f"{root}/inbox", pages.schema, fx["fx_meta"],
                                               fx["fx_completed"], f"{root}/out", f"{root}/ckpt",
-                                              batch_bytes="1")
+                                              batch_bytes=1)
     run()
     n1 = spark.read.parquet(f"{root}/out/stage").count()
     run()                                     # restart, nothing new
