@@ -24,8 +24,12 @@ INDEX_DEFAULT_AUTHOR = "Unknown"
 # Front-matter keys, in output order.
 FRONT_MATTER_KEYS = ["title", "author", "publication-date", "source-url",
                      "canonical-url", "fetch-timestamp", "post-id", "article-key"]
+# YAML escapes of double-quoted scalars (the backslash first), characters that need them, and
 # YAML 1.1 implicit types: a plain scalar matching one of these would not read
 # back as a string, so it must be quoted.
+YAML_ESCAPES = {"\\": "\\", '"': '"', "0": "\0", "a": "\a", "b": "\b", "t": "\t", "n": "\n", "v": "\v", "f": "\f", "r": "\r", "e": "\x1b",
+                "N": "\x85", "_": "\xa0", "L": "\u2028", "P": "\u2029"}
+YAML_ESCAPED_RX = r"[\x00-\x08\x0a-\x1f\x7f\x85\u2028\u2029]"
 YAML_IMPLICIT_RX = (
     r"^(?:~|null|Null|NULL|yes|Yes|YES|no|No|NO|true|True|TRUE|false|False|FALSE"
     r"|on|On|ON|off|Off|OFF|y|Y|n|N"
@@ -97,15 +101,64 @@ def article_key(post_id, source_url) -> Column:
 
 
 def yaml_scalar(v) -> Column:
-    """One YAML scalar: plain when it reads back as the same string, else
-    single-quoted with ``''`` escaping; null -> ``null`` (V8)."""
+    """One YAML scalar that reads back as the same string: plain where that is so, double-quoted
+    with escapes if the value holds line breaks or control characters, else single-quoted
+    with ``''`` escaping; null -> ``null`` (V8)."""
     v = _c(v)
     quoted = F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("''")), F.lit("'"))
+    escaped = v
+    for letter, char in YAML_ESCAPES.items():
+        escaped = F.replace(escaped, F.lit(char), F.lit("\\" + letter))
     return (F.when(v.isNull(), F.lit("null"))
+            .when(v.rlike(YAML_ESCAPED_RX), F.concat(F.lit('"'), escaped, F.lit('"')))
             .when(v.rlike(YAML_IMPLICIT_RX) | v.rlike(YAML_UNSAFE_RX), quoted)
             .otherwise(v))
 
 
+def _folded(s: Column) -> Column:
+    """Line folding of YAML's flow scalars: one line break is a space, n of them are n - 1."""
+    s = F.regexp_replace(s, r"[ \t]*\n[ \t]*", "\n")
+    return F.regexp_replace(F.regexp_replace(s, r"(?<!\n)\n(?!\n)", " "), r"\n(\n+)", "$1")
+
+
+def _unescaped(s: Column) -> Column:
+    """A double-quoted scalar's content. Cut at escaped backslashes, so that what is left of
+    an escape's backslash can only be its letter."""
+
+    def coded(digits: int, code: str):
+        return lambda y: F.concat(F.decode(F.unhex(F.substring(y, 1, digits)), code), F.substring(y, digits + 1, 1 << 30))
+
+    def one(x: Column) -> Column:
+        x = _folded(F.regexp_replace(x, r"\\[ \t]*\n[ \t]*", ""))
+        for mark, digits, code in (("\\\\x", 2, "ISO-8859-1"), ("\\\\u", 4, "UTF-16BE")):
+            cut = F.split(x, mark, -1)
+            x = F.concat(F.element_at(cut, 1), F.array_join(F.transform(F.slice(cut, F.lit(2), F.size(cut)), coded(digits, code)), ""))
+        for letter, char in YAML_ESCAPES.items():
+            if char != "\\":
+                x = F.replace(x, F.lit("\\" + letter), F.lit(char))
+        return F.replace(F.replace(x, F.lit("\\/"), F.lit("/")), F.lit("\\ "), F.lit(" "))
+
+    return F.array_join(F.transform(F.split(s, r"\\\\", -1), one), "\\")
+
+
+def yaml_value(raw) -> Column:
+    """The string that a scalar's text (with its continuation lines) stands for; null for
+    YAML's nulls. Reads single and double quotes, folded plain text, literal (``|``) and
+    folded (``>``) blocks."""
+    raw = F.regexp_replace(_c(raw), r"^[ \t]+|\s+$", "")
+    lines = F.slice(F.split(raw, "\n", -1), F.lit(2), F.greatest(F.size(F.split(raw, "\n", -1)) - 1, F.lit(0)))
+    margin = F.length(F.regexp_extract(raw, r"\n( *)[^ \n]", 1))
+    block = F.array_join(F.transform(lines, lambda x: F.substring(x, margin + 1, F.lit(1 << 30))), "\n")
+    folds = F.regexp_replace(F.regexp_replace(block, r"(?<!\n)\n(?![\n ])", " "), r"\n(\n+)", "$1")
+    chomp = F.when(raw.rlike(r"^[|>]-"), F.lit("")).otherwise(F.lit("\n"))
+    return (F.when(raw.startswith("'"), F.replace(_folded(F.regexp_extract(raw, r"(?s)^'(.*)'$", 1)), F.lit("''"), F.lit("'")))
+            .when(raw.startswith('"'), _unescaped(F.regexp_extract(raw, r'(?s)^"(.*)"$', 1)))
+            .when(raw.rlike(r"^\|[+-]?(?:\n|$)"), F.concat(block, chomp))
+            .when(raw.rlike(r"^>[+-]?(?:\n|$)"), F.concat(folds, chomp))
+            .when(raw.isin("", "~", "null", "Null", "NULL"), F.lit(None).cast("string"))
+            .otherwise(_folded(raw)))
+
+
 def front_matter(fields: dict) -> Column:
     """``---`` block with the fixed key order; ``fields`` maps a front-matter
     key to ``(present: Column, value: Column)``. Absent keys produce no line."""

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import url_domain, yaml_scalar
-from folio.functions.text import DEFAULT_TITLE, INDEX_DEFAULT_AUTHOR
+from folio.functions.text import DEFAULT_TITLE, INDEX_DEFAULT_AUTHOR, yaml_value
 
 # --- fixed values -----------------------------------------------------------
-KV_RX = r"^([A-Za-z0-9_][A-Za-z0-9_-]*):(?:[ \t]+(.*))?$"
+KV_RX = r"(?s)^([A-Za-z0-9_][A-Za-z0-9_-]*):(?:\s.*)?$"
 # ---------------------------------------------------------------------------
 
 
@@ -26,23 +26,43 @@ def _is_delim(x: Column) -> Column:
     return F.regexp_replace(x, r"^\s+|\s+$", "") == "---"
 
 
-def _unquote(raw: Column) -> Column:
-    inner = F.regexp_extract(raw, r"^'(.*)'$", 1)
-    dinner = F.regexp_extract(raw, r'^"(.*)"$', 1)
-    return (F.when(raw.rlike(r"^'.*'$"), F.replace(inner, F.lit("''"), F.lit("'")))
-            .when(raw.rlike(r'^".*"$'), dinner)
-            .when(raw.isin("", "~", "null", "Null", "NULL"), F.lit(None).cast("string"))
-            .otherwise(raw))
+def _entries(lines: Column) -> Column:
+    """Lines -> the text of each entry with its continuation lines, by a state machine over
+    the lines: inside an open quote, or indented or blank, a line continues the entry;
+    ``key:`` begins one; a comment is skipped; any other line is an entry that no key fits."""
+    state = "struct<done:array<string>,now:string>"
+    single, double = r"^[^:\s]+:[ \t]+'", r'^[^:\s]+:[ \t]+"'
+    ended = r"(?:(?:[^']++|'')*+)'\s*$", r'(?:(?:[^"\\]++|\\(?s:.))*+)"\s*$'
+
+    def step(a: Column, x: Column) -> Column:
+        now = a["now"]
+        is_open = now.isNotNull() & ((now.rlike(single) & ~now.rlike(single + ended[0])) | (now.rlike(double) & ~now.rlike(double + ended[1])))
+        goes_on = now.isNotNull() & (is_open | x.rlike(r"^(?:\s|$)"))
+        closed = F.when(now.isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(now)))
+        return (F.when(goes_on, F.struct(a["done"].alias("done"), F.concat(now, F.lit("\n"), x).alias("now")))
+                .when(x.rlike(r"^\s*(?:#|$)"), a)
+                .otherwise(F.struct(closed.alias("done"), x.alias("now"))).cast(state))
+
+    begin = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now")).cast(state)
+    return F.aggregate(lines, begin, step, lambda a: F.when(a["now"].isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(a["now"]))))
 
 
 def parse_flat_yaml(lines: Column) -> Column:
-    """array<string> of YAML lines -> array<struct<k, v, ok>> (``ok`` false on a
-    line that is not a flat ``key: value``)."""
-    nonblank = F.filter(lines, lambda x: F.regexp_replace(x, r"\s", "") != "")
-    return F.transform(nonblank, lambda x: F.struct(
-        F.regexp_extract(x, KV_RX, 1).alias("k"),
-        _unquote(F.regexp_replace(F.regexp_extract(x, KV_RX, 2), r"\s+$", "")).alias("v"),
-        x.rlike(KV_RX).alias("ok")))
+    """array<string> of YAML lines -> array<struct<k, v, ok>>: one entry a key, with values
+    over several lines; ``ok`` is false for an entry that is no flat ``key: value`` (nested
+    maps and lists, open quotes)."""
+
+    def entry(x: Column) -> Column:
+        raw = F.regexp_extract(x, r"(?s)^[^:]*:(.*)$", 1)
+        value = F.regexp_replace(raw, r"^[ \t]+|\s+$", "")
+        quoted = value.rlike(r"(?s)^'(?:[^']++|'')*+'$") | value.rlike(r'(?s)^"(?:[^"\\]++|\\.)*+"$')
+        block = value.rlike(r"^[|>][+-]?\n")
+        nested = value.rlike(r"\n\s*(?:- |-$|[^\s:#][^:\n]*:(?:\s|$))")
+        opened = value.startswith("'") | value.startswith('"')
+        return F.struct(F.regexp_extract(x, KV_RX, 1).alias("k"), yaml_value(raw).alias("v"),
+                        (x.rlike(KV_RX) & F.when(opened, quoted).otherwise(block | ~nested)).alias("ok"))
+
+    return F.transform(_entries(lines), entry)
 
 
 def _get(kv: Column, key: str) -> Column:
@@ -71,20 +91,24 @@ def _once(df: DataFrame, name: str, expr: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(expr)).alias(name))
 
 
-def build_article_index(markdown: DataFrame, base_path: str = "work/processed") -> DataFrame:
-    """K6: one index row per article with front matter; files without it, or
-    whose front matter is not flat YAML, are skipped (V13: empty files too).
+def _front_matter(markdown: DataFrame) -> DataFrame:
+    """slug and ``kv``, the entries of the front matter, of files that begin with one.
 
-    A cheap first-line test drops files without front matter before any
-    whole-text work; the text is split into lines once."""
+    A cheap first-line test drops the others before any whole-text work; the text is split
+    into lines once."""
     m = markdown.filter((F.col("md") != "") & _is_delim(_first_line(F.col("md")))).select("slug", "md")
     m = _once(m, "_ls", _lines(F.col("md"))).drop("md")
     m = m.withColumn("_rest", F.slice("_ls", 2, F.greatest(F.size("_ls") - 1, F.lit(0)))).drop("_ls")
     m = m.withColumn("_end", F.array_position(F.transform("_rest", _is_delim), True))
     m = m.select("slug", F.when(F.col("_end") > 0, F.slice("_rest", 1, (F.col("_end") - 1).cast("int")))
                  .otherwise(F.col("_rest")).alias("fm"))
-    m = _once(m, "kv", parse_flat_yaml(F.col("fm"))).drop("fm")
-    m = m.filter(F.forall("kv", lambda x: x["ok"]))
+    return _once(m, "kv", parse_flat_yaml(F.col("fm"))).drop("fm")
+
+
+def build_article_index(markdown: DataFrame, base_path: str = "work/processed") -> DataFrame:
+    """K6: one index row per article with front matter; files without it, or whose front
+    matter is not flat YAML, are skipped (V13: empty files too; ``unreadable_markdown`` lists them)."""
+    m = _front_matter(markdown).filter(F.forall("kv", lambda x: x["ok"]))
     m = m.select("slug", *[F.try_element_at(_get(F.col("kv"), k), F.lit(1)).alias(a) for k, a in
                            (("title", "_t"), ("author", "_a"), ("publication-date", "_p"), ("source-url", "_s"))])
     return m.select(
@@ -96,6 +120,15 @@ def build_article_index(markdown: DataFrame, base_path: str = "work/processed")
         url_domain(F.col("_s.v")).alias("domain"))
 
 
+def unreadable_markdown(markdown: DataFrame) -> DataFrame:
+    """K6's quarantine: the files that the index leaves out, with the reason and, where it is
+    an entry, its text."""
+    starts = F.coalesce((F.col("md") != "") & _is_delim(_first_line(F.col("md"))), F.lit(False))
+    none = markdown.filter(~starts).select("slug", F.lit("no front matter").alias("reason"))
+    bad = _front_matter(markdown).filter(F.exists("kv", lambda x: ~x["ok"])).select("slug", F.lit("front matter is not flat").alias("reason"))
+    return none.unionByName(bad)
+
+
 def query_articles(index: DataFrame, author: str | None = None, domain: str | None = None,
                    since: str | None = None, until: str | None = None,
                    title_contains: str | None = None) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
+from folio.functions import front_matter
 from folio.operators import index as IX
 from folio.plans.registry import W, plan
 from folio.session import scratch_path
@@ -11,7 +13,7 @@ from folio.sources.tables import scan_markdown
 _SRC = ("concat('https://', host, '/p/post-', CAST(doc_id AS VARCHAR), "
         "CASE doc_id % 4 WHEN 0 THEN '?utm_source=feed' WHEN 1 THEN '#top' ELSE '' END)")
 
-_IDX = W("fx_docs", "fx_markdown") + f"""
+_IDX = W("fx_docs", "fx_markdown", "fx_wild") + f"""
 D AS (SELECT doc_id, host, slug, pub, body, {_SRC} AS src,
         CASE WHEN doc_id % 5 = 0 THEN 'Untitled' ELSE concat('Head ', CAST(doc_id AS VARCHAR)) END AS ttl,
         CASE WHEN doc_id % 17 = 0 THEN 'unknown' ELSE pub END AS pb FROM fx_docs),
@@ -93,3 +95,29 @@ def repair_markdown_q(fx):
     return IX.repair_markdown(scan_markdown(fx["fx_markdown"]))
 
 
+
+
+def _wild_markdown(fx):
+    """E6 over awkward values, beside files written by hand."""
+    said = lambda c: (F.lit(True), F.col(c))
+    own = front_matter({"title": said("title"), "author": said("author"), "publication-date": said("pub"), "source-url": said("url")})
+    tail = F.concat(F.lit("author: \"A. \\\"B\\\" "), F.substring("author", 8, 1), F.lit("\\nC\"\npublication-date: '"), F.col("pub"), F.lit("'\nsource-url: "), F.col("url"), F.lit("\n---\n"))
+    folded = F.concat(F.lit("---\n# by hand\ntitle: Folded\n  over\n  "), F.regexp_extract("title", "([0-9]+)$", 1), F.lit("\n"), tail)
+    nested = F.concat(F.lit("---\ntitle: Nested\ntags:\n  - a\n"), tail)
+    rows = fx["fx_wild"].withColumn("url", F.concat(F.lit("https://"), F.col("host"), F.lit("/p/"), F.col("slug")))
+    return rows.select("slug", F.concat(F.when(F.col("written") == "nested", nested).when(F.col("written") == "folded", folded).otherwise(own), F.lit("# Body\n---\ntext")).alias("md"))
+
+
+@plan("front_matter_round_trip", W("fx_wild") + """x AS (SELECT 1) SELECT slug, concat('work/processed/', slug, '.md') AS path, title, author, pub AS publication_date, host AS domain
+FROM fx_wild WHERE written <> 'nested' AND contains(lower(author), '"b" 1') AND pub >= '2024-02-01'""")
+def front_matter_round_trip_q(fx):
+    """E6 -> K6 -> F5: values with line breaks, quotes, colons and backslashes come back as
+    they were, and are found."""
+    return IX.query_articles(IX.build_article_index(_wild_markdown(fx)), author='"b" 1', since="2024-02-01")
+
+
+@plan("unreadable_markdown", _IDX + """, wild AS (SELECT slug FROM fx_wild WHERE written = 'nested')
+SELECT concat('post-', CAST(doc_id AS VARCHAR)) AS slug, 'no front matter' AS reason FROM BAD UNION ALL SELECT slug, 'front matter is not flat' FROM wild""")
+def unreadable_markdown_q(fx):
+    """K6's quarantine: files that the index leaves out, with the reason."""
+    return IX.unreadable_markdown(scan_markdown(fx["fx_markdown"]).unionByName(_wild_markdown(fx)))

@@ -259,6 +259,18 @@ FROM (SELECT doc_id, slug, body, """ + _SRC + """ AS src,
 """)
 
 
+# Front-matter values that need care: line breaks, quotes, colons, backslashes, padding. Every
+# eleventh file is written by hand, with folded lines (7) or a nested list (5).
+FIXTURES["fx_wild"] = (["fx_docs"], """
+SELECT slug_id AS slug, host, pub, CASE WHEN doc_id % 11 = 5 THEN 'nested' WHEN doc_id % 11 = 7 THEN 'folded' ELSE 'engine' END AS written,
+  CASE WHEN doc_id % 11 = 7 THEN concat('Folded over ', n) WHEN doc_id % 6 = 0 THEN concat('Line one', {NL}, ' Line two: ', n) WHEN doc_id % 6 = 1 THEN concat('Colon: ', n)
+       WHEN doc_id % 6 = 2 THEN concat('It''s "quoted" ', n) WHEN doc_id % 6 = 3 THEN concat('back', chr(92), 'n ', n, {NL}, {NL}, '---', {NL}, '# ', chr(92))
+       WHEN doc_id % 6 = 4 THEN concat('  padded ', n, '  ') ELSE concat('- dash ', n) END AS title,
+  concat('A. "B" ', CAST(doc_id % 4 AS {S}), {NL}, 'C') AS author
+FROM (SELECT *, CAST(doc_id AS {S}) AS n, concat('wild-', CAST(doc_id AS {S})) AS slug_id FROM {fx_docs}) d
+""")
+
+
 def render(name: str, dialect: str, refs: dict[str, str] | None = None) -> str:
     """SQL text of one fixture; ``refs`` maps table names to references."""
     deps, tmpl = FIXTURES[name]
