@@ -16,6 +16,7 @@ from folio.functions import (article_key, clean_markdown, front_matter, strip_ws
                              url_slug)
 from folio.functions.text import DEFAULT_AUTHOR, DEFAULT_DATE, DEFAULT_SOURCE, DEFAULT_TITLE
 from folio.operators.html_pass import html_pass
+from folio.operators.known import key_filter
 from folio.session import materialize
 from folio.sources.tables import completed_set, scan_fetch_meta
 from folio.sources.versioned import VersionedTable
@@ -80,6 +81,20 @@ def _mark_key_owner(p: DataFrame, owners: DataFrame | None = None) -> DataFrame:
             .withColumn("owns_key", F.coalesce(F.col("owner_id") == F.col("row_id"), F.lit(False))).drop("owner_key", "owner_id", "may_own")
 
 
+def _with_missed(wide: DataFrame, parsed: DataFrame, src: DataFrame, done: DataFrame, parts: tuple, results: list[str]) -> DataFrame:
+    """The pass's wide columns, with those of pages that the filter of known ids held though
+    the ledger has no such id. They are few, or none and then nothing runs; their HTML is
+    found again by its hash, row by row in the pass, so no HTML is shuffled."""
+    slug = F.col("canonical_slug")
+    missed = parsed.filter("deferred").join(done, slug == F.col("done_id"), "left_anti").select(F.col("html_hash").cast("string").alias("h"))
+    if missed.isEmpty():
+        return wide
+    again = html_pass(src.withColumn("h", F.col("html_hash").cast("string")), ["source_url", "html_hash", "h"], parts=parts, only=("h", key_filter(missed, "h")))
+    again = again.dropDuplicates(["source_url", "html_hash"]).select(F.col("source_url").alias("u"), F.col("html_hash").alias("v"), *(F.col(c).alias(f"late_{c}") for c in results))
+    both = wide.join(again, wide.deferred & wide.source_url.eqNullSafe(F.col("u")) & (wide.html_hash == F.col("v")), "left")
+    return both.select(*(c for c in wide.columns if c not in results), *(F.coalesce(c, f"late_{c}").alias(c) for c in results))
+
+
 def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
                 parts: tuple = ("body", "images"), work_dir: str | None = None,
                 owners: DataFrame | None = None) -> DataFrame:
@@ -97,6 +112,10 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     Rows carry a row id of their own: page keys can be null (malformed URL) or shared by
     pages of several hosts, so nothing wide is ever matched by page key.
 
+    A page whose canonical link names a completed article is not compiled: the pass asks a
+    filter of the ledger's ids (``known.key_filter``), so its ``body_markdown`` and ``images``
+    are null. Pages that the filter held wrongly are compiled in a pass of their own.
+
     Plan: (1) the HTML pass runs once and is written (``materialize``);
     (2) all decisions — page-key owner, J1 metadata join, defaults, keys, J5 ledger
     join, V5 first-per-post — run on one narrow branch of it (~100 bytes per page; rows in
@@ -105,8 +124,10 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     shuffle is evenly spread."""
     src = pages.select("page_key", "source_url", "html", F.monotonically_increasing_id().alias("row_id"),
                        F.xxhash64("html").alias("html_hash"))
-    parsed = materialize(parsed_pages(src, ("meta", *parts), ("page_key", "source_url", "row_id", "html_hash")),
-                         "parsed-pages", path=work_dir)
+    done = completed_set(completed).select(F.col("post_id").alias("done_id"), F.lit(True).alias("in_ledger"))
+    keys = ["page_key", "source_url", "row_id", "html_hash"]
+    known = key_filter(done, "done_id") if parts else None
+    parsed = materialize(html_pass(src, keys, parts=("meta", *parts), known=known), "parsed-pages", path=work_dir)
     p = extract_metadata(parsed.select("row_id", "html_hash", "page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
                                        "title_text", "meta_author", "meta_published", "canonical_href"))
     p = _mark_key_owner(p, owners)
@@ -141,7 +162,6 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     ).withColumn("article_key", article_key(F.col("post_id"), F.col("identity"))).drop("identity")
     # Post id already in the ledger -> ledger-only; AQE broadcasts the
     # distinct ledger when it is small and shuffles the narrow side otherwise.
-    done = completed_set(completed).select(F.col("post_id").alias("done_id"), F.lit(True).alias("in_ledger"))
     out = j.withColumnRenamed("post_id", "own_id").withColumn("post_id", F.when(F.col("error").isNull(), F.col("own_id")))
     out = _first_per_post(out.join(done, out.post_id == done.done_id, "left").drop("done_id"))
     status = (F.when(F.col("error").isNotNull(), F.lit("error"))
@@ -161,11 +181,14 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     out = out.withColumn("front_matter", fm)
     if not parts:
         return out
-    wide = parsed.select(F.col("row_id").alias("wide_id"), *(["body_kind", "body_md", "image_errors"] if "body" in parts else []),
-                         *(["images"] if "images" in parts else []))
+    results = [*(["body_md", "image_errors"] if "body" in parts else []), *(["images"] if "images" in parts else [])]
+    wide = parsed.select(F.col("row_id").alias("wide_id"), "n_images", *(["body_kind"] if "body" in parts else []), "deferred", "source_url", "html_hash", *results)
+    wide = _with_missed(wide, extract_metadata(parsed), src, done, parts, results).drop("deferred", "source_url", "html_hash")
     out = out.join(wide, F.col("row_id") == F.col("wide_id")).drop("wide_id")
-    if "images" in parts:
-        out = out.withColumn("n_images", F.size(F.coalesce(F.col("images"), F.array())).cast("int"))
+    if "images" not in parts:
+        out = out.drop("n_images")
+    else:
+        out = out.withColumn("n_images", F.coalesce("n_images", F.lit(0)))
     if "body" in parts:
         out = out.withColumn("body_markdown", clean_markdown(F.col("body_md"))) \
                  .withColumn("markdown", F.when(F.col("status") == "compiled",

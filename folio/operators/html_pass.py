@@ -173,6 +173,13 @@ def image_local_path(src):
     return host + "/" + path[1:]
 
 
+def url_slug(url):
+    """Python twin of ``folio.functions.url_slug`` (U1), for the filter of known ids only:
+    the exact decision is made on the column."""
+    m = _URL_RX.match(url) if url else None
+    return next((x for x in reversed(_TRAIL_WS.sub("", m.group(2)).split("/")) if x), None) if m else None
+
+
 def _first(node, tag):
     for e in iter_elements(node):
         if e.tag == tag:
@@ -271,9 +278,20 @@ def remove_furniture(root: Node) -> None:
         n.children = keep
 
 
-def extract(html: str, parts: frozenset) -> dict:
+def count_images(root: Node) -> int:
+    """Images that compiling would give: the figures with a usable source."""
+    n = 0
+    for e in iter_elements(root):
+        if e.tag == "figure":
+            img = _first(e, "img")
+            n += img is not None and image_local_path(img.attrs.get("src")) is not None
+    return n
+
+
+def extract(html: str, parts: frozenset, known=None) -> dict:
     """All requested raw fields of one page (``clean`` in ``parts`` removes
-    page furniture before the body is compiled)."""
+    page furniture before the body is compiled). ``known``: asked for the id of the canonical
+    link; a page that may be known is not compiled, but marked as ``deferred``."""
     root = parse_html(html)
     if "clean" in parts:
         remove_furniture(root)
@@ -320,12 +338,18 @@ def extract(html: str, parts: frozenset) -> dict:
         chosen, kind = ((div_body, "div.body.markup") if div_body is not None else
                         (article, "article") if article is not None else
                         (body, "body") if body is not None else (root, None))
-        md, imgs, errs = to_markdown(chosen.children)
+        out["deferred"] = known is not None and canon is not None and known(url_slug(canon.attrs.get("href")))
+        if out["deferred"]:
+            out["body_kind"], out["n_images"] = kind, count_images(chosen)
+            md = imgs = errs = None
+        else:
+            md, imgs, errs = to_markdown(chosen.children)
+            out["n_images"] = len(imgs)
         if "body" in parts:
             out["body_kind"] = kind
             out["body_md"] = md
             out["image_errors"] = errs
-        if "images" in parts:
+        if "images" in parts and imgs is not None:
             out["images"] = [{"pos": i, "src": s, "alt": a, "title": ti, "caption": c,
                               "local_path": lp} for i, (s, a, ti, c, lp) in enumerate(imgs)]
     if "links" in parts:
@@ -348,6 +372,7 @@ IMAGE_T = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("sr
                         T.StructField("local_path", T.StringType())])
 LINK_T = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("href", T.StringType()),
                        T.StructField("text", T.StringType())])
+DEFERRED_FIELDS = [("deferred", T.BooleanType()), ("n_images", T.IntegerType())]
 PART_FIELDS = {
     "meta": [("canonical_href", T.StringType()), ("ld_json", T.StringType()),
              ("ld_json_valid", T.BooleanType()), ("title_text", T.StringType()),
@@ -377,10 +402,14 @@ def _by_bytes(batch, html_col: str, most: int = HTML_SLICE_BYTES):
 
 
 def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
-              parts=ALL_PARTS, keep_html: bool = False) -> DataFrame:
+              parts=ALL_PARTS, keep_html: bool = False, known=None, only=None) -> DataFrame:
     """Run the HTML pass over ``pages`` and return ``keys`` + raw fields
     (+ ``parse_error``). Only ``keys`` and ``html`` cross into Python; ``html``
-    is dropped from the output unless ``keep_html``."""
+    is dropped from the output unless ``keep_html``.
+
+    ``known``: a ``KeyFilter`` of ids; pages it may hold are not compiled, and the columns
+    ``deferred`` and ``n_images`` tell so. ``only``: (key column, ``KeyFilter``); rows whose
+    key it does not hold are left out unparsed."""
     parts = frozenset(parts)
     data_parts = parts - {"clean"}
     src = pages.select(*keys, html_col)
@@ -388,10 +417,12 @@ def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
     fields = [f for f in in_schema.fields if keep_html or f.name != html_col]
     for p in sorted(data_parts):
         fields += [T.StructField(n, t) for n, t in PART_FIELDS[p]]
+    extra = DEFERRED_FIELDS if known is not None else []
+    fields += [T.StructField(n, t) for n, t in extra]
     fields.append(T.StructField("parse_error", T.StringType()))
     out_schema = T.StructType(fields)
     out_names = [f.name for f in fields]
-    raw_names = [n for p in sorted(data_parts) for n, _ in PART_FIELDS[p]]
+    raw_names = [n for p in sorted(data_parts) for n, _ in PART_FIELDS[p]] + [n for n, _ in extra]
     passthrough = [f.name for f in in_schema.fields if keep_html or f.name != html_col]
 
     def run(batches):
@@ -399,6 +430,8 @@ def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow_schema = to_arrow_schema(out_schema)
         for whole in batches:
+            if only is not None:
+                whole = whole.filter(pa.array([only[1](k) for k in whole.column(only[0]).to_pylist()], pa.bool_()))
             for batch in _by_bytes(whole, html_col):
                 res = {n: [] for n in raw_names}
                 errs = []
@@ -407,7 +440,7 @@ def html_pass(pages: DataFrame, keys: list[str], html_col: str = "html",
                         vals, err = {}, None
                     else:
                         try:
-                            vals, err = extract(h, parts), None
+                            vals, err = extract(h, parts, known), None
                         except Exception as e:  # K7: the page is quarantined, the batch goes on
                             vals, err = {}, f"{type(e).__name__}: {e}"
                     for n in raw_names:
