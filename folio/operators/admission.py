@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from folio.functions import (feed_date_atom, feed_date_rss, feed_post_id, feed_url, page_key,
                              url_canonical, url_host, url_slug)
 from folio.operators.html_pass import html_pass
+from folio.session import materialize
 from folio.operators.joins import lookup
 from folio.sources.tables import alias_map, completed_set
 
@@ -179,17 +180,18 @@ def ingest_pages(crawled: DataFrame, fetch_ts: str) -> DataFrame:
     """K9: crawl results (url, html) -> the page itself, its key, metadata JSON, and an
     action: ``malformed`` (no key), ``retry`` (a short rate-limit page is not stored),
     ``store``, or ``exists`` for a further page under a key that is stored already (the
-    smallest URL, then content, is the one stored)."""
+    smallest URL, then content, is the one stored; of equal crawl rows, one)."""
     from folio.functions import is_short_error_page
-    p = crawled.select("url", "html").withColumn("page_key", page_key("url"))
-    p = html_pass(p, ["url", "page_key"], parts=("short_body_text",), keep_html=True)
+    p = crawled.select("url", "html").withColumn("page_key", page_key("url")).withColumn("row_id", F.monotonically_increasing_id())
+    p = html_pass(p, ["url", "page_key", "row_id"], parts=("short_body_text",), keep_html=True)
     action = (F.when(F.col("page_key").isNull(), F.lit("malformed"))
               .when(is_short_error_page("html", "short_body_text"), F.lit("retry")).otherwise(F.lit("store")))
-    p = p.withColumn("action", action).withColumn("_hash", F.xxhash64("html")).drop("short_body_text", "parse_error")
-    owner = p.filter("action = 'store'").groupBy("page_key").agg(F.min(F.struct("url", "_hash")).alias("_owner")) \
+    # written once, so that the row ids of both sides of the join agree
+    p = materialize(p.withColumn("action", action).withColumn("_hash", F.xxhash64("html")).drop("short_body_text", "parse_error"), "ingest")
+    owner = p.filter("action = 'store'").groupBy("page_key").agg(F.min(F.struct("url", "_hash", "row_id")).alias("_owner")) \
              .withColumnRenamed("page_key", "_key")
     p = p.join(owner, p.page_key == F.col("_key"), "left")
-    first = (F.col("url") == F.col("_owner.url")) & (F.col("_hash") == F.col("_owner._hash"))
+    first = F.col("row_id") == F.col("_owner.row_id")
     meta = F.to_json(F.struct(F.col("url").alias("source-url"), F.lit(fetch_ts).alias("fetch-timestamp")))
     return p.select("page_key", F.col("url").alias("source_url"), meta.alias("meta_json"), "html",
                     F.when((F.col("action") == "store") & ~first, F.lit("exists")).otherwise(F.col("action")).alias("action"))

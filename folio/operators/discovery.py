@@ -10,14 +10,15 @@ itself — a high-cardinality key, so no host skew reaches a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from folio.functions import (host_first_label, url_canonical, url_domain,
+from folio.functions import (host_first_label, page_key, url_canonical, url_domain,
                              url_host)
 from folio.functions.urls import OTHER_SCHEME_RX, classify_parts, with_url_parts
 from folio.operators.html_pass import html_pass
 from folio.operators.joins import lookup
+from folio.session import materialize
 from folio.sources.tables import alias_map, scan_url_queue
 
 
@@ -131,6 +132,61 @@ def link_class_counts(links, ignored, aliases, expand=False) -> DataFrame:
     return by_class.unionByName(n_approved)
 
 
+LINK_CLASSES = ("substack_article", "external", "noise")
+
+
+def link_table(links: DataFrame, ignored: DataFrame, aliases: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """All links that the ignore list leaves, written once with what every output of
+    discovery needs (class, canonical URL, whether the host is known), and the number of links
+    by class, counted while they are written (A2). One pass over the HTML."""
+    kept = classify(drop_ignored(links, ignored))
+    hosts = known_domains(aliases).select(F.col("domain").alias("_d"), F.lit(True).alias("_known"))
+    kept = kept.join(hosts, (F.col(_P + "host") == F.col("_d")) & (F.col("link_class") == LINK_CLASSES[0]), "left")
+    out = strip_link_parts(kept.withColumn("approved", F.coalesce("_known", F.lit(False))).drop("_d", "_known")).withColumn("url", url_canonical("href"))
+    seen = Observation()
+    counts = [F.count_if(F.col("link_class") == c).alias(c) for c in LINK_CLASSES] + [F.count_if("approved").alias("approved_article")]
+    out.observe(seen, *counts).write.mode("overwrite").parquet(path)
+    return links.sparkSession.read.parquet(path), seen.get
+
+
+def discovery_job(links: DataFrame, ignored: DataFrame, aliases: DataFrame, queue: DataFrame, path: str, job_ts: str, expand: bool = False) -> dict[str, DataFrame]:
+    """The whole discovery job on one link table: ``new_urls`` (X2), ``crawl_job`` (K4),
+    ``external`` (X5, K3) and ``counts`` (A2)."""
+    table, counts = link_table(links, ignored, aliases, path)
+    spark = links.sparkSession
+    found = table.filter(F.col("link_class") == LINK_CLASSES[0]) if expand else table.filter("approved")
+    new = found.select("url").distinct().join(known_urls(aliases, queue), "url", "left_anti")
+    external = table.filter(F.col("link_class") == "external").select(F.col("source_key").alias("source_article_key"), "link_text", F.col("href").alias("external_url"))
+    rows = [(k, n) for k, n in counts.items() if n or k == "approved_article"]
+    return {"new_urls": new, "crawl_job": next_crawl_job(new, job_ts), "external": external, "counts": spark.createDataFrame(rows, "link_class string, n_links bigint")}
+
+
+def discover_to_the_end(table: DataFrame, start: DataFrame, aliases: DataFrame, queue: DataFrame) -> DataFrame:
+    """T4 to its end: (url, round) of all article URLs found from the pages of ``start``
+    (column ``page_key``), from the pages under those URLs, and so on until a round finds
+    nothing new. ``table``: the link table of all pages that can be fetched.
+
+    Semi-naive: a round reads only the links of the pages that the last round found, so the
+    rounds together read each page's links once. What is known is written once, each round's
+    finds beside it."""
+    links = table.filter("approved").select("source_key", "url")
+    known = materialize(known_urls(aliases, queue), "discover-known")
+    frontier, rounds = start.select("page_key").distinct(), []
+    while True:
+        new = links.join(frontier, links.source_key == F.col("page_key"), "left_semi").select("url").distinct()
+        for earlier in [known, *rounds]:
+            new = new.join(earlier.select("url"), "url", "left_anti")
+        new = materialize(new.withColumn("round", F.lit(len(rounds) + 1)), "discover-round")
+        if new.isEmpty():
+            break
+        rounds.append(new)
+        frontier = new.select(page_key("url").alias("page_key")).filter("page_key is not null").distinct()
+    out = known.select("url", F.lit(0).alias("round")).limit(0)
+    for r in rounds:
+        out = out.unionByName(r)
+    return out
+
+
 def next_crawl_job(new_urls: DataFrame, job_ts: str, reason: str = "discovery") -> DataFrame:
     """K4: the new URLs as one crawl job of the given time, unique and in ascending order
     (a range-partitioned global sort, no single-partition step). Empty input -> no rows."""

@@ -62,6 +62,9 @@ class _TreeBuilder(HTMLParser):
         self.root = Node(None, {})
         self.stack = [self.root]
         self.open = Counter()    # open elements by tag: most lookups end here
+        # open p and a (li) since the innermost scope (list scope) element: a lookup never
+        # walks to a scope's edge in vain, so deep pages take linear time
+        self.scopes, self.list_scopes = [Counter()], [0]
 
     @staticmethod
     def _attrs(attrs):
@@ -71,39 +74,56 @@ class _TreeBuilder(HTMLParser):
                 d[k] = "" if v is None else v
         return d
 
+    def _push(self, node):
+        tag = node.tag
+        self.stack.append(node)
+        self.open[tag] += 1
+        if tag in LIST_SCOPE_TAGS:
+            self.list_scopes.append(0)
+            if tag in SCOPE_TAGS:
+                self.scopes.append(Counter())
+        elif tag == "li":
+            self.list_scopes[-1] += 1
+        elif tag in ("p", "a"):
+            self.scopes[-1][tag] += 1
+
     def _pop_to(self, i):
-        for n in self.stack[i:]:
-            self.open[n.tag] -= 1
+        for n in reversed(self.stack[i:]):
+            tag = n.tag
+            self.open[tag] -= 1
+            if tag in LIST_SCOPE_TAGS:
+                self.list_scopes.pop()
+                if tag in SCOPE_TAGS:
+                    self.scopes.pop()
+            elif tag == "li":
+                self.list_scopes[-1] -= 1
+            elif tag in ("p", "a"):
+                self.scopes[-1][tag] -= 1
         del self.stack[i:]
 
-    def _close_in_scope(self, tag, scope):
-        if not self.open[tag]:
+    def _close_in_scope(self, tag):
+        if not (self.list_scopes[-1] if tag == "li" else self.scopes[-1][tag]):
             return
-        st = self.stack
-        for i in range(len(st) - 1, 0, -1):
-            t = st[i].tag
-            if t == tag:
-                self._pop_to(i)
-                return
-            if t in scope:
-                return
+        i = len(self.stack) - 1
+        while self.stack[i].tag != tag:
+            i -= 1
+        self._pop_to(i)
 
     def handle_starttag(self, tag, attrs):
         if tag in P_CLOSING_TAGS:
-            self._close_in_scope("p", SCOPE_TAGS)
+            self._close_in_scope("p")
         elif tag == "li":
-            self._close_in_scope("li", LIST_SCOPE_TAGS)
+            self._close_in_scope("li")
         elif tag == "a":         # anchors never nest
-            self._close_in_scope("a", SCOPE_TAGS)
+            self._close_in_scope("a")
         node = Node(tag, self._attrs(attrs))
         self.stack[-1].children.append(node)
         if tag not in VOID_TAGS:
-            self.stack.append(node)
-            self.open[tag] += 1
+            self._push(node)
 
     def handle_startendtag(self, tag, attrs):
         if tag in P_CLOSING_TAGS:
-            self._close_in_scope("p", SCOPE_TAGS)
+            self._close_in_scope("p")
         self.stack[-1].children.append(Node(tag, self._attrs(attrs)))
 
     def handle_endtag(self, tag):

@@ -16,6 +16,7 @@ from folio.functions.text import MIN_HTML_BYTES, SHORT_PAGE_MAX_CHARS
 from folio.operators.articles import extract_metadata
 from folio.operators.html_pass import html_pass
 from folio.operators.joins import lookup
+from folio.session import materialize
 from folio.sources.tables import alias_map, completed_set, scan_fetch_meta, scan_url_queue
 
 # --- fixed values -----------------------------------------------------------
@@ -57,23 +58,32 @@ def orphans(pages: DataFrame, meta: DataFrame) -> DataFrame:
                      .otherwise(F.lit("matched")).alias("category"))
 
 
+def page_and_meta_facts(pages: DataFrame, meta: DataFrame) -> DataFrame:
+    """Narrow facts of all pages and all fetch metadata, joined once and written: ``side``
+    (matched, orphaned_html, orphaned_meta) and what M1 judges."""
+    facts = pages.select("page_key", "html", F.octet_length("html").alias("n_bytes"),
+                         content_corruption_reason("html").alias("corruption"))
+    facts = extract_metadata(html_pass(facts, ["page_key", "n_bytes", "corruption"], parts=("meta",))) \
+        .select(F.col("page_key").alias("h_key"), "n_bytes", "corruption", "canonical_slug", F.lit(True).alias("has_page"))
+    m = scan_fetch_meta(meta).select(F.col("page_key").alias("m_key"), "meta_valid", "has_source_url", "meta_source_url")
+    j = facts.join(m, F.col("h_key") == F.col("m_key"), "full_outer")
+    side = F.when(F.col("has_page").isNull(), F.lit("orphaned_meta")).when(F.col("meta_valid").isNull(), F.lit("orphaned_html")).otherwise(F.lit("matched"))
+    return materialize(j.select(F.coalesce("h_key", "m_key").alias("page_key"), side.alias("side"), "n_bytes", "corruption", "canonical_slug", "meta_valid",
+                                "has_source_url", "meta_source_url"), "integrity")
+
+
 def verify_integrity(pages: DataFrame, meta: DataFrame) -> DataFrame:
     """M1: one finding row per problem (page_key, category, reason); a page may
     have several. V10: the canonical-slug check is done as documented.
 
     The page side is reduced to narrow facts first (byte size and corruption
     reason natively, canonical slug from the HTML pass), so only those facts —
-    never the HTML — take part in the joins with the metadata."""
-    orph = orphans(pages, meta)
-    orphan_rows = orph.filter(F.col("category") != "matched") \
+    never the HTML — meet the metadata, once, in a full outer join whose rows give
+    orphans and findings alike."""
+    met = page_and_meta_facts(pages, meta)
+    orphan_rows = met.filter(F.col("side") != "matched").select("page_key", F.col("side").alias("category")).distinct() \
         .select("page_key", "category", F.lit(None).cast("string").alias("reason"))
-    facts = pages.select("page_key", "html",
-                         F.octet_length("html").alias("n_bytes"),
-                         content_corruption_reason("html").alias("corruption"))
-    facts = extract_metadata(html_pass(facts, ["page_key", "n_bytes", "corruption"], parts=("meta",))) \
-        .select("page_key", "n_bytes", "corruption", "canonical_slug")
-    m = scan_fetch_meta(meta).select("page_key", "meta_valid", "has_source_url", "meta_source_url")
-    p = facts.join(m, "page_key")
+    p = met.filter(F.col("side") == "matched")
     expected = url_filename("meta_source_url")
     no_source = F.col("meta_valid") & F.col("meta_source_url").isNull()     # key absent, or its value null
     f = lambda cond, cat, reason: F.when(cond, F.struct(F.lit(cat).alias("category"),

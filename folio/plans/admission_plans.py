@@ -154,3 +154,14 @@ def ingest_pages_q(fx):
     """K9: crawl results -> stored page + metadata, short error pages -> retry."""
     crawled = fx["fx_pages"].select(F.col("source_url").alias("url"), "html")
     return AD.ingest_pages(crawled, FETCH_TS)
+
+
+@plan("ingest_repeats", W("fx_odd_pages") + """c AS (SELECT * FROM fx_odd_pages UNION ALL SELECT * FROM fx_odd_pages WHERE kind IN ('b', 'home', 'none')),
+k AS (SELECT source_url, CASE WHEN kind IN ('malformed', 'none') THEN NULL WHEN kind = 'home' THEN '_' ELSE concat('post-', CAST(doc_id AS VARCHAR)) END AS page_key FROM c)
+SELECT source_url, page_key, CASE WHEN page_key IS NULL THEN 'malformed'
+  WHEN row_number() OVER (PARTITION BY page_key ORDER BY source_url) = 1 THEN 'store' ELSE 'exists' END AS action FROM k""")
+def ingest_repeats_q(fx):
+    """K9 on a crawl with repeated rows, shared keys and malformed URLs: one page is stored a key."""
+    odd = fx["fx_odd_pages"]
+    crawled = odd.unionByName(odd.filter(F.col("kind").isin("b", "home", "none"))).select(F.col("source_url").alias("url"), "html")
+    return AD.ingest_pages(crawled, FETCH_TS).select("source_url", "page_key", "action")

@@ -5,6 +5,7 @@ URL shapes from the generated pages)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from folio.functions.urls import OTHER_SCHEME_RX
 from folio.operators import discovery as D
@@ -133,3 +134,32 @@ def next_crawl_job_q(fx):
 def sorted_urls_q(fx):
     """O1: ascending order of a URL set (range-partitioned sort)."""
     return D.known_urls(fx["fx_aliases"], fx["fx_queue"]).orderBy("url")
+
+
+@plan("discovery_job", _LINKS + f"""SELECT 'new' AS output, url AS k, CAST(1 AS BIGINT) AS n FROM NEWU
+UNION ALL SELECT 'job', url, 1 FROM NEWU
+UNION ALL SELECT 'external', concat(source_key, ' ', href), CAST(count(*) AS BIGINT) FROM C WHERE link_class = 'external' GROUP BY 2
+UNION ALL SELECT 'count', link_class, CAST(count(*) AS BIGINT) FROM C GROUP BY link_class
+UNION ALL SELECT 'count', 'approved_article', CAST(count(*) AS BIGINT) FROM AP""")
+def discovery_job_q(fx):
+    """A2 + X2 + X5 + K4 as one job: one pass over the HTML, one link table, all outputs."""
+    out = D.discovery_job(links_of(fx), ignored_of(fx), fx["fx_aliases"], fx["fx_queue"], scratch_path(fx.spark, "links"), JOB_TS)
+    one = F.lit(1).cast("bigint").alias("n")
+    external = out["external"].groupBy(F.concat_ws(" ", "source_article_key", "external_url").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return (out["new_urls"].select(F.lit("new").alias("output"), F.col("url").alias("k"), one)
+            .unionByName(out["crawl_job"].select(F.lit("job").alias("output"), F.col("url").alias("k"), one))
+            .unionByName(external.select(F.lit("external").alias("output"), "k", "n"))
+            .unionByName(out["counts"].select(F.lit("count").alias("output"), F.col("link_class").alias("k"), F.col("n_links").alias("n"))))
+
+
+@plan("discover_to_the_end", _LINKS.replace("WITH", "WITH RECURSIVE", 1).rstrip() + f""",
+STEP AS (SELECT DISTINCT source_key, {d_canonical('href')} AS url FROM AP WHERE {d_canonical('href')} NOT IN (SELECT url FROM KU)),
+REACH(url) AS (SELECT url FROM STEP WHERE source_key IN (SELECT concat('post-', CAST(doc_id AS VARCHAR)) FROM fx_docs WHERE host = 'author1.substack.com')
+  UNION SELECT STEP.url FROM REACH JOIN STEP ON STEP.source_key = split_part(REACH.url, '/p/', 2))
+SELECT url FROM REACH""")
+def discover_to_the_end_q(fx):
+    """T4 to its end: from the stored pages of one author, round by round, until nothing is new."""
+    pages = scan_pages(fx["fx_pages"])
+    table, _ = D.link_table(D.extract_links(pages), ignored_of(fx), fx["fx_aliases"], scratch_path(fx.spark, "links"))
+    start = pages.filter(F.col("source_url").startswith("https://author1.substack.com/")).select("page_key")
+    return D.discover_to_the_end(table, start, fx["fx_aliases"], fx["fx_queue"]).select("url")

@@ -234,7 +234,7 @@ def write_articles_q(fx):
 v1 AS (SELECT *, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS batch_id FROM a)
 SELECT CAST(0 AS BIGINT) AS version, article_key, CAST(0 AS BIGINT) AS batch_id, digest FROM a
 UNION ALL SELECT 1, article_key, batch_id, digest FROM v1
-UNION ALL SELECT 2, article_key, batch_id, digest FROM v1 WHERE split_part(split_part(source_url, '://', 2), '/', 1) NOT IN ('www.custom1.com', 'www.custom4.com')""")
+UNION ALL SELECT 2, article_key, batch_id, digest FROM v1 WHERE split_part(split_part(source_url, '://', 2), '/', 1) NOT IN ('www.custom0.com', 'www.custom1.com', 'www.custom4.com')""")
 def article_versions_q(fx):
     """K1 + M4: the store's versions after a first batch, an overlapping second one and a
     prune of the ignored hosts; all three stay readable."""
