@@ -55,32 +55,25 @@ def feed_entries(feeds: DataFrame) -> DataFrame:
     root = F.regexp_extract(x, ROOT_RX, 1)
     parsed = F.from_xml(x, FEED_XML_SCHEMA, {"mode": "PERMISSIVE",
                                              "columnNameOfCorruptRecord": "_corrupt_record"})
-    f = feeds.select("feed_url", x.alias("xml"), root.alias("root"), parsed.alias("v"))
+    # behind a generator each document is parsed once, whatever reads the parsed column
+    f = feeds.select("feed_url", x.alias("xml"), root.alias("root"), F.explode(F.array(parsed)).alias("v"))
     ok = F.col("v._corrupt_record").isNull() & (F.col("root") != "")
     kind = F.when(~ok, F.lit("error")).when(F.col("root") == "feed", F.lit("atom")) \
             .when(F.col("root") == "rss", F.lit("rss")).otherwise(F.lit("error"))
     f = f.withColumn("kind", kind)
-    atom = f.filter(F.col("kind") == "atom").select(
-        "feed_url", "kind", F.col("v.entry").alias("entries"),
-        F.expr(f"xpath(xml, \"{ATOM_DATE_XPATH}\")").alias("dates"))
-    atom = atom.select("feed_url", "kind", F.posexplode(F.arrays_zip("entries", "dates")).alias("pos", "e")) \
-        .select("feed_url", "kind", "pos",
-                F.col("e.entries.link")[0]["_href"].alias("link"),
-                feed_date_atom(F.col("e.dates")).alias("published_date"),
-                feed_post_id(F.coalesce(F.col("e.entries.id"), F.col("e.entries.guid"))).alias("post_id"),
-                F.lit(None).cast("string").alias("error"))
-    rss = f.filter(F.col("kind") == "rss").select(
-        "feed_url", "kind", F.posexplode(F.col("v.channel.item")).alias("pos", "e")) \
-        .select("feed_url", "kind", "pos", F.col("e.link").alias("link"),
-                feed_date_rss(F.col("e.pubDate")).alias("published_date"),
-                feed_post_id(F.coalesce(F.col("e.id"), F.col("e.guid._VALUE"))).alias("post_id"),
-                F.lit(None).cast("string").alias("error"))
-    err = f.filter(F.col("kind") == "error").select(
-        "feed_url", "kind", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("link"),
-        F.lit(None).cast("string").alias("published_date"), F.lit(None).cast("string").alias("post_id"),
-        F.when(F.col("v._corrupt_record").isNotNull(), F.lit(MALFORMED_XML))
-         .otherwise(F.concat(F.lit(UNKNOWN_ROOT + ": "), F.col("root"))).alias("error"))
-    return atom.unionByName(rss).unionByName(err)
+    none = F.lit(None).cast("string")
+
+    def row(pos, link, date, post_id, error=none):
+        return F.struct(pos.cast("int").alias("pos"), link.alias("link"), date.alias("published_date"), post_id.alias("post_id"), error.alias("error"))
+
+    dates = F.expr(f"CASE WHEN kind = 'atom' THEN xpath(xml, \"{ATOM_DATE_XPATH}\") END")
+    atom = F.transform(F.arrays_zip(F.col("v.entry").alias("entry"), dates.alias("date")), lambda e, i: row(
+        i, F.get(e["entry"]["link"], F.lit(0))["_href"], feed_date_atom(e["date"]), feed_post_id(F.coalesce(e["entry"]["id"], e["entry"]["guid"]))))
+    rss = F.transform(F.col("v.channel.item"), lambda e, i: row(
+        i, e["link"], feed_date_rss(e["pubDate"]), feed_post_id(F.coalesce(e["id"], e["guid"]["_VALUE"]))))
+    reason = F.when(F.col("v._corrupt_record").isNotNull(), F.lit(MALFORMED_XML)).otherwise(F.concat(F.lit(UNKNOWN_ROOT + ": "), F.col("root")))
+    entries = F.when(F.col("kind") == "atom", atom).when(F.col("kind") == "rss", rss).otherwise(F.array(row(F.lit(None), none, none, none, reason)))
+    return f.select("feed_url", "kind", F.explode(entries).alias("e")).select("feed_url", "kind", "e.*")
 
 
 def in_date_range(date, start, end):
@@ -122,13 +115,16 @@ def new_articles(candidates: DataFrame, completed: DataFrame) -> DataFrame:
     return c.drop("_slug")
 
 
-def stage_counts(candidates: DataFrame, new: DataFrame) -> DataFrame:
-    """A4: per job, candidates, already complete and new."""
-    c = candidates.groupBy("job_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_candidates"))
-    n = new.groupBy("job_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_new"))
-    return c.join(n, "job_id", "left").select(
-        "job_id", "n_candidates", (F.col("n_candidates") - F.coalesce("n_new", F.lit(0))).cast("bigint")
-        .alias("n_completed"), F.coalesce("n_new", F.lit(0)).cast("bigint").alias("n_new"))
+def stage_counts(candidates: DataFrame, completed: DataFrame) -> DataFrame:
+    """A4: per job, candidates, already complete and new (as J2 decides), in one aggregate
+    over the candidates."""
+    done = completed_set(completed).select(F.col("post_id").alias("_d"))
+    by_id, by_slug = (done.select(F.col("_d").alias(k), F.lit(True).alias(f"{k}_done")) for k in ("_i", "_s"))
+    c = candidates.withColumn("_slug", url_slug("link"))
+    c = c.join(by_id, F.col("post_id") == F.col("_i"), "left").join(by_slug, F.col("_slug") == F.col("_s"), "left")
+    known = F.coalesce("_i_done", "_s_done", F.lit(False))
+    return c.groupBy("job_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_candidates"), F.count_if(known).cast("bigint").alias("n_completed"),
+                                   F.count_if(~known).cast("bigint").alias("n_new"))
 
 
 def write_url_queue(new: DataFrame) -> DataFrame:

@@ -109,8 +109,7 @@ SELECT CC.job_id, CC.n AS n_candidates, CAST(CC.n - coalesce(NN.n, 0) AS BIGINT)
   CAST(coalesce(NN.n, 0) AS BIGINT) AS n_new FROM CC LEFT JOIN NN ON CC.job_id = NN.job_id""")
 def stage_counts_q(fx):
     """A4."""
-    cand = AD.job_candidates(fx["fx_jobs"], _entries(fx))
-    return AD.stage_counts(cand, AD.new_articles(cand, fx["fx_completed"]))
+    return AD.stage_counts(AD.job_candidates(fx["fx_jobs"], _entries(fx)), fx["fx_completed"])
 
 
 @plan("write_url_queue", _ADM + "SELECT job_id AS list_name, CAST(pos AS BIGINT) AS pos, link AS url, "

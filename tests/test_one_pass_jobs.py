@@ -55,6 +55,16 @@ def test_integrity_joins_once(spark, monkeypatch):
     assert {r.category for r in found.select("category").distinct().collect()} == {"orphaned_html", "orphaned_meta", "corrupt_html", "corrupt_meta", "mismatched"}
 
 
+def test_feeds_are_parsed_once(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    feeds = spark.createDataFrame(fx["fx_feeds"].limit(5).collect(), fx["fx_feeds"].schema)
+    plan = admission.feed_entries(feeds)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1 and plan.count("LogicalRDD") == 1
+    odd = spark.createDataFrame([("a", None), ("b", ""), ("c", "<rss><channel/></rss>"), ("d", "<feed/>"), ("e", "<feed><entry><updated>2024-01-02T</updated></entry></feed>")], "feed_url string, xml string")
+    got = {r.feed_url: (r.kind, r.link, r.published_date) for r in admission.feed_entries(odd).collect()}
+    assert got["e"] == ("atom", None, "2024-01-02") and "c" not in got and "d" not in got and got["b"][0] == "error"
+
+
 def test_pruning_removes_rows(spark):
     fx = Fixtures(spark, SF_SMALL)
     condemned = maintenance.prune_candidates(fx["fx_meta"], ignore_set(fx["fx_ignored"]))
