@@ -126,7 +126,7 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
                        F.xxhash64("html").alias("html_hash"))
     done = completed_set(completed).select(F.col("post_id").alias("done_id"), F.lit(True).alias("in_ledger"))
     keys = ["page_key", "source_url", "row_id", "html_hash"]
-    known = key_filter(done, "done_id") if parts else None
+    known = key_filter(completed, "post_id") if parts else None
     parsed = materialize(html_pass(src, keys, parts=("meta", *parts), known=known), "parsed-pages", path=work_dir)
     p = extract_metadata(parsed.select("row_id", "html_hash", "page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
                                        "title_text", "meta_author", "meta_published", "canonical_href"))

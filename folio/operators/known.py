@@ -13,8 +13,9 @@ import struct
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits a key, probes a key (the four words of an MD5), and the filter's bounds in bits (64 MB).
-BITS_PER_KEY, PROBES, LEAST_BITS, MOST_BITS = 12, 4, 1 << 15, 1 << 29
+#: Bits a key (5 of 10,000 unknown keys pass), probes a key (the four words of an MD5), and the
+#: filter's bounds in bits (128 kB, 64 MB).
+BITS_PER_KEY, PROBES, LEAST_BITS, MOST_BITS = 24, 4, 1 << 20, 1 << 29
 _BUCKET = 32_768
 
 
