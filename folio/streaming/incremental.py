@@ -11,7 +11,8 @@ operators on each micro-batch:
   URLs that were discovered — is one versioned ledger (``sources.versioned``): a batch
   reads the version before it, a bounded number of files however many batches
   there were, and publishes its additions in one step after its results. A replay
-  after that step finds its batch applied and does nothing;
+  after that step finds its batch applied and does nothing. Batch numbers are those of the
+  checkpoint, so an output folder belongs to one checkpoint: a new one needs a new folder;
 * a page key belongs to the first page stored under it, in whatever batch: later
   pages of other URLs go to quarantine (T3);
 * the parsed pages of a batch are scratch and go when its results are written.
