@@ -17,7 +17,7 @@ from folio.functions import (host_first_label, page_key, url_canonical, url_doma
                              url_host)
 from folio.functions.urls import OTHER_SCHEME_RX, classify_parts, with_url_parts
 from folio.operators.html_pass import html_pass
-from folio.operators.joins import lookup
+from folio.operators.joins import heavy_hitters, hot_keys, lookup, semi_join_hot
 from folio.session import materialize
 from folio.sources.tables import alias_map, scan_url_queue
 
@@ -88,15 +88,33 @@ def known_urls(aliases: DataFrame, queue: DataFrame) -> DataFrame:
         .filter(F.col("url").isNotNull()).distinct()
 
 
-def approved_articles(classified: DataFrame, domains: DataFrame | None) -> DataFrame:
+def hot_hosts(links: DataFrame, host: str = "host") -> list[str]:
+    """Hosts that hold enough of the links to fill a shuffle partition: one pass over the host
+    column, a bounded list."""
+    found = links.agg(heavy_hitters(host).alias("hot")).first()["hot"]
+    return hot_keys(found, int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def approved_articles(classified: DataFrame, domains: DataFrame | None, hot: list[str] | None = None) -> DataFrame:
     """article links whose host is a known domain; ``domains=None`` is the
-    expand mode (every article link approved)."""
+    expand mode (every article link approved).
+
+    ``hot``: hosts known to hold a large share of the links (``hot_hosts``), which are then
+    looked up without a shuffle. It makes two filters of the links, so give it for links that
+    are stored, not for ones that still come from the HTML pass."""
     arts = classified.filter(F.col("link_class") == "substack_article")
     if domains is None:
         return arts
     d = F.col(_P + "host") if _P + "host" in arts.columns else url_domain("href")
-    a = arts.withColumn("_d", d)
-    return a.join(domains.select(F.col("domain").alias("_d")), "_d", "left_semi").drop("_d")
+    return semi_join_hot(arts.withColumn("_d", d), "_d", domains.select("domain"), hot or []).drop("_d")
+
+
+def known_domain_links(links: DataFrame, ignored: DataFrame, domains: DataFrame) -> DataFrame:
+    """F4 as a job of its own: the article links are stored once with their hosts, a sketch
+    over the stored hosts finds the hot ones, and only the other links are shuffled by host."""
+    kept = classify(drop_ignored(links, ignored)).filter(F.col("link_class") == "substack_article")
+    stored = materialize(strip_link_parts(kept.withColumn("host", F.col(_P + "host"))), "article-links")
+    return semi_join_hot(stored, "host", domains.select("domain"), hot_hosts(stored)).drop("host")
 
 
 def discover(links: DataFrame, ignored: DataFrame, aliases: DataFrame, queue: DataFrame,

@@ -68,8 +68,7 @@ def links_by_class_q(fx):
 @plan("known_domain_links", _LINKS + "SELECT source_key, pos, href FROM AP")
 def known_domain_links_q(fx):
     """F4 (default mode: known domains only)."""
-    kept = D.classify(D.drop_ignored(links_of(fx), ignored_of(fx)))
-    return D.approved_articles(kept, D.known_domains(fx["fx_aliases"])).select("source_key", "pos", "href")
+    return D.known_domain_links(links_of(fx), ignored_of(fx), D.known_domains(fx["fx_aliases"])).select("source_key", "pos", "href")
 
 
 @plan("known_domains", _LINKS + "SELECT domain FROM KD")

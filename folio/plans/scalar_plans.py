@@ -104,14 +104,15 @@ def feed_post_id(fx):
 
 
 @plan("feed_date", W("fx_feed_entries") + "x AS (SELECT 1) SELECT doc_id, fk AS kind, "
-      "CASE WHEN fk = 'atom' AND doc_id % 2 = 0 THEN upd ELSE pub END AS published_date "
-      "FROM fx_feed_entries WHERE fk IN ('atom', 'rss')")
+      "CASE WHEN fk = 'atom' AND doc_id % 2 = 0 THEN upd WHEN fk IN ('atom', 'rss') THEN pub END AS published_date "
+      "FROM fx_feed_entries")
 def feed_date(fx):
-    """U10 on the date texts of feed entries (Atom: first of updated/published)."""
-    e = fx["fx_feed_entries"].filter(F.col("fk").isin("atom", "rss"))
+    """U10 on the date texts of feed entries (Atom: first of updated/published); entries of
+    other kinds have no date."""
+    e = fx["fx_feed_entries"]
     atom_txt = F.regexp_extract("entry", r"<(?:updated|published)>([^<]*)<", 1)
     rss_txt = F.regexp_extract("entry", r"<pubDate>([^<]*)<", 1)
-    d = F.when(F.col("fk") == "atom", U.feed_date_atom(atom_txt)).otherwise(U.feed_date_rss(rss_txt))
+    d = F.when(F.col("fk") == "atom", U.feed_date_atom(atom_txt)).when(F.col("fk") == "rss", U.feed_date_rss(rss_txt))
     return e.select("doc_id", F.col("fk").alias("kind"), d.alias("published_date"))
 
 

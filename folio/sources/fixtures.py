@@ -160,13 +160,13 @@ UNION ALL SELECT 'list-bad' AS list_name, CAST(doc_id AS BIGINT) AS pos, concat(
 UNION ALL SELECT 'list-retry' AS list_name, CAST(doc_id AS BIGINT) AS pos, concat('https://', host, '/p/post-', CAST(doc_id AS {S}), '?retry=1') AS url, 'done' AS state FROM {fx_docs} WHERE doc_id % 13 = 0
 """)
 
-# Job specs: url-list jobs of at most five URLs, one author job per host
+# Job specs: url-list jobs of at most ten URLs, one author job per host
 # (dotted = custom domain, undotted = platform author) with varied date ranges,
 # and one spec of unknown type.
 _JOBS = """
 SELECT concat('urls-', CAST(CAST(floor(doc_id / 10) AS BIGINT) AS {S})) AS job_id, @sorted_urls@ AS urls,
        CAST(NULL AS {S}) AS author, CAST(NULL AS @range_t@) AS date_range
-FROM (SELECT doc_id, """ + _SRC + """ AS src FROM {fx_docs} WHERE doc_id % 2 = 0) u
+FROM (SELECT doc_id, """ + _SRC + """ AS src FROM {fx_docs}) u
 GROUP BY CAST(floor(doc_id / 10) AS BIGINT)
 UNION ALL
 SELECT concat('author-', a) AS job_id, CAST(NULL AS @list_t@) AS urls, a AS author,

@@ -6,7 +6,7 @@ Each reader is a DataFrame transformation so it composes with any upstream
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.functions import meta_slug, page_key, strip_ws
@@ -58,15 +58,30 @@ def scan_url_queue(queue: DataFrame, states=("pending", "done")) -> DataFrame:
             .select("list_name", "pos", "url", "state")
 
 
+def numbered_lines(spark: SparkSession, path_glob: str) -> DataFrame:
+    """The lines of text files with their file and exact line number (``pos``, from 0).
+
+    No file is read whole: files are split over tasks like any other text, a first pass counts
+    the lines of each split, prefix sums over the splits of a file (one row a split) give the
+    number of its first line, and the second pass adds the place within the split. Only the
+    counts are shuffled. Lines end in ``\\n`` or ``\\r\\n``."""
+    lines = spark.read.option("lineSep", "\n").text(path_glob).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("list_name"),
+        F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"),
+        F.regexp_replace("value", r"\r$", "").alias("line"))
+    earlier = Window.partitionBy("s_file").orderBy("s_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy(F.col("file").alias("s_file"), F.col("split").alias("s_split")) \
+        .agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")) \
+        .select("s_file", "s_split", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    return lines.join(splits, (F.col("file") == F.col("s_file")) & (F.col("split") == F.col("s_split"))) \
+        .select("file", "list_name", (F.col("at") + F.col("shift")).alias("pos"), "line")
+
+
 def read_url_lists(spark: SparkSession, path_glob: str, state: str) -> DataFrame:
-    """S3 over ``*.txt`` URL lists; ``pos`` is the exact line number within its
-    file (each list is read whole and split, so the order never depends on how
-    the file was split into tasks)."""
-    df = spark.read.text(path_glob, wholetext=True)
-    lines = df.select(F.col("_metadata.file_name").alias("list_name"),
-                      F.posexplode(F.split(F.col("value"), r"\r?\n", -1)).alias("pos", "url"))
-    return scan_url_queue(lines.select("list_name", F.col("pos").cast("bigint").alias("pos"), "url",
-                                       F.lit(state).alias("state")), states=(state,))
+    """S3 over ``*.txt`` URL lists of any size; ``pos`` is the exact line number within its
+    file, blank lines counted but dropped."""
+    lines = numbered_lines(spark, path_glob)
+    return scan_url_queue(lines.select("list_name", "pos", F.col("line").alias("url"), F.lit(state).alias("state")), states=(state,))
 
 
 def completed_set(completed: DataFrame) -> DataFrame:

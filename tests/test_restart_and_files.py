@@ -124,3 +124,23 @@ def test_queries_run_from_another_folder():
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=300)
     assert "rows 200" in out.stdout, out.stderr[-2000:]
+
+
+def test_line_numbers_of_a_list_split_over_tasks(spark):
+    """A list cut into many splits, with blank lines and both line ends: positions are exact."""
+    import random
+    rnd = random.Random(5)
+    d = tempfile.mkdtemp(prefix="folio-long-lists-")
+    want = []
+    for name, n in (("long.txt", 6000), ("short.txt", 3)):
+        lines = ["" if rnd.random() < 0.1 else f"https://h{rnd.randrange(9)}.org/p/{'x' * rnd.randrange(60)}{i}" for i in range(n)]
+        open(f"{d}/{name}", "w", newline="").write("".join(s + rnd.choice(["\n", "\r\n"]) for s in lines))
+        want += [(name, i, s) for i, s in enumerate(lines) if s]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        assert spark.read.text(d).rdd.getNumPartitions() > 20
+        got = sorted((r.list_name, r.pos, r.url) for r in read_url_lists(spark, f"{d}/*.txt", "done").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted(want)

@@ -57,3 +57,32 @@ def test_lookup_leaves_the_broadcast_to_the_planner(spark):
     side = lookup(spark.range(1000).withColumnRenamed("id", "k"))
     plan = spark.range(10).join(side, F.col("id") == F.col("k"))._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan and len(tracker.getJobIdsForGroup()) == before
+
+
+def test_hot_host_is_looked_up_without_a_shuffle(spark):
+    """Half of the links lie on one host: it is found, its links meet a broadcast row, and no
+    shuffle partition of the others holds more than three times the median."""
+    from folio.operators.joins import heavy_hitters, hot_keys, semi_join_hot
+    rnd = random.Random(3)
+    hosts = ["hot.org" if i % 2 else f"h{rnd.randrange(4000)}.org" for i in range(40_000)] + [None] * 50
+    links = spark.createDataFrame([(i, h) for i, h in enumerate(hosts)], "pos long, host string")
+    known = {"hot.org"} | {f"h{k}.org" for k in range(0, 4000, 3)}
+    right = spark.createDataFrame([(h,) for h in sorted(known)], "domain string")
+    hot = hot_keys(links.agg(heavy_hitters("host").alias("h")).first()["h"], 8)
+    assert hot == ["hot.org"]
+    got = sorted(r.pos for r in semi_join_hot(links, "host", right, hot).collect())
+    assert got == [i for i, h in enumerate(hosts) if h in known]
+    rest = links.filter(~F.col("host").isin(hot)).repartition(8, "host").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    sizes = sorted(r["count"] for r in rest)
+    assert len(sizes) == 8 and sizes[-1] <= 3 * sizes[4]
+
+
+def test_no_hot_host(spark):
+    from folio.operators.joins import heavy_hitters, hot_keys, semi_join_hot
+    links = spark.createDataFrame([(i, f"h{i}") for i in range(500)], "pos long, host string")
+    hot = hot_keys(links.agg(heavy_hitters("host").alias("h")).first()["h"], 8)
+    assert hot == []
+    right = spark.createDataFrame([("h3",), ("x",)], "domain string")
+    assert [r.pos for r in semi_join_hot(links, "host", right, hot).collect()] == [3]
+    empty = links.limit(0)
+    assert hot_keys(empty.agg(heavy_hitters("host").alias("h")).first()["h"], 8) == []
