@@ -16,7 +16,9 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -55,16 +57,28 @@ def parts_of(raw: bytes) -> list[tuple[int, int, int]]:
     if b"AKIA" in raw:
         found += [(1, *m.span()) for m in ACCESS.finditer(raw)]
     found += [(2, *m.span()) for m in HEX.finditer(raw)]
-    strong = sorted(x[1:] for x in found if x[0] < 3)
+    strong = _Spans(x[1:] for x in found if x[0] < 3)
     weak = [(3, *m.span()) for m in ACCOUNT.finditer(raw)] + [(6, *m.span()) for m in ENDPOINT.finditer(raw)] if b"=" in raw or b":" in raw else []
     if found or weak:  # a long key alone links to nothing
         weak += [(5, *m.span()) for m in LONGKEY.finditer(raw)]
-    found = [x for x in found if x[0] < 3] + [x for x in weak + [x for x in found if x[0] == 4] if not _inside(x, strong)]
+    found = [x for x in found if x[0] < 3] + [x for x in weak + [x for x in found if x[0] == 4] if not strong.touch(*x[1:])]
     return sorted(found, key=lambda x: (x[1], x[0]))
 
 
-def _inside(part, strong) -> bool:
-    return any(a <= part[1] < b or a < part[2] <= b for a, b in strong)
+class _Spans:
+    """Spans by their starts, with the farthest end up to each: one binary search a question."""
+
+    def __init__(self, spans):
+        spans = sorted(spans)
+        self.starts = [a for a, _ in spans]
+        self.ends = list(accumulate((b for _, b in spans), max))
+
+    def touch(self, start: int, end: int) -> bool:
+        """Does either end of the span lie in one of these?"""
+        return self._reaches(bisect_right(self.starts, start), start + 1) or self._reaches(bisect_left(self.starts, end), end)
+
+    def _reaches(self, n: int, place: int) -> bool:
+        return n > 0 and self.ends[n - 1] >= place
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

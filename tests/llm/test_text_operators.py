@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -329,3 +330,21 @@ def test_language_training_ignores_held_out_labels(spark):
     other = [(d, t, f"x{d}" if held(d) else lang, s) for d, t, lang, s in rows + [(d, "la vie", None, "s") for d in range(1000, 3000) if held(d)]]
     a, b = language_id.train(brute.frame(spark, rows)), language_id.train(brute.frame(spark, other))
     assert a.languages == b.languages == ["de", "en"] and np.array_equal(a.weights, b.weights) and np.array_equal(a.bias, b.bias)
+
+
+def test_strong_spans_against_brute_force():
+    r = random.Random(9)
+    for _ in range(300):
+        spans = [(a, a + r.randint(1, 9)) for a in (r.randrange(40) for _ in range(r.randrange(6)))]
+        held = secret_scan._Spans(spans)
+        for start in range(45):
+            for end in range(start + 1, start + 6):
+                assert held.touch(start, end) == any(a <= start < b or a < end <= b for a, b in spans)
+
+
+def test_secrets_of_a_very_long_text():
+    """Twenty thousand pairs of an endpoint and a hex secret in one text: no pair is compared."""
+    pair = b"https://h.example.org/x " + b"0123456789abcdef" * 2 + b"\n"
+    began = time.perf_counter()
+    parts = secret_scan.parts_of(pair * 20_000)
+    assert len(parts) == 40_000 and time.perf_counter() - began < 5
