@@ -23,13 +23,14 @@ that do not part words by spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese)
 their own.
 
 Results for odd input: null and empty texts match nothing; an item of fewer than ``LEAST``
-words matches nothing; items of fewer than ``WIDTH`` words are one window; repeated rows and
+words matches nothing; very long and repetitive texts take bounded memory; items of fewer than ``WIDTH`` words are one window; repeated rows and
 equal ids are judged each; an empty table on either side gives no row; other columns are
 ignored (``drop_contaminated`` carries them).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -48,6 +49,7 @@ COVERAGE = 0.5
 AGREE = 0.8
 BAND = 8  # words put in or left out that an alignment may hold
 BLOCK_BYTES = 16 << 20
+HITS = 1 << 19  # occurrences of an item's windows in a document held at a time
 U64 = np.uint64
 
 UNITS = """mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms pound pounds ounce ounces ton tons
@@ -176,7 +178,8 @@ _OPENER_HASHES = frozenset(_word_values(OPENERS).tolist())
 class Table(NamedTuple):
     """Windows of a block of items of one kind (a column of ``Template``) and width: sorted
     keys, and for each key the span of ``item`` and ``place`` that holds where it stands;
-    ``totals`` are the windows of each item."""
+    ``totals`` are the windows of each item, ``by_item`` the rows in order of items and
+    ``item_first`` where an item's begin."""
 
     kind: str
     width: int
@@ -186,6 +189,8 @@ class Table(NamedTuple):
     place: np.ndarray
     maybe: np.ndarray
     totals: np.ndarray
+    by_item: np.ndarray
+    item_first: np.ndarray
 
 
 class Block(NamedTuple):
@@ -217,41 +222,46 @@ def _tables(kind: str, words: Template, slot: np.ndarray, wanted: np.ndarray) ->
         unique, begin = np.unique(keys[order], return_index=True)
         maybe = np.zeros(1 << 20, dtype=bool)
         maybe[(unique >> U64(44)).astype(np.int64)] = True
-        tables.append(Table(kind, width, unique, np.append(begin, len(keys)), item[order], where[order] - words.first[item[order]], maybe, np.bincount(item, minlength=len(counts))))
+        totals, item = np.bincount(item, minlength=len(counts)), item[order]
+        tables.append(Table(kind, width, unique, np.append(begin, len(keys)), item, where[order] - words.first[item], maybe, totals, np.argsort(item, kind="stable"), np.cumsum([0, *totals])))
     return tables
 
 
 def matches(texts: H.Texts, block: Block) -> list[tuple]:
-    """(document, item, matched, total, slots, changed) of the leaked items of a slice."""
+    """(document, item, matched, total, slots, changed) of the leaked items of a slice.
+
+    Which items have enough windows in a document is told by the document's different windows;
+    all occurrences are looked at only for those, ``HITS`` at a time."""
     found, words = {}, canonical(texts)
-    for kind, width, keys, begin, item, place, maybe, totals in block.tables:
-        where, hashes = H.window_hashes(getattr(words, kind), words.first, width)
-        near = maybe[(hashes >> U64(44)).astype(np.int64)]
+    for table in block.tables:
+        keys, begin, item, place, totals = table.keys, table.begin, table.item, table.place, table.totals
+        where, hashes = H.window_hashes(getattr(words, table.kind), words.first, table.width)
+        near = table.maybe[(hashes >> U64(44)).astype(np.int64)]
         where, hashes = where[near], hashes[near]
         if not len(where):
             continue
         k = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
         hit = keys[k] == hashes
         where, k = where[hit], k[hit]
-        many = begin[k + 1] - begin[k]
-        at = np.repeat(begin[k] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        where = np.repeat(where, many)
         doc = np.searchsorted(words.first, where, "right") - 1
-        pair = doc * len(totals) + item[at]
-        order = np.lexsort((where, place[at], pair))
-        pair, where, spot = pair[order], where[order], place[at][order]
-        new = np.ones(len(pair), dtype=bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (spot[1:] != spot[:-1])
-        pairs, counts = np.unique(pair[new], return_counts=True)
+        # the first place in the document of each of its windows, spread over the items' places
+        _, first = np.unique(doc * len(keys) + k, return_index=True)
+        many = begin[k[first] + 1] - begin[k[first]]
+        at = _spread(begin[k[first]], many)
+        pair = np.repeat(doc[first], many) * len(totals) + item[at]
+        order = np.lexsort((place[at], pair))
+        pair, spot, earliest = pair[order], place[at][order], np.repeat(where[first], many)[order]
+        pairs, counts = np.unique(pair, return_counts=True)
         pairs = pairs[counts >= COVERAGE * totals[pairs % len(totals)]]
         for p, a, b in zip(pairs.tolist(), np.searchsorted(pair, pairs).tolist(), np.searchsorted(pair, pairs, "right").tolist(), strict=True):
             d, it = divmod(p, len(totals))
             total, best = int(totals[it]), None
-            for rows in _alignments(where[a:b], spot[a:b], COVERAGE * total):
-                slots, changed, agree = _slots(words, block.words, where[a:b][rows], spot[a:b][rows] + block.words.first[it], width)
-                if agree and (best is None or (len(rows), -changed) > (best[0], -best[2])):
-                    best = len(rows), slots, changed
-                    if len(rows) == total and not changed:
+            lo, hi = np.searchsorted(doc, [d, d + 1])
+            for there, spots in _alignments(earliest[a:b], spot[a:b], where[lo:hi], k[lo:hi], table, words, d, it):
+                slots, changed, agree = _slots(words, block.words, there, spots + block.words.first[it], table.width)
+                if agree and (best is None or (len(spots), -changed) > (best[0], -best[2])):
+                    best = len(spots), slots, changed
+                    if len(spots) == total and not changed:
                         break
             # the best kind of windows: the most of them, then the fewest changes
             if best and ((d, it) not in found or (best[0] / total, -best[2]) > (found[d, it][0] / found[d, it][1], -found[d, it][3])):
@@ -259,27 +269,61 @@ def matches(texts: H.Texts, block: Block) -> list[tuple]:
     return [(*pair, *said) for pair, said in found.items()]
 
 
-def _alignments(where: np.ndarray, spot: np.ndarray, least: float) -> Iterator[np.ndarray]:
-    """Rows of the hits of a document and item (sorted by spot, then where) that are judged
-    together, one for each spot and at least ``least``: the first of every spot, then those
-    on each diagonal, with and without what is near it."""
-    yield np.flatnonzero(np.append(True, spot[1:] != spot[:-1]))
-    diagonal = where - spot
-    order = np.argsort(diagonal, kind="stable")
-    ranked = diagonal[order]
-    every = np.unique(ranked)
-    if len(every) == 1:
-        return
-    lo, hi = np.searchsorted(ranked, every - BAND), np.searchsorted(ranked, every + BAND, "right")
-    for k in np.flatnonzero(hi - lo >= least).tolist():
-        near = order[lo[k]:hi[k]]
-        off = np.abs(diagonal[near] - every[k])
-        by = np.lexsort((off, spot[near]))
-        near, off = near[by], off[by]
-        nearest = np.append(True, spot[near[1:]] != spot[near[:-1]])
-        for rows in (near[nearest], near[off == 0]):
-            if len(rows) >= least:
-                yield rows
+def _spread(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (many[0] of them), begin[1], ..."""
+    return np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+
+
+def _alignments(earliest: np.ndarray, spots: np.ndarray, where: np.ndarray, k: np.ndarray, table: Table, words: Template, d: int, it: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(where, spot) of the hits of a document and item that are judged together, one for each
+    spot: the first occurrences of all windows, then, for every diagonal (distance between the
+    places in both) with enough hits near it, those within ``BAND`` and those on it.
+
+    A diagonal has at most one hit a spot, so diagonals are taken in runs of ``HITS`` hits at
+    most, whatever the text repeats; and a diagonal around which the document reads as around an
+    earlier one is judged like that one."""
+    yield earliest, spots
+    least = COVERAGE * int(table.totals[it])
+    rows = table.by_item[table.item_first[it]:table.item_first[it + 1]]
+    places, span = table.place[rows], int(table.place[rows].max()) + 1
+    held = (np.searchsorted(table.begin, rows, "right") - 1) * span + places  # ascending
+    if len(spots) == (np.searchsorted(held, (k + 1) * span) - np.searchsorted(held, k * span)).sum() and np.ptp(earliest - spots) == 0:
+        return  # one diagonal holds all hits
+    start, end = int(words.first[d]), int(words.first[d + 1])
+    run = max(1, HITS // len(rows) - 2 * BAND)
+    columns = (words.value, words.slot, words.loose_slot, getattr(words, table.kind))
+    judged: set[bytes] = set()
+    low, last = int(where[0]) - span + 1, int(where[-1])
+    while low <= last:
+        # hits on the diagonals low - BAND to low + run + BAND
+        part = slice(*np.searchsorted(where, [low - BAND, low + run + BAND + span]))
+        here, key = where[part], k[part] * span
+        first = np.searchsorted(held, key + np.clip(here - (low + run - 1 + BAND), 0, span))
+        many = np.maximum(np.searchsorted(held, key + np.clip(here - (low - BAND), -1, span - 1), "right") - first, 0)
+        there, spot = np.repeat(here, many), places[_spread(first, many)]
+        diagonal = there - spot
+        order = np.argsort(diagonal, kind="stable")
+        ranked = diagonal[order]
+        every = np.unique(ranked)
+        lo, hi = np.searchsorted(ranked, every - BAND), np.searchsorted(ranked, every + BAND, "right")
+        for i in np.flatnonzero((hi - lo >= least) & (every >= low) & (every < low + run)).tolist():
+            at = int(every[i])
+            a, b = max(start, at - BAND), min(end, at + BAND + span + table.width)
+            said = hashlib.blake2b(b"%d %d" % (a - at, b - at), digest_size=16)
+            for column in columns:
+                said.update(column[a:b].tobytes())
+            if said.digest() in judged:
+                continue
+            judged.add(said.digest())
+            near = order[lo[i]:hi[i]]
+            off = np.abs(diagonal[near] - at)
+            by = np.lexsort((there[near], off, spot[near]))
+            near, off = near[by], off[by]
+            nearest = np.append(True, spot[near[1:]] != spot[near[:-1]])
+            for chosen in (near[nearest], near[off == 0]):
+                if len(chosen) >= least:
+                    yield there[chosen], spot[chosen]
+        low += run
 
 
 def _slots(words: Template, items: Template, where: np.ndarray, spot: np.ndarray, width: int) -> tuple[int, int, bool]:

@@ -119,6 +119,19 @@ def test_decontamination_finds_short_and_unspaced_items(spark):
     assert sorted(got) == [(i, i) for i in range(len(items))]
 
 
+def test_decontamination_of_repetitive_texts(monkeypatch):
+    """A text and an item that repeat: found, the same in runs of any size, in linear time."""
+    item, text = "tick 5 tock 7 and " * 60, "tick 5 tock 8 and " * 3000
+    block = decontaminate.block_of([1], [item])
+    found = decontaminate.matches(decontaminate._texts([text.encode(), b"tick tock"]), block)
+    assert [(d, i, m == n) for d, i, m, n, *_ in found] == [(0, 0, True)]
+    filler = " ".join(brute.vocabulary(3, 60))
+    mixed = f"{filler} tick 5 tock 7 {item[:200]} {filler} {item} {filler}".encode()
+    whole = decontaminate.matches(decontaminate._texts([mixed]), block)
+    monkeypatch.setattr(decontaminate, "HITS", 1)
+    assert decontaminate.matches(decontaminate._texts([mixed]), block) == whole and whole
+
+
 def test_decontamination_takes_names_at_any_place(spark):
     tom = "Tom has 5 apples. Tom buys 3 more. Tom eats 2 of his apples. Tom gives 1 away. How many are left?"
     alice = "In town Alice and Bob met Carol, then Alice told Bob that Carol and Alice like Bob."
