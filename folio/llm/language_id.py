@@ -108,7 +108,7 @@ def train(docs: DataFrame) -> Model:
     most = max(8, min(PER_LANGUAGE, SAMPLE // known))
     draw = F.xxhash64(F.lit(SEED), "doc_id").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
     drawn = rows.join(F.broadcast(sizes), "lang").withColumn("draw", draw).filter(F.col("draw") * F.col("n") < 3.0 * most)
-    drawn = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))).filter(F.col("rank") <= most)
+    drawn = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("text")))).filter(F.col("rank") <= most)
     sample = drawn.select("lang", "text").mapInArrow(_vectors, "lang string, at binary, value binary").collect()
     if not sample:
         return Model([], [], [], np.zeros((0, DIM), np.float32), np.zeros(0, np.float32))
