@@ -1,8 +1,12 @@
 """Main text of HTML pages by minimum-cut labelling.
 
 A page is cut into its text blocks. A linear classifier prices each block as content or
-boilerplate (length, links, sentence ends, tag, and what its DOM ancestors say they are);
-the price is the capacity to the terminals. Neighbours in page order and siblings in the
+boilerplate (length, links, sentence ends, tag) and what its DOM ancestors say they are is
+added; the price is the capacity to the terminals. The classifier is a logistic regression
+fitted on the pages themselves: blocks inside article and main are examples of content, those
+inside nav, aside, footer and the like of boilerplate. Names (class, id, role) speak against a
+block only where the whole name is one of a part (``sidebar-left``, not ``tag-search`` or
+``comments-open``), and never against main. Neighbours in page order and siblings in the
 DOM are tied by smoothness edges. The minimum cut separates content from the rest.
 
 Blocks whose price outweighs all their ties are decided at once (that keeps the cut minimal)
@@ -16,17 +20,19 @@ each; null ids and urls stay; an empty table gives an empty result; other column
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|textarea|select|iframe|object|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|textarea|select|iframe|title|annotation|annotation-xml)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>?"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-z][a-z0-9:-]*)([^>]*)>"
@@ -51,10 +57,26 @@ commentlist disqus discussion respond reply replies reviews menu nav navbar navi
 topbar toolbar pagination pager login search legal copyright disclaimer skip complementary contentinfo tags outbrain taboola""".split())
 FOR = frozenset("content article articlebody post entry story main body text page".split())
 
-#: Price of a block: weights of its features (positive speaks for content).
-BIAS, LENGTH, LINKS, SENTENCE, INSIDE, OUTSIDE, MIXED, HEADING = -0.8, 2.4, -4.0, 0.8, 4.0, -7.0, -5.0, 0.6
+#: What may stand beside such words in the name of a part.
+BESIDE = frozenset("""a area areas bar bars block blocks body bottom box button buttons col column container content first fixed form global group
+header heading holder icon icons inner item items last left line link links list lists main mobile module outer page panel post posts article
+articles story stories entry primary region right row secondary section site slot small sticky sub text title top unit up wrap wrapper zone""".split())
+#: Words against that are also subjects (``legal-article``) or, as an id, a heading's anchor.
+SUBJECTS = frozenset("""alert banner discussion follow legal navigation notice notices promotion recommendation recommendations related reply
+respond response reviews search share sharing side social tags""".split())
+
+#: Price of a block: prior weights of its features (positive speaks for content) and what its
+#: ancestors add. The text's part of a price stays within ``MOST``, so that what stands inside
+#: an article is kept unless an ancestor speaks against it.
+PRIOR = (-0.8, 2.4, -4.0, 0.8, 0.6)  # constant, length, links, sentence, heading
+INSIDE, OUTSIDE, MIXED, MOST = 4.0, -7.0, -5.0, 3.5
 NEXT, NEXT_SIBLING, SIBLING = 0.25, 0.9, 0.5
 
+#: The fit reads about this many pages, drawn by a hash of page_id and url over all pages, and
+#: brings one row for each of at most 520 cells of features to the driver.
+FIT_PAGES = 20_000
+LONG, LENGTHS, SHARES = 120.0, 12, 4
+
 #: Parts of names that say which other parts a page has (``page-with-sidebar``), and parts
 #: that a wrapper's name may list beside the content's (``content-sidebar-wrap``).
 _HAS = re.compile(r"(?:^|[-_])(?:has|no|with|without)[-_].*", re.IGNORECASE)
@@ -98,27 +120,70 @@ def _says(tag: str, attributes: str, inside: bool) -> tuple[int, int]:
     kind = 0
     if attributes:
         for found in _NAMED.finditer(attributes):
+            is_id = found[0][:2].lower() == "id"
+            if is_id and tag in ANCHORED:
+                continue
             for token in (found[1] or found[2] or found[3] or "").split():
                 words = _words(_HAS.sub("", token))
                 names |= words
-                against = words & AGAINST or ("header" in words and not inside and tag not in FOR_TAGS and words)
-                if against:
-                    layout = _LAYOUT.search(token) and (words & FOR or token.lower().endswith("layout")) and words & AGAINST <= PARTS
-                    kind |= WEAK if layout else NAMED
-    if kind and not (kind == WEAK and tag in FOR_TAGS):
+                if tag == "main" or tag in FOR_TAGS and not (words and words <= OWN):
+                    continue
+                if not _is_part(token, words, inside):
+                    continue
+                if is_id and inside and words & AGAINST <= SUBJECTS:
+                    continue
+                layout = _LAYOUT.search(token) and (words & FOR or token.lower().endswith("layout")) and words & AGAINST <= PARTS
+                kind |= WEAK if layout else NAMED
+    if kind:
         return -1, NAMED if kind & NAMED else WEAK
     return (1 if tag in FOR_TAGS or names & FOR else 0), 0
 
 
+def _is_part(token: str, words: set[str], inside: bool) -> bool:
+    """Is a name that of a part of the page which is not its main text?"""
+    against = words & AGAINST or ("header" in words and not inside and words)
+    if not against or not words <= AGAINST | BESIDE | PARTS:
+        return False
+    head = _NAMES.findall(_CAMEL.sub(" ", token).lower())[-1]
+    return not (head in FOR and against <= SUBJECTS)
+
+
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p pre".split())  # their ids are anchors into the text
+#: Names that make a part of an article element.
+OWN = frozenset("ad ads advert advertisement comment comments reply teaser related sponsored promo widget recommended".split())
+
+
+class Features(NamedTuple):
+    """Features of a block's text: length and share of links in steps, sentence, heading."""
+
+    length: int
+    share: int
+    sentence: int
+    heading: int
+
+
+def values(f: Features) -> tuple[float, ...]:
+    return 1.0, f.length / LENGTHS, f.share / SHARES, float(f.sentence), float(f.heading)
+
+
 class Block:
-    __slots__ = ("text", "price", "parent")
+    """A text block: ``says`` is what its ancestors add to its price, ``label`` whether their
+    tags alone tell it content (1) or boilerplate (0), else None."""
+
+    __slots__ = ("text", "features", "says", "label", "parent")
 
-    def __init__(self, text, price, parent):
-        self.text, self.price, self.parent = text, price, parent
+    def __init__(self, text, features, says, label, parent):
+        self.text, self.features, self.says, self.label, self.parent = text, features, says, label, parent
+
+    def price(self, weights) -> float:
+        # links do not speak against what an article holds
+        f = self.features if self.label != 1 else self.features._replace(share=0)
+        score = sum(w * x for w, x in zip(weights, values(f), strict=True))
+        return max(-MOST, min(MOST, score)) + self.says
 
 
 def blocks(html: str) -> list[Block]:
-    """The text blocks of a page in order, priced."""
+    """The text blocks of a page in order."""
     out: list[Block] = []
     nodes = 1
     stack = [_Open("", 0, False, 0, 0, False)]
@@ -134,12 +199,13 @@ def blocks(html: str) -> list[Block]:
             if text:
                 top = stack[-1]
                 linked = len(" ".join(unescape("".join(links)).split())) if links else 0
-                listed = top.content and not top.outside and (top.tag == "li" or stack[-2].tag == "li")
-                price = BIAS + LENGTH * min(1.0, len(text) / 120.0) + (0.0 if listed else LINKS * min(1.0, linked / len(text)))
-                price += SENTENCE * (text[-1] in ".!?…\"'”»:") + HEADING * (top.tag in ("h1", "h2", "h3", "blockquote", "pre"))
-                price += OUTSIDE if top.says < 0 else MIXED if top.outside else INSIDE if top.inside else 0.0
+                content = top.content and not top.outside
+                features = Features(int(LENGTHS * min(1.0, len(text) / LONG)), round(SHARES * min(1.0, linked / len(text))),
+                                    int(text[-1] in ".!?…\"'”»:"), int(top.tag in ("h1", "h2", "h3", "blockquote", "pre")))
+                says = OUTSIDE if top.says < 0 else MIXED if top.outside else INSIDE if top.inside else 0.0
+                label = 1 if content else 0 if top.outside & HARD else None
                 parent = stack[-2].node if len(stack) > 1 and top.tag in ("p", "li", "td", "th", "dd", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "pre") else top.node
-                out.append(Block(text, price, parent))
+                out.append(Block(text, features, says, label, parent))
             pieces, links = [], []
 
     for token in _TOKEN.finditer(html):
@@ -259,20 +325,68 @@ def _augment(price, near, left) -> list[bool]:
             rest[b][a] = rest[b].get(a, 0.0) + flow
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, weights: tuple[float, ...] = PRIOR) -> str:
     found = blocks(html or "")
-    keep = minimum_cut([b.price for b in found], ties(found))
+    keep = minimum_cut([b.price(weights) for b in found], ties(found))
     return "\n\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many labelled blocks have which features."""
+    counts: Counter = Counter()
     for batch in batches:
-        texts = [main_text(h.as_py()) for h in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                                         names=["page_id", "url", "text", "n_chars"])
+        for html in batch.column(0):
+            counts.update((*b.features, b.label) for b in blocks(html.as_py() or "") if b.label is not None)
+    if counts:
+        columns = [pa.array(c, pa.int32()) for c in zip(*counts, strict=True)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts.values(), pa.int64())], names=[*Features._fields, "label", "n"])
+
+
+def fit(pages: DataFrame) -> tuple[float, ...]:
+    """Weights of the classifier, from blocks whose tags tell what they are; the prior where
+    one of both kinds is missing. Copies of a page are drawn or left together."""
+    rows = pages.count()
+    draw = F.xxhash64("page_id", "url").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    drawn = pages.filter(draw < F.lit(min(1.0, FIT_PAGES / max(1, rows)))).select("html")
+    cells = drawn.mapInArrow(_cells, "length int, share int, sentence int, heading int, label int, n long") \
+        .groupBy(*Features._fields, "label").agg(F.sum("n").alias("n")).collect()
+    return regression([(Features(*r[:4]), r["label"], r["n"]) for r in sorted(cells)])
+
+
+def regression(cells: list[tuple[Features, int, int]]) -> tuple[float, ...]:
+    """Logistic regression over counted cells, both labels of equal weight, drawn to the prior
+    (ridge); Newton's method."""
+    of = [sum(n for _, label, n in cells if label == k) for k in (0, 1)]
+    if not all(of):
+        return PRIOR
+    x = np.array([values(f) for f, _, _ in cells])
+    y = np.array([float(label) for _, label, _ in cells])
+    weight = np.array([FIT_WEIGHT * n / of[label] for _, label, n in cells])
+    prior = np.array(PRIOR)
+    w = prior.copy()
+    for _ in range(50):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (p - y)) + (w - prior)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(len(w)), slope)
+        w = w - step
+        if np.abs(step).max() < 1e-9:
+            break
+    return tuple(round(float(v), 6) for v in w)
+
+
+#: Weight of all examples of a label beside the prior's.
+FIT_WEIGHT = 50.0
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of every page; one pass, no shuffle."""
+    """page_id, url, text and n_chars of every page; no shuffle but the cells of the fit."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    weights = fit(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [main_text(h.as_py(), weights) for h in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                                             names=["page_id", "url", "text", "n_chars"])
+
+    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

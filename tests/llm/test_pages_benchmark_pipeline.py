@@ -63,6 +63,38 @@ def test_main_text_in_layout_wrappers():
     assert html_mincut.main_text(f"<div><ul><li><a href=x>Home</a></li></ul></div><article><p>{para}</p><nav>{links}</nav></article>{links}") == para
 
 
+def test_main_text_under_names_of_its_subject():
+    """Categories, tags, states and anchors in names are no votes against a text."""
+    para = "A long paragraph of the text that says a lot of things, and goes on for more than a hundred characters to be sure of that."
+    side = "<div class='sidebar-left'><p>Buy now our great product, which is a long sentence that goes on and on and on.</p></div>"
+    for start, end in (("<article class='post type-post category-reviews tag-search'>", "</article>"), ("<article class='post comments-open'>", "</article>"),
+                       ("<article id='follow-the-money'>", "</article>"), ("<article><div class='post-content ad-free'>", "</div></article>"),
+                       ("<article><div class='entry-content social-share-enabled'>", "</div></article>"), ("<main class='site-main legal-article'>", "</main>"),
+                       ("<article><section id='related-work'>", "</section></article>"), ("<article><section id='discussion'>", "</section></article>"),
+                       ("<div class='post-content ad-free'>", "</div>"), ("<div class='entry-content social-share-enabled'>", "</div>"), ("<div class='legal-article'>", "</div>")):
+        assert html_mincut.main_text(f"<body>{start}<h2 id='search'>Title of it</h2><p>{para}</p><p>{para}</p>{end}{side}</body>") == f"Title of it\n\n{para}\n\n{para}", start
+    linked = "<article><p><a href=x>A paragraph that is a link</a></p><p><a href=y>And another one</a></p></article>"
+    assert html_mincut.main_text(linked) == "A paragraph that is a link\n\nAnd another one"
+    assert html_mincut.main_text("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> here.</p></article>") == "Energy is E=m here."
+    for name in ("related-posts", "post-comments", "share-buttons", "cookie-banner", "newsletter-signup", "comment-content", "right-sidebar", "widget-area", "ad-slot-1", "adBanner"):
+        assert html_mincut.main_text(f"<article><p>{para}</p><p>{para}</p><div class='{name}'><p>{para} Not this.</p></div></article>") == f"{para}\n\n{para}", name
+
+
+def test_classifier_fits_what_tags_tell(spark):
+    """Blocks under article and nav tell the rest: of pages without such tags, long sentences
+    are kept and rows of links are not; without examples the prior stands."""
+    para = "A long paragraph of the text that says a lot of things, and goes on for more than a hundred characters to be sure of that."
+    links = "".join(f"<div><a href={i}>Link {i} to a page</a></div>" for i in range(5))
+    page = f"<nav>{links}</nav><article><h1>Title</h1><p>{para}</p><p>Short one.</p></article><footer><p>By us</p></footer>"
+    plain = f"<div>{links}</div><div><p>{para}</p><p>Short one.</p><p>{para}</p></div><div>{links}</div>"
+    pages = spark.createDataFrame([(i, f"u{i}", page) for i in range(40)] + [(99, None, plain), (None, None, None)], "page_id long, url string, html string")
+    weights = html_mincut.fit(pages)
+    assert weights != html_mincut.PRIOR and weights[1] > 0 > weights[2]
+    got = {r.page_id: r.text for r in html_mincut.extract(pages).collect()}
+    assert got[99] == f"{para}\n\nShort one.\n\n{para}" and got[0] == f"Title\n\n{para}\n\nShort one."
+    assert html_mincut.fit(pages.filter("page_id = 99")) == html_mincut.PRIOR == html_mincut.fit(pages.limit(0))
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r.page_id: r for r in queries.op9_minimum_cut_html(spark, SF_SMALL).collect()}
