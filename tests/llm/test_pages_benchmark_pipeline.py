@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -26,6 +27,34 @@ def test_minimum_cut_is_minimal():
         assert cost(html_mincut.minimum_cut(price, edges)) == pytest.approx(min(map(cost, itertools.product([False, True], repeat=n))))
 
 
+def test_minimum_cut_of_long_pages():
+    """Undecided blocks in the thousands, their siblings nested or crossing, take linear time;
+    the result is that of the flow alone."""
+    def page(n, r, nested=0.8):
+        found, open_ = [], [0]
+        for i in range(n):
+            if r.random() < 0.3:
+                open_.append(i + 1)
+            elif len(open_) > 1 and r.random() < 0.4:
+                open_.pop()
+            parent = open_[-1] if r.random() < nested or len(open_) < 2 else open_[-2]
+            found.append(html_mincut.Block("x", None, 0.0, None, parent))
+        return [r.uniform(-0.6, 0.6) for _ in range(n)], html_mincut.ties(found)
+
+    r = random.Random(4)
+    for _ in range(50):
+        price, edges = page(60, r)
+        near = [{} for _ in price]
+        for a, b, w in edges:
+            near[a][b] = near[b][a] = near[a].get(b, 0.0) + w
+        assert html_mincut.minimum_cut(price, edges) == html_mincut._augment(price, near, list(range(len(price))))
+    for nested in (0.5, 0.8, 1.0):
+        price, edges = page(60_000, r, nested)
+        began = time.process_time()
+        assert len(set(html_mincut.minimum_cut(price, edges))) == 2
+        assert time.process_time() - began < 5
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header class="site-header"><h1>Site</h1><a href=/>Home</a></header>
 <div id=cookie-banner><p>We use cookies to improve your experience on this site. Please accept them all now.</p></div>
 <div class="left"><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div><div class="middle"><h2>A title &amp; more</h2>
