@@ -19,6 +19,7 @@ shard.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import narrow, scratch_path
+from folio.llm.common import hadoop_path, narrow, scratch_path
 from folio.llm.wavelet import WaveletFile, build
 
 END_ID = 2
@@ -164,11 +165,11 @@ def _plain_letters(word: bytes) -> bool:
 
 
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a shared folder, by its scheme (no scheme: a mounted path)."""
-    if "://" in uri:
-        return pyarrow.fs.FileSystem.from_uri(uri)
+    """The file system of a shared folder, by its scheme (file or none: a mounted path)."""
+    if "://" in uri and not uri.startswith("file:"):
+        return pyarrow.fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
     if uri.startswith("file:"):
-        uri = uri[5:]
+        uri = re.sub("^file:/*", "/", uri)
     return pyarrow.fs.LocalFileSystem(), uri
 
 
@@ -230,8 +231,11 @@ def _write_shards(folder: str, tokenizer: str, shard_tokens: int):
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Writes the shard files into a new folder; returns the manifest, one row a file.
 
-    The manifest is written beside the files and read back, so the work is done once."""
+    The manifest is written beside the files and read back, so the work is done once. The
+    folder is resolved as Spark resolves it, so tasks and readers mean the same place."""
     spark = docs.sparkSession
+    fs, place = hadoop_path(spark, folder)
+    folder = fs.makeQualified(place).toString()
     rows = narrow(docs).repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     made = rows.mapInArrow(_write_shards(f"{folder}/shards", tokenizer or default_tokenizer(), shard_tokens), "name string, part long, seq long, docs long, tokens long, bytes long")
     made.write.parquet(f"{folder}/manifest")
@@ -256,7 +260,8 @@ def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, from the files alone but for the order of the shards:
-    doc_id, start, n_tokens, ids_crc32, shard and the document's place in it."""
+    doc_id, start, n_tokens, ids_crc32, shard and the document's place in it. Fails if a file
+    of the manifest is missing or has another size."""
     manifest = spark.read.parquet(f"{folder}/manifest")
     by_part = manifest.groupBy("part").agg(F.sum("tokens").alias("t"))
     parts = by_part.withColumn("part_start", F.coalesce(F.sum("t").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("t")
@@ -264,8 +269,12 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     starts = manifest.withColumn("inner", inner).join(parts, "part").select("name", (F.col("part_start") + F.col("inner")).alias("shard_start"))
     if not manifest.take(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, shard string, place long")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wm").load(f"{folder}/shards").select("path", "content")
-    rows = files.mapInArrow(_read_shards, "name string, pos long, doc_id long, local_start long, n_tokens long, ids_crc32 long")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wm").load(f"{folder}/shards")
+    there = files.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("bytes"))
+    lost = manifest.select("name", "bytes").join(there, ["name", "bytes"], "left_anti").take(3)
+    if lost:
+        raise FileNotFoundError(f"shards of the manifest are missing or cut short under {folder}: {[r.name for r in lost]}; is the folder shared by all executors?")
+    rows = files.select("path", "content").mapInArrow(_read_shards, "name string, pos long, doc_id long, local_start long, n_tokens long, ids_crc32 long")
     return rows.join(starts, "name").select("doc_id", (F.col("shard_start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", F.col("name").alias("shard"), F.col("pos").alias("place"))
 
 

@@ -348,3 +348,13 @@ def test_secrets_of_a_very_long_text():
     began = time.perf_counter()
     parts = secret_scan.parts_of(pair * 20_000)
     assert len(parts) == 40_000 and time.perf_counter() - began < 5
+
+
+def test_lost_shards_are_noticed(spark, docs):
+    folder = token_output.scratch_path(spark, "tokens")
+    manifest = token_output.write_tokens(docs, folder, shard_tokens=50)
+    assert token_output.read_tokens(spark, folder).count() == len(ROWS)
+    fs, shard = token_output.hadoop_path(spark, f"{folder}/shards/{manifest.first().name}")
+    fs.delete(shard, False)
+    with pytest.raises(FileNotFoundError):
+        token_output.read_tokens(spark, folder)
