@@ -10,7 +10,7 @@ itself — a high-cardinality key, so no host skew reaches a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from folio.functions import (host_first_label, page_key, url_canonical, url_domain,
@@ -215,3 +215,20 @@ def next_crawl_job(new_urls: DataFrame, job_ts: str, reason: str = "discovery")
 def write_external_links(ext: DataFrame, path: str) -> None:
     """K3: CSV catalogue with a header (standard quoting, V9)."""
     ext.write.mode("overwrite").option("header", True).csv(path)
+
+
+def ranked(df: DataFrame, by: str) -> DataFrame:
+    """O1: the rows with their place (``rank``, from 0) in ascending order of ``by``.
+
+    A range shuffle puts ever greater values into ever greater partitions, each of which sorts
+    and numbers its own rows; the sizes of the partitions before (one row a partition) give
+    the rest, so no task sees the whole order."""
+    rows = materialize(df.repartitionByRange(by).sortWithinPartitions(by)
+                       .select("*", F.monotonically_increasing_id().alias("_at")), "ranked")
+    # the id holds the partition above bit 33 and the row's place in it below
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")) \
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return rows.join(starts, part == F.col("_part")) \
+        .select((F.col("_start") + place).alias("rank"), *df.columns)

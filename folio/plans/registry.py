@@ -42,6 +42,6 @@ def as_query(fn: Callable[[Fixtures], DataFrame]) -> Callable[[SparkSession, str
 
 
 def load_all() -> None:
-    from folio.plans import (admission_plans, curation_plans, discovery_plans,  # noqa: F401
-                             index_plans, maintenance_plans, parse_plans, scalar_plans,
+    from folio.plans import (admission_plans, case_plans, curation_plans,  # noqa: F401
+                             discovery_plans, index_plans, maintenance_plans, parse_plans, scalar_plans,
                              stream_plans)

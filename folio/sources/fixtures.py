@@ -271,6 +271,79 @@ FROM (SELECT *, CAST(doc_id AS {S}) AS n, concat('wild-', CAST(doc_id AS {S})) A
 """)
 
 
+# A crawl queue in which every reason of admission occurs: pages that moved (completed under
+# another URL), hosts on the ignore list, one page key on two hosts and on two lists, stored
+# pages, malformed and blank lines. ``kind`` says which.
+FIXTURES["fx_admission"] = (["fx_docs"], """
+SELECT doc_id, kind, concat('list-', kind) AS list_name, CAST(doc_id AS BIGINT) AS pos, url, 'pending' AS state FROM (
+  SELECT doc_id, 'a_moved' AS kind, concat('https://moved.folio-fixture.org/p/moved-', CAST(doc_id AS {S})) AS url FROM {fx_docs}
+  UNION ALL SELECT doc_id, 'b_gone', concat('https://www.custom0.com/p/gone-', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 3 = 0
+  UNION ALL SELECT doc_id, 'c_ignored', concat('https://www.custom1.com/p/ad-', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 4 = 1
+  UNION ALL SELECT doc_id, 'd_first', concat('https://r1.folio-fixture.org/p/rep-', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 2 = 1
+  UNION ALL SELECT doc_id, 'e_second', concat('https://r2.folio-fixture.net/p/rep-', CAST(doc_id AS {S}), '?ref=x') FROM {fx_docs} WHERE doc_id % 6 = 1
+  UNION ALL SELECT doc_id, 'f_again', concat('https://r1.folio-fixture.org/p/rep-', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 10 = 1
+  UNION ALL SELECT doc_id, 'g_stored', concat('https://any.folio-fixture.org/p/post-', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 5 = 2 OR doc_id % 23 = 0
+  UNION ALL SELECT doc_id, 'h_malformed', concat('nonsense ', CAST(doc_id AS {S})) FROM {fx_docs} WHERE doc_id % 7 = 3
+  UNION ALL SELECT doc_id, 'i_blank', '   ' FROM {fx_docs} WHERE doc_id % 9 = 4) q
+""")
+
+# Aliases of moved pages, beside those of fx_aliases.
+FIXTURES["fx_moved_aliases"] = (["fx_admission", "fx_docs"], """
+SELECT a.url, d.slug AS post_id, CAST(a.doc_id AS BIGINT) AS seq
+FROM {fx_admission} a JOIN {fx_docs} d ON d.doc_id = a.doc_id
+WHERE a.doc_id % 2 = 0 AND a.kind IN ('a_moved', 'b_gone')
+""")
+
+# Articles with several figures: titles, captions with markup, a wrapped CDN source inside a
+# quote, figures without source or image, relative sources, one image that all pages share.
+FIXTURES["fx_gallery"] = (["fx_docs"], """
+SELECT doc_id, concat('https://gallery.folio-fixture.org/p/pic-', n) AS source_url,
+  concat('<html><head><title>Pics ', n, '</title><link rel="canonical" href="https://gallery.folio-fixture.org/p/pic-', n, '"></head><body><p>Start ', n, '</p>',
+    '<figure><img src="https://img.example.org/g/', n, '-a.png" alt="Alt A ', n, '" title="Title ', n, '"><figcaption>Cap <b>A</b> ', n, '</figcaption></figure>',
+    '<figure><img alt="no source"></figure>',
+    CASE WHEN doc_id % 2 = 0 THEN concat('<blockquote><figure><img src="https://cdn.example.com/image/w_10/https%3A%2F%2Fimages.example.net%2Fg%2F', n, '-b.jpg"></figure></blockquote>') ELSE '' END,
+    '<figure><img src="/relative.png" alt="dropped"></figure>',
+    CASE WHEN doc_id % 3 = 0 THEN '<figure><figcaption>Only a caption</figcaption></figure>' ELSE '' END,
+    '<figure><a href="https://x.example.org/"><img src="https://img.example.org/shared.png?w=1#f" alt="Shared"></a></figure><p>End</p></body></html>') AS html,
+  concat('pic-', n, '.html.meta.json') AS meta_file, concat('{{"source-url": "https://gallery.folio-fixture.org/p/pic-', n, '"}}') AS raw_json
+FROM (SELECT doc_id, CAST(doc_id AS {S}) AS n FROM {fx_docs}) d
+""")
+
+# Pages with any of the three error texts (in other order than their rank), with such texts in
+# other case, and without html.
+FIXTURES["fx_marked"] = (["fx_docs"], """
+SELECT doc_id, CASE WHEN doc_id % 11 = 5 THEN CAST(NULL AS {S}) ELSE concat('<html><body>',
+    CASE WHEN doc_id % 2 = 1 THEN '<p>Too Many Requests</p>' ELSE '' END, '<p>', coalesce(body, ''), '</p>',
+    CASE WHEN doc_id % 3 = 1 THEN '<h1>Page not found</h1>' ELSE '' END,
+    CASE WHEN doc_id % 5 = 1 THEN '<h1>502 Bad Gateway</h1>' ELSE '' END,
+    CASE WHEN doc_id % 4 = 0 THEN '<p>page not found, too many requests</p>' ELSE '' END, '</body></html>') END AS html
+FROM {fx_docs}
+""")
+
+# Bodies with interactive furniture between their paragraphs, and names that only resemble it.
+FIXTURES["fx_furnished"] = (["fx_docs"], """
+SELECT doc_id, concat('https://f.folio-fixture.org/p/furnished-', CAST(doc_id AS {S})) AS source_url, coalesce(body, '') AS body,
+  concat('<html><body><div class="body markup"><h2>Head ', CAST(doc_id AS {S}), '</h2><p>Start</p>',
+    '<div class="x share-dialog"><p>Share this</p><div><p>and that</p></div></div>', '<p>Middle <em>', CAST(doc_id AS {S}), '</em></p>',
+    CASE WHEN doc_id % 2 = 0 THEN '<div class="subscribe-widget"><form><p>Subscribe now</p></form></div>' ELSE '<div class="subscribe-footer"><p>Subscribe now</p></div>' END,
+    '<p class="button-wrapper"><a href="https://x.example.org/share">Share</a></p>', '<div class="share-dialogs"><p>Stays</p></div><p>',
+    replace(replace(replace(coalesce(body, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '</p><div class="post-footer"><p>Likes</p></div></div></body></html>') AS html
+FROM {fx_docs}
+""")
+
+# Pages whose metadata is odd: a null source URL, a malformed one, another page's, broken JSON,
+# none at all; some name another canonical link.
+FIXTURES["fx_noted"] = (["fx_docs"], """
+SELECT doc_id, n, concat('https://n.folio-fixture.org/p/note-', n) AS source_url,
+  concat('<html><head><title>Note ', n, '</title>', CASE WHEN doc_id % 4 = 1 THEN concat('<link rel="canonical" href="https://n.folio-fixture.org/p/canon-', n, '">') ELSE '' END,
+    '</head><body><p>', CASE WHEN doc_id % 9 = 7 THEN 'short' ELSE repeat('long text ', 60) END, '</p></body></html>') AS html,
+  CASE doc_id % 6 WHEN 0 THEN '{{"source-url": null, "fetch-timestamp": "t"}}' WHEN 1 THEN '{{"source-url": "not a url"}}'
+    WHEN 2 THEN concat('{{"source-url": "https://n.folio-fixture.org/p/note-', n, '?x=1"}}')
+    WHEN 3 THEN concat('{{"source-url": "https://n.folio-fixture.org/p/other-', n, '"}}') WHEN 4 THEN '{{"source-url": ' END AS raw_json
+FROM (SELECT doc_id, CAST(doc_id AS {S}) AS n FROM {fx_docs}) d
+""")
+
+
 def render(name: str, dialect: str, refs: dict[str, str] | None = None) -> str:
     """SQL text of one fixture; ``refs`` maps table names to references."""
     deps, tmpl = FIXTURES[name]
