@@ -1,7 +1,8 @@
 """DuckDB SQL text for the scalar rules, used only by oracles.
 
-Independent re-statements of the URL/text rules in the oracle's dialect (RE2,
-``'g'`` flag, ``split_part``), built from the same fixed patterns.
+The URL/text rules in the oracle's dialect (RE2, ``'g'`` flag, ``split_part``). The URL
+patterns are the engine's own fixed values, so a wrong pattern would not show here; the
+vectors of ``tests/test_urls.py`` and the oracles by kind of row (``case_plans``) hold those.
 """
 
 from folio.functions.urls import (ARTICLE_PATH_RX, NOISE_HOST_RX, NOISE_PATH_RX,
