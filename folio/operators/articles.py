@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.functions import (article_key, clean_markdown, front_matter, strip_ws,
                              url_slug)
 from folio.functions.text import DEFAULT_AUTHOR, DEFAULT_DATE, DEFAULT_SOURCE, DEFAULT_TITLE
 from folio.operators.html_pass import html_pass
 from folio.operators.known import key_filter
-from folio.session import materialize
+from folio.session import html_batches, materialize
 from folio.sources.tables import completed_set, scan_fetch_meta
 from folio.sources.versioned import VersionedTable
 
@@ -81,18 +82,19 @@ def _mark_key_owner(p: DataFrame, owners: DataFrame | None = None) -> DataFrame:
             .withColumn("owns_key", F.coalesce(F.col("owner_id") == F.col("row_id"), F.lit(False))).drop("owner_key", "owner_id", "may_own")
 
 
-def _with_missed(wide: DataFrame, parsed: DataFrame, src: DataFrame, done: DataFrame, parts: tuple, results: list[str]) -> DataFrame:
-    """The pass's wide columns, with those of pages that the filter of known ids held though
-    the ledger has no such id. They are few, or none and then nothing runs; their HTML is
-    found again by its hash, row by row in the pass, so no HTML is shuffled."""
-    slug = F.col("canonical_slug")
-    missed = parsed.filter("deferred").join(done, slug == F.col("done_id"), "left_anti").select(F.col("html_hash").cast("string").alias("h"))
+def _late_results(parsed: DataFrame, src: DataFrame, done: DataFrame, parts: tuple, results: list[str]) -> DataFrame | None:
+    """The wide columns (as ``late_*``, by ``late_row``) of pages that the filter of known ids
+    held though the ledger has no such id. They are few, or none and then nothing runs; their
+    HTML is found again by its hash, row by row in the pass, so no HTML is shuffled, and they
+    meet the narrow columns of deferred pages only, so nothing wide is either."""
+    held = parsed.filter("deferred")
+    missed = extract_metadata(held).join(done, F.col("canonical_slug") == F.col("done_id"), "left_anti").select(F.col("html_hash").cast("string").alias("h"))
     if missed.isEmpty():
-        return wide
+        return None
     again = html_pass(src.withColumn("h", F.col("html_hash").cast("string")), ["source_url", "html_hash", "h"], parts=parts, only=("h", key_filter(missed, "h")))
     again = again.dropDuplicates(["source_url", "html_hash"]).select(F.col("source_url").alias("u"), F.col("html_hash").alias("v"), *(F.col(c).alias(f"late_{c}") for c in results))
-    both = wide.join(again, wide.deferred & wide.source_url.eqNullSafe(F.col("u")) & (wide.html_hash == F.col("v")), "left")
-    return both.select(*(c for c in wide.columns if c not in results), *(F.coalesce(c, f"late_{c}").alias(c) for c in results))
+    rows = held.select(F.col("row_id").alias("late_row"), "source_url", "html_hash")
+    return rows.join(again, rows.source_url.eqNullSafe(F.col("u")) & (rows.html_hash == F.col("v"))).select("late_row", *(f"late_{c}" for c in results))
 
 
 def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
@@ -106,7 +108,8 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     ``completed``: the ledger (post_id, seq); ``parts``: which wide results the caller
     reads (``body``: Markdown, ``images``), none for decisions and front matter alone;
     ``work_dir``: where the pass output is written (default: a fresh folder under the
-    checkpoint root; a streaming batch passes its own folder so that a replay overwrites it);
+    checkpoint root; a streaming batch passes its own folder so that a replay overwrites it;
+    what is compiled late goes beside it, to ``{work_dir}-late``);
     ``owners``: (page_key, owner_url) of pages that own their keys since earlier batches.
 
     Rows carry a row id of their own: page keys can be null (malformed URL) or shared by
@@ -127,7 +130,8 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     done = completed_set(completed).select(F.col("post_id").alias("done_id"), F.lit(True).alias("in_ledger"))
     keys = ["page_key", "source_url", "row_id", "html_hash"]
     known = key_filter(completed, "post_id") if parts else None
-    parsed = materialize(html_pass(src, keys, parts=("meta", *parts), known=known), "parsed-pages", path=work_dir)
+    with html_batches(pages.sparkSession):
+        parsed = materialize(html_pass(src, keys, parts=("meta", *parts), known=known), "parsed-pages", path=work_dir)
     p = extract_metadata(parsed.select("row_id", "html_hash", "page_key", "source_url", "parse_error", "ld_json", "ld_json_valid",
                                        "title_text", "meta_author", "meta_published", "canonical_href"))
     p = _mark_key_owner(p, owners)
@@ -182,9 +186,15 @@ def parse_stage(pages: DataFrame, meta: DataFrame, completed: DataFrame,
     if not parts:
         return out
     results = [*(["body_md", "image_errors"] if "body" in parts else []), *(["images"] if "images" in parts else [])]
-    wide = parsed.select(F.col("row_id").alias("wide_id"), "n_images", *(["body_kind"] if "body" in parts else []), "deferred", "source_url", "html_hash", *results)
-    wide = _with_missed(wide, extract_metadata(parsed), src, done, parts, results).drop("deferred", "source_url", "html_hash")
+    wide = parsed.select(F.col("row_id").alias("wide_id"), "n_images", *(["body_kind"] if "body" in parts else []), *results)
+    late = _late_results(parsed, src, done, parts, results)
+    if late is not None:
+        with html_batches(pages.sparkSession):
+            late = materialize(late, "late-pages", path=work_dir and f"{work_dir}-late")
+        out = out.join(late, F.col("row_id") == F.col("late_row"), "left").drop("late_row")
     out = out.join(wide, F.col("row_id") == F.col("wide_id")).drop("wide_id")
+    if late is not None:
+        out = out.withColumns({c: F.coalesce(c, f"late_{c}") for c in results}).drop(*(f"late_{c}" for c in results))
     if "images" not in parts:
         out = out.drop("n_images")
     else:
@@ -256,6 +266,13 @@ def articles_table(spark, path: str, buckets: int = 16) -> VersionedTable:
     return VersionedTable(spark, path, ARTICLES, ["article_key"], buckets)
 
 
+def store_rows(stage: DataFrame) -> DataFrame:
+    """Of a stage what ``write_articles`` stores: the compiled articles, without the columns
+    (such as the Markdown once more without its front matter) that the store does not have."""
+    names = [f.name for f in T.StructType.fromDDL(ARTICLES)]
+    return stage.filter(F.col("status") == "compiled").select("status", *(c for c in stage.columns if c in names))
+
+
 def write_articles(articles: DataFrame, path: str, batch_id: int = 0, buckets: int = 16) -> None:
     """K1: the compiled articles of one batch, as a new version of the store at ``path``. An
     article key that was written before is replaced; only the buckets of the batch's keys are

@@ -224,7 +224,7 @@ def quarantine_q(fx):
 def write_articles_q(fx):
     """K1: two overlapping batches; the later one wins where both wrote an article."""
     path = scratch_path(fx.spark, "articles")
-    stage = materialize(_stage(fx, "body"), "articles-stage")
+    stage = materialize(A.store_rows(_stage(fx, "body")), "articles-stage")
     A.write_articles(stage, path, 0)
     A.write_articles(stage.filter(F.regexp_extract("page_key", "([0-9]+)", 1).cast("bigint") % 3 == 0), path, 1)
     return A.read_articles(fx.spark, path).select("article_key", "pub_month", "batch_id")
@@ -239,7 +239,7 @@ def article_versions_q(fx):
     """K1 + M4: the store's versions after a first batch, an overlapping second one and a
     prune of the ignored hosts; all three stay readable."""
     path = scratch_path(fx.spark, "article-versions")
-    stage = materialize(_stage(fx, "body"), "articles-stage")
+    stage = materialize(A.store_rows(_stage(fx, "body")), "articles-stage")
     A.write_articles(stage, path, 0)
     A.write_articles(stage.filter(F.regexp_extract("page_key", "([0-9]+)", 1).cast("bigint") % 3 == 0), path, 1)
     stored = A.read_articles(fx.spark, path).withColumn("host", U.url_domain("source_url"))
