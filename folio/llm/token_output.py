@@ -39,6 +39,11 @@ END_ID = 2
 SHARD_TOKENS = 1 << 20
 #: Words that a worker keeps; beyond that it starts over (only a matter of speed).
 KEPT_WORDS = 1_000_000
+#: Slices of about 1 MB that are encoded together, so that their words are looked up once.
+ENCODED_SLICES = 2
+
+#: A pattern that takes runs of letters whole, beside parts that begin with an apostrophe.
+_LETTER_RUNS = re.compile(r"('\w+\|)*\[\\p\{L\}\]\+\|")
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -65,7 +70,7 @@ class WordEncoder:
     def __init__(self, path: str):
         import json
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -80,7 +85,14 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.index: dict[bytes, int] = {}
-        self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        # the same model for small letters, which the normalizer and the pattern leave whole
+        self.of_letters = self.tokenizer
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        if self.by_word and len(steps) == 2 and steps[1] == {**steps[1], "type": "ByteLevel", "add_prefix_space": False, "use_regex": False} and _LETTER_RUNS.match(steps[0]["pattern"].get("Regex", "")):
+            self.of_letters = Tokenizer(self.tokenizer.model)
+            self.of_letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # ids of word i: flat[stops[i]:stops[i + 1]]; both arrays may be longer than filled
+        self.stops, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, each followed by the end id, and their offsets."""
@@ -90,42 +102,41 @@ class WordEncoder:
             return np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(lens.sum())), np.concatenate([[0], np.cumsum(lens)])
         if len(self.index) > KEPT_WORDS:
             self._forget(KEPT_WORDS // 2)
-        words: list[bytes] = []
-        ends = []
-        for text in texts:
-            words += (text if b"<|" in text else _apart(text.lower())).split()
-            ends.append(len(words))
-        get = self.index.get
-        found = list(map(get, words))
-        if None in found:
-            self._learn(list(dict.fromkeys(w for w, i in zip(words, found, strict=True) if i is None)))
-            found = list(map(get, words))
+        words, ends = _words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.index.get, distinct))
+        new = [k for k, i in enumerate(found) if i is None]
+        if new:
+            self._learn([distinct[k] for k in new])
+            for k in new:
+                found[k] = self.index[distinct[k]]
         at = np.array(found, dtype=np.int64)
-        lens = self.length[at]
-        before = np.concatenate([[0], np.cumsum(lens)])
-        # room for an end id after each text
-        offsets = np.concatenate([[0], before[ends] + np.arange(1, len(ends) + 1)]).astype(np.int64)
-        out = np.full(int(offsets[-1]), END_ID, dtype=np.uint32)
-        keep = np.ones(len(out), dtype=bool)
-        keep[offsets[1:] - 1] = False
-        out[keep] = self.flat[np.arange(int(before[-1])) + np.repeat(self.start[at] - before[:-1], lens)]
-        return out, offsets
+        starts, stops = self.stops[at], self.stops[at + 1]
+        # the ids of each distinct word as a list, the end id as one list more
+        edges = np.concatenate([[0], np.cumsum(stops - starts)])
+        flat = np.append(self.flat[np.arange(int(edges[-1])) + np.repeat(starts - edges[:-1], stops - starts)], END_ID).astype(np.uint32)
+        lists = pa.LargeListArray.from_arrays(np.append(edges, len(flat)), flat)
+        taken = lists.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(distinct))))
+        offsets = taken.offsets.to_numpy()[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
+        return taken.values.to_numpy()[int(offsets[0]):int(offsets[-1])], offsets - offsets[0]
 
     def _forget(self, n: int) -> None:
         """Keeps the ``n`` words that were met first, among them the frequent ones."""
         self.index = dict(islice(self.index.items(), n))
-        self.start, self.length = self.start[:n], self.length[:n]
-        self.flat = self.flat[:int(self.start[-1] + self.length[-1]) if n else 0]
+        self.stops = self.stops[:n + 1].copy()
+        self.flat = self.flat[:int(self.stops[-1])].copy()
 
     def _learn(self, words: list[bytes]) -> None:
         """Encodes new words: those of letters alone joined by spaces, since each is one word
         of the model and ends where a token with the word-end mark stands; others singly."""
         letters = [w for w in words if w.isalpha() or _plain_letters(w)]
         rest = set(words).difference(letters)
-        flat, lens = [self.flat], [self.length]
+        flat, lens = [], []
         for lo in range(0, len(letters), 4000):
             group = letters[lo:lo + 4000]
-            ids = np.array(self.tokenizer.encode(b" ".join(group).decode(), add_special_tokens=False).ids, dtype=np.uint32)
+            (encoded,) = self.of_letters.encode_batch_fast([b" ".join(group).decode().lower()], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype=np.uint32)
             ends = np.flatnonzero(self.ends_word[ids])
             if len(ends) != len(group):
                 raise ValueError("words of letters did not encode one by one")
@@ -133,25 +144,57 @@ class WordEncoder:
             lens.append(np.diff(ends, prepend=-1))
         if rest:
             rest = sorted(rest)
-            encoded = [x.ids for x in self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)]
+            encoded = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)]
             flat.append(np.array([i for x in encoded for i in x], dtype=np.uint32))
             lens.append(np.array([len(x) for x in encoded], dtype=np.int64))
-        learned = [*letters, *rest]
-        self.index.update(zip(learned, range(len(self.index), len(self.index) + len(learned)), strict=True))
-        self.flat, self.length = np.concatenate(flat), np.concatenate(lens)
-        self.start = np.cumsum(self.length) - self.length
-
-
-def _apart(text: bytes) -> bytes:
-    """A space between an ASCII letter and ASCII punctuation (no apostrophe) after it: the
-    pre-tokenizer cuts there and drops white space, so only fewer distinct words remain."""
-    data = np.frombuffer(text, np.uint8)
-    at = np.flatnonzero(_LETTER[data[:-1]] & _PUNCTUATION[data[1:]]) + 1
-    return np.insert(data, at, 0x20).tobytes() if len(at) else text
-
-
+        learned, n = [*letters, *rest], len(self.index)
+        flat, stops = np.concatenate(flat), np.cumsum(np.concatenate(lens)) + self.stops[n]
+        self.index.update(zip(learned, range(n, n + len(learned)), strict=True))
+        self.flat = _put_at(self.flat, int(self.stops[n]), flat)
+        self.stops = _put_at(self.stops, n + 1, stops)
+
+
+def _put_at(held: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` from ``at`` on; grows by half at least, so that it is seldom copied."""
+    if at + len(more) > len(held):
+        held = np.concatenate([held[:at], np.zeros(max(len(more), at // 2), held.dtype)])
+    held[at:at + len(more)] = more
+    return held
+
+
+def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, and how many there are up to the end of each text.
+
+    ASCII letters become small, and a word is cut between a letter and ASCII punctuation (no
+    apostrophe) after it: the pre-tokenizer cuts there too, so only fewer distinct words
+    remain. Texts that may hold added tokens stay as they are."""
+    marked = [b"<|" in t for t in texts]
+    data = np.frombuffer(b"\n".join([t if m else t.lower() for t, m in zip(texts, marked, strict=True)]), np.uint8)
+    text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    keep = ~_SPACE[data]
+    first = keep.copy()
+    first[1:] &= ~keep[:-1]
+    at = np.flatnonzero(_PUNCTUATION[data])
+    at = at[at > 0]
+    before = data[at - 1]
+    pair = data[at - 2].astype(np.uint16) << 8 | before  # no text starts with the second byte of a letter
+    at = at[_LETTER[before] | _LATIN[pair]]
+    if any(marked):
+        at = at[~np.array(marked)[np.searchsorted(text_ends, at)]]
+    first[at] = True
+    ends = np.searchsorted(np.flatnonzero(first), text_ends)
+    left = data[keep]
+    offsets = np.append(np.flatnonzero(first[keep]), len(left)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(left)]), ends
+
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(ord("a"), ord("z") + 1)]] = True
+#: UTF-8 of the letters from U+00C0 to U+024F, but those whose lower case is more than one character.
+_LATIN = np.zeros(1 << 16, dtype=bool)
+_LATIN[[int.from_bytes(chr(c).encode()) for c in range(0xC0, 0x250) if chr(c).isalpha() and len(chr(c).lower()) == 1]] = True
 _PUNCTUATION = np.zeros(256, dtype=bool)
 _PUNCTUATION[list(b".,;:!?*#$%&|()")] = True
 
@@ -185,6 +228,22 @@ def _put(folder: str, name: str, raw: bytes, attempt: int) -> None:
 _MANIFEST = pa.schema([("name", pa.string()), ("part", pa.int64()), ("seq", pa.int64()), ("docs", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64())])
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list]]:
+    """Texts and ids, as many documents at a time as surely stay near the shard's size (a
+    token has a byte at least), however the batches are cut."""
+    texts, ids, size = [], [], 0
+    for batch in batches:
+        for text, doc_id in zip(batch.column(1).cast(pa.large_binary()).to_numpy(zero_copy_only=False), batch.column(0).to_pylist(), strict=True):
+            texts.append(text or b"")
+            ids.append(doc_id)
+            size += len(texts[-1])
+            if size >= 1 << 20:
+                yield texts, ids
+                texts, ids, size = [], [], 0
+    if texts:
+        yield texts, ids
+
+
 def _write_shards(folder: str, tokenizer: str, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -205,20 +264,15 @@ def _write_shards(folder: str, tokenizer: str, shard_tokens: int):
             held, tokens, seq = [], 0, seq + 1
             return row
 
-        for batch in batches:
-            texts, doc_ids = batch.column(1).cast(pa.large_binary()), batch.column(0)
-            sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        slices = _slices(batches)
+        while group := list(islice(slices, ENCODED_SLICES if enc.by_word else 1)):
+            ids, offsets = enc.encode([t for texts, _ in group for t in texts])
             lo = 0
-            while lo < len(texts):
-                # as many documents as surely stay near the shard's size (a token has a byte at least)
-                size, hi = 0, lo
-                while hi < len(texts) and (hi == lo or size < (1 << 20)):
-                    size += int(sizes[hi])
-                    hi += 1
-                ids, offsets = enc.encode([x.as_py() or b"" for x in texts.slice(lo, hi - lo)])
-                at = doc_ids.slice(lo, hi - lo)
-                held.append((ids, offsets, at.fill_null(0).to_numpy(zero_copy_only=False), at.is_null().to_numpy(zero_copy_only=False)))
-                tokens += len(ids)
+            for texts, at in group:
+                hi = lo + len(texts)
+                mine = offsets[lo:hi + 1]
+                held.append((ids[mine[0]:mine[-1]], mine, np.array([d or 0 for d in at], dtype=np.int64), np.array([d is None for d in at])))
+                tokens += int(mine[-1] - mine[0])
                 lo = hi
                 if tokens >= shard_tokens:
                     yield close()

@@ -285,6 +285,17 @@ def test_word_encoder_equals_whole_texts():
         assert ids[at[i]:at[i + 1]].tolist() == [*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2]
 
 
+def test_word_encoder_learns_words_without_punctuation_once():
+    enc = token_output.WordEncoder(token_output.default_tokenizer())
+    texts = ["Stra\u00dfe, stra\u00dfe. \u00e9t\u00e9! \u00e9t\u00e9", "\u00e9t\u00e9... \u0130. \u0130 \u00d7! \u00f7.", "<|endoftext|>\u00c9. \u00c9", "", "caf\u00e9###\n"]
+    ids, at = enc.encode([t.encode() for t in texts])
+    for i, t in enumerate(texts):
+        assert ids[at[i]:at[i + 1]].tolist() == [*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2]
+    learned = {w.decode() for w in enc.index}
+    assert {"stra\u00dfe", "\u00e9t\u00e9", "caf\u00e9", "###", "\u0130.", "\u00d7!"} <= learned
+    assert not learned & {"stra\u00dfe,", "stra\u00dfe.", "\u00e9t\u00e9!", "\u00e9t\u00e9...", "caf\u00e9###"}
+
+
 def test_wavelet_access_count_and_locate():
     rng = np.random.default_rng(3)
     tokens = (rng.zipf(1.3, 300_000) % 49408).astype(np.uint32)
