@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.session import checkpoint_root, hadoop_path, materialize, scratch_path  # noqa: F401
+from folio.session import arrow_batches, checkpoint_root, hadoop_path, materialize, scratch_path  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

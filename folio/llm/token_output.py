@@ -32,15 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import hadoop_path, narrow, scratch_path
+from folio.llm.common import arrow_batches, hadoop_path, narrow, scratch_path
 from folio.llm.wavelet import WaveletFile, build
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 #: Words that a worker keeps; beyond that it starts over (only a matter of speed).
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 #: Slices of about 1 MB that are encoded together, so that their words are looked up once.
 ENCODED_SLICES = 2
+#: Documents that reach a worker at a time; it and the JVM hold whole batches.
+BATCH_ROWS = 256
 
 #: A pattern that takes runs of letters whole, beside parts that begin with an apostrophe.
 _LETTER_RUNS = re.compile(r"('\w+\|)*\[\\p\{L\}\]\+\|")
@@ -292,7 +294,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, sha
     folder = fs.makeQualified(place).toString()
     rows = narrow(docs).repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     made = rows.mapInArrow(_write_shards(f"{folder}/shards", tokenizer or default_tokenizer(), shard_tokens), "name string, part long, seq long, docs long, tokens long, bytes long")
-    made.write.parquet(f"{folder}/manifest")
+    with arrow_batches(spark, BATCH_ROWS):
+        made.write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
 

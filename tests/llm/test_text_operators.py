@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,6 +297,38 @@ def test_word_encoder_learns_words_without_punctuation_once():
     assert not learned & {"stra\u00dfe,", "stra\u00dfe.", "\u00e9t\u00e9!", "\u00e9t\u00e9...", "caf\u00e9###"}
 
 
+def test_word_encoder_keeps_few_words(monkeypatch):
+    monkeypatch.setattr(token_output, "KEPT_WORDS", 40)
+    enc, r = token_output.WordEncoder(token_output.default_tokenizer()), random.Random(2)
+    for _ in range(20):
+        texts = [" ".join("".join(r.choices("abc\u00e9.'1", k=4)) for _ in range(10)) for _ in range(3)]
+        ids, at = enc.encode([t.encode() for t in texts])
+        for i, t in enumerate(texts):
+            assert ids[at[i]:at[i + 1]].tolist() == [*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2]
+        assert len(enc.index) <= 40 + 60
+
+
+def test_shards_do_not_depend_on_batches(spark):
+    """A worker gets few documents at a time, and the files are the same for any batch."""
+    docs = brute.frame(spark, [(i, f"word {i} and some more", "en", "s") for i in range(1500)]).coalesce(1)
+    counted = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    sizes = lambda: docs.mapInArrow(counted, "n long").agg(F.max("n")).first()[0]
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    held = spark.conf.get(key)
+    try:
+        for rows in ("7", "10000"):
+            spark.conf.set(key, rows)
+            manifest = token_output.write_tokens(docs, token_output.scratch_path(spark, "tokens"), shard_tokens=50)
+            seen.append(multiset(manifest.collect()))
+            assert spark.conf.get(key) == rows
+        assert seen[0] == seen[1]
+        assert sizes() > token_output.BATCH_ROWS
+        with token_output.arrow_batches(spark, token_output.BATCH_ROWS):
+            assert sizes() <= token_output.BATCH_ROWS
+    finally:
+        spark.conf.set(key, held)
+
+
 def test_wavelet_access_count_and_locate():
     rng = np.random.default_rng(3)
     tokens = (rng.zipf(1.3, 300_000) % 49408).astype(np.uint32)
