@@ -183,11 +183,11 @@ def components(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataF
         hubs = materialize(_hubs(large), "hubs")
         to_hub = large.alias("x").join(hubs.alias("y"), (F.expr("x.bucket = y.bucket and x.rep != y.rep")) & _possible("x", "y", percent))
         pairs = pairs.unionByName(to_hub.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")))
-    links = materialize(_verified(pairs.distinct(), texts, words, percent), "links")
-    joined = connected(links)
+    joined = connected(_verified(pairs.distinct(), texts, words, percent))
     if crowded:
-        links = materialize(links.unionByName(_verified(_open_pairs(prefixes, joined, percent), texts, words, percent)), "links")
-        joined = connected(links)
+        # the stars found so far stand for their links
+        stars = joined.filter("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+        joined = connected(stars.unionByName(_verified(_open_pairs(prefixes, joined, percent), texts, words, percent)))
 
     class_of = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
         F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.col("n_shingles").alias("cn"), F.coalesce("component", "rep").alias("component_id"))

@@ -117,6 +117,28 @@ def test_components(spark):
     assert got == {n: find(n) for n in root if any(a != b and n in (a, b) for a, b in edges)}
 
 
+def test_components_write_little(spark, monkeypatch):
+    """Stars need no round, and a step is a few files, not one for each shuffle task."""
+    written, write = [], components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: written.append(write(df, name)) or written[-1])
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    held = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        stars = [(n % 7, n) for n in range(7, 2000)]
+        got = components.connected(spark.createDataFrame(stars, "a long, b long")).collect()
+        assert Counter((x.node, x.component) for x in got) == Counter([(b, a) for a, b in stars] + [(n, n) for n in range(7)])
+        assert len(written) == 1
+        # a path: more than one round; two edges that meet at their larger end are no star
+        path = components.connected(spark.createDataFrame([(n, n + 1) for n in range(300)] + [(401, 403), (402, 403)], "a long, b long")).collect()
+        assert Counter((x.node, x.component) for x in path) == Counter([(n, 0) for n in range(301)] + [(n, 401) for n in (401, 402, 403)])
+        assert max(len(df.inputFiles()) for df in written) <= max(spark.sparkContext.defaultParallelism, 8)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def test_quality_measurements(docs, none):
     got = multiset(quality_rules.verdicts(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect())
     want = Counter()
